@@ -45,7 +45,13 @@ def read_records(
 
 
 def usable(records: DataFrame) -> DataFrame:
-    return records.filter(F.col("change.usable"))
+    """The records that could be read.
+
+    Written as an explode of one or no element: a plain filter would be pushed below the parse
+    and parse every record again.
+    """
+    kept = F.explode(F.when(F.col("change.usable"), F.array("change"))).alias("change")
+    return records.select(*[c for c in records.columns if c != "change"], kept)
 
 
 def quarantine(records: DataFrame) -> DataFrame:
@@ -60,27 +66,24 @@ def _text_variant(value: Column) -> Column:
 def flat_envelope(records: DataFrame, out: str = "envelope") -> DataFrame:
     """``{database, table, <row columns>, type}`` as one object.
 
-    A row column called ``database`` or ``table`` replaces the envelope's own; the envelope's
-    ``type`` replaces a row column of that name. Null row columns are absent.
+    A row column called ``database`` or ``table`` replaces the envelope's own, even when it is
+    null; the envelope's ``type`` replaces a row column of that name. Null entries go when the
+    envelope is written as text.
     """
-    row = F.coalesce(
-        F.map_filter(
-            objects.drop_nulls(F.col("change.image")),
-            lambda k, v: k != "type",
-        ),
-        F.create_map().cast(objects.OBJECT_TYPE),
-    )
     image = F.col("change.image")
-    # A row column replaces the envelope's key even where its value is null (and so absent).
-    own = F.map_filter(
-        F.create_map(
-            F.lit("database"), _text_variant(F.col("change.db")),
-            F.lit("table"), _text_variant(F.col("change.table")),
-        ),
-        lambda k, v: ~F.coalesce(F.map_contains_key(image, k), F.lit(False)),
+
+    def own(key: str, value: Column) -> Column:
+        in_row = F.coalesce(F.map_contains_key(image, key), F.lit(False))
+        return F.when(in_row, image.getItem(key)).otherwise(_text_variant(value))
+
+    head = F.create_map(
+        F.lit("database"), own("database", F.col("change.db")),
+        F.lit("table"), own("table", F.col("change.table")),
+        F.lit("type"), _text_variant(F.col("change.type")),
     )
-    kind = F.create_map(F.lit("type"), _text_variant(F.col("change.type")))
-    return usable(records).withColumn(out, F.map_concat(own, row, kind)).drop("change")
+    row = F.map_filter(image, lambda k, v: ~k.isin("database", "table", "type"))
+    envelope = F.map_concat(head, F.coalesce(row, F.create_map().cast(objects.OBJECT_TYPE)))
+    return usable(records).withColumn(out, envelope).drop("change")
 
 
 def nested_envelope(records: DataFrame, out: str = "envelope") -> DataFrame:

@@ -18,11 +18,12 @@ DENSE = 16
 
 def parse_ranges(lines: DataFrame, value: str = "value") -> DataFrame:
     """Pipe-delimited lines to ``(start_ip, end_ip, location)``; missing parts become empty."""
-    parts = F.split(F.col(value), "[|]")
-    shown = [F.coalesce(F.get(parts, F.lit(i)), F.lit("")) for i in (2, 4, 5, 6)]
-    return lines.select(
-        ip_to_long(F.get(parts, F.lit(0))).alias("start_ip"),
-        ip_to_long(F.get(parts, F.lit(1))).alias("end_ip"),
+    parts = lines.select(F.split(F.col(value), "[|]").alias("p"))
+    fields = parts.select(*[F.get("p", F.lit(i)).alias(f"f{i}") for i in (0, 1, 2, 4, 5, 6)])
+    shown = [F.coalesce(f"f{i}", F.lit("")) for i in (2, 4, 5, 6)]
+    return fields.select(
+        ip_to_long(F.col("f0")).alias("start_ip"),
+        ip_to_long(F.col("f1")).alias("end_ip"),
         F.concat_ws(",", *shown).alias("location"),
     )
 
@@ -50,10 +51,10 @@ def range_pieces(ranges: DataFrame) -> DataFrame:
     a /24 prefix at most 256, whatever the input.
     """
     one_per_start = (
-        ranges.filter("start_ip <= end_ip")
-        .groupBy("start_ip")
+        ranges.groupBy("start_ip")
         .agg(F.max(F.struct("end_ip", "location")).alias("r"))
         .select("start_ip", "r.end_ip", "r.location")
+        .filter("start_ip <= end_ip")
     )
     by_prefix = Window.partitionBy("prefix")
     coarse = (

@@ -34,13 +34,17 @@ def _whole_number(text: Column) -> Column:
     return filled.cast("decimal(38,6)").cast("bigint")
 
 
-def typed_rows(df: DataFrame, body: str = "body", now: Column | None = None) -> DataFrame:
-    """Fact rows from the ``data`` part of nested envelope text, stamped with processing time.
+def typed_rows(df: DataFrame, envelope: str = "envelope", now: Column | None = None) -> DataFrame:
+    """Fact rows from the ``data`` of nested envelopes, stamped with processing time.
 
-    Absent amounts and counts are 0.
+    The envelope may be a struct or still text. Absent amounts and counts are 0.
     """
-    data = "data struct<id:string,total_amount:string,is_new:string,pro_cnt:string,tm:string>"
-    rows = df.select(F.from_json(F.col(body), data).alias("b")).select("b.data.*")
+    names = ["id", "total_amount", "is_new", "pro_cnt", "tm"]
+    if df.schema[envelope].dataType.typeName() == "string":
+        data = "data struct<" + ",".join(f"{n}:string" for n in names) + ">"
+        rows = df.select(F.from_json(envelope, data).alias("b")).select("b.data.*")
+    else:
+        rows = df.select(*[objects.get_string(F.col(f"{envelope}.data"), n).alias(n) for n in names])
     zero = F.lit(0).cast("bigint")
     return rows.select(
         "id",

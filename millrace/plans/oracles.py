@@ -239,6 +239,7 @@ ALL = {
             o_orderpriority AS name, 'insert' AS type, 'orders' AS "table"
         FROM orders""",
     "typed_rows": f"SELECT *, '2024-01-02 03:04:05' AS date FROM ({_FACTS})",
+    "typed_rows_of_text": f"SELECT *, '2024-01-02 03:04:05' AS date FROM ({_FACTS})",
     "positional_insert": f"""
         SELECT id AS c_id, total_amount AS c_amount, is_new AS c_new, pro_cnt AS c_count, tm AS c_tm
         FROM ({_FACTS})""",

@@ -334,12 +334,22 @@ def flatten_projection(spark: SparkSession, sf: str) -> DataFrame:
 
 def _fact_rows(spark: SparkSession, sf: str) -> DataFrame:
     records = env.read_records(inputs.sales_changes(spark, sf))
-    return prj.typed_rows(env.envelope_text(env.nested_envelope(records)), now=_now())
+    return prj.typed_rows(env.nested_envelope(records), now=_now())
+
+
+def _dated(facts: DataFrame) -> DataFrame:
+    return facts.withColumn("date", F.date_format("date", "yyyy-MM-dd HH:mm:ss"))
 
 
 def typed_rows(spark: SparkSession, sf: str) -> DataFrame:
-    date = F.date_format("date", "yyyy-MM-dd HH:mm:ss").alias("date")
-    return _fact_rows(spark, sf).select("id", "total_amount", "is_new", "pro_cnt", "tm", date)
+    return _dated(_fact_rows(spark, sf))
+
+
+def typed_rows_of_text(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from envelope text, as another job would find it on a topic."""
+    records = env.read_records(inputs.sales_changes(spark, sf))
+    text = env.envelope_text(env.nested_envelope(records))
+    return _dated(prj.typed_rows(text, "body", now=_now()))
 
 
 def positional_insert(spark: SparkSession, sf: str) -> DataFrame:
@@ -531,7 +541,7 @@ ALL = {
         snapshot_and_changes, changes_of_two_tables, changes_of_server, dimension_latest,
         dimension_deletes, enrich_two_key, enrich_one_key, enrich_columns, enrich_stream,
         union_sources, ip_number, ip_location, ip_location_large, parent_path, id_projection,
-        id_suffix, flatten_projection, typed_rows, positional_insert, rewrite_event,
+        id_suffix, flatten_projection, typed_rows, typed_rows_of_text, positional_insert, rewrite_event,
         drop_transient, column_value_lists, source_list, word_counts, word_counts_of_files,
         word_pairs, token_lists, colon_count_stream, tail_to_messages, land_by_table, land_stream,
         capture_enrich_land, append_dynamic, topic_by_table,

@@ -1,0 +1,56 @@
+from __future__ import annotations
+
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+from millrace.session import build_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    base = tmp_path_factory.mktemp("spark")
+    session = build_session(
+        "tests",
+        "local[4]",
+        **{
+            "spark.sql.shuffle.partitions": "4",
+            "spark.checkpoint.dir": str(base / "checkpoints"),
+            "spark.sql.warehouse.dir": str(base / "warehouse"),
+            "spark.driver.memory": "4g",
+        },
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Joins as they run when no side is small."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    adaptive = "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    spark.conf.set(key, "-1")
+    spark.conf.set(adaptive, "-1")
+    yield
+    spark.conf.unset(key)
+    spark.conf.unset(adaptive)
+
+
+@pytest.fixture
+def plan(spark):
+    """Physical plan text of a frame."""
+
+    def text(df) -> str:
+        import contextlib
+        import io
+
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            df.explain()
+        return out.getvalue()
+
+    return text

@@ -1,0 +1,114 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.functions.net import ip_to_long
+from millrace.operators import geo
+
+
+def ip_text(n):
+    return ".".join(str(n >> s & 255) for s in (24, 16, 8, 0))
+
+
+def ranges_of(spark, rows):
+    return spark.createDataFrame(rows, "start_ip long, end_ip long, location string")
+
+
+def ips_of(spark, ips):
+    return spark.createDataFrame(list(enumerate(ips)), "i int, ip string")
+
+
+def test_fixture(spark):
+    lines = spark.createDataFrame([("1.0.1.0|1.0.3.255|C|X|P|T|I",)], "value string")
+    ips = ["1.0.1.0", "1.0.4.0", "abc", "999.1.0.300", None, "1.0.3.255", "1.0.1.0"]
+    for small in (True, False, None):
+        out = geo.with_ip_location(ips_of(spark, ips), "ip", geo.parse_ranges(lines), small=small)
+        got = [r.location for r in out.orderBy("i").collect()]
+        assert got == [
+            "C,P,T,I", "Other IDC", "Other IDC", "Other IDC", "请传入一个ip", "C,P,T,I", "C,P,T,I",
+        ]
+
+
+def test_short_lines_and_zero(spark):
+    lines = spark.createDataFrame([("bad|0.0.0.9|C||P",)], "value string")
+    out = geo.with_ip_location(ips_of(spark, ["nonsense", "0.0.0.9"]), "ip", geo.parse_ranges(lines))
+    assert [r.location for r in out.collect()] == ["C,P,,"] * 2
+
+
+def test_empty_table_and_own_texts(spark):
+    out = geo.with_ip_location(
+        ips_of(spark, ["1.1.1.1", None]), "ip", ranges_of(spark, []), no_match="-", null_message="?"
+    )
+    assert [r.location for r in out.orderBy("i").collect()] == ["-", "?"]
+
+
+def random_disjoint(rng):
+    """Disjoint ranges of very different density: a dense /16, sparse ones, and ones over many."""
+    points = sorted(
+        rng.sample(range(5 << 16, 6 << 16), 400)
+        + [rng.randrange(6 << 16, 200 << 16) for _ in range(60)]
+        + [rng.randrange(0, 5 << 16) for _ in range(10)]
+    )
+    rows, last = [], -1
+    for a, b in zip(points[::2], points[1::2]):
+        if a > last and b >= a:
+            rows.append((a, b, f"L{a}"))
+            last = b
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("small", [True, False])
+def test_against_brute_force(spark, no_broadcast, seed, small):
+    rng = random.Random(seed)
+    rows = random_disjoint(rng)
+    edges = [n + d for a, b, _ in rows for n in (a, b) for d in (-1, 0, 1) if n + d >= 0]
+    numbers = edges + [rng.randrange(0, 210 << 16) for _ in range(500)] + [5 << 16] * 300
+    df = ips_of(spark, [ip_text(n) for n in numbers])
+    out = geo.with_ip_location(df, "ip", ranges_of(spark, rows), small=small)
+    got = [r.location for r in out.orderBy("i").collect()]
+    want = [next((loc for a, b, loc in rows if a <= n <= b), "Other IDC") for n in numbers]
+    assert got == want
+
+
+def test_both_prefix_lengths_are_used_and_bounded(spark):
+    rows = random_disjoint(random.Random(1))
+    pieces = geo.range_pieces(ranges_of(spark, rows))
+    counts = {(r.bits, r.prefix): r["count"] for r in pieces.groupBy("bits", "prefix").count().collect()}
+    assert {bits for bits, _ in counts} == {16, 8}
+    assert max(n for (bits, _), n in counts.items() if bits == 16) <= geo.DENSE
+    assert max(n for (bits, _), n in counts.items() if bits == 8) <= 256
+
+
+def test_copies_and_overlaps_give_one_match(spark):
+    rows = [(0, 1000, "wide")] * 500 + [(100, 200, "inner"), (100, 150, "shorter")]
+    for small in (True, False):
+        out = geo.with_ip_location(
+            ips_of(spark, [ip_text(n) for n in (5, 120, 180)]), "ip", ranges_of(spark, rows), small=small
+        )
+        assert [r.location for r in out.orderBy("i").collect()] == ["wide", "inner", "inner"]
+
+
+def test_numbers_above_32_bits(spark):
+    number = 16760504620
+    out = geo.with_ip_location(
+        ips_of(spark, ["999.1.0.300"]), "ip", ranges_of(spark, [(number - 5, number, "far")])
+    )
+    assert out.first().location == "far"
+
+
+def test_plans(spark, no_broadcast, plan):
+    df = ips_of(spark, ["1.1.1.1"])
+    ranges = ranges_of(spark, [(1, 2, "a")])
+    small = plan(geo.with_ip_location(df, "ip", ranges))
+    assert small.count("BroadcastHashJoin") >= 2 and "NestedLoop" not in small
+    large = plan(geo.with_ip_location(df, "ip", ranges, small=False))
+    assert "NestedLoop" not in large and "Cartesian" not in large
+    assert "Python" not in small + large
+
+
+def test_number_column(spark):
+    assert ips_of(spark, ["0.0.1.0"]).select(ip_to_long(F.col("ip"))).first()[0] == 256

@@ -1,0 +1,228 @@
+from __future__ import annotations
+
+import json
+import os
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace import session
+from millrace.operators import envelope as env
+from millrace.operators.enrich import latest_dims
+from millrace.operators.union import union_all
+from millrace.sinks import files, messages
+from millrace.sources import changes, messages as topics
+from millrace.sources.files import read_ip_ranges, read_source_list, tail_lines
+from millrace.sources.tables import read_facts, read_hierarchy
+from millrace.streaming import jobs
+
+
+def put(folder, name, rows, at=None):
+    folder.mkdir(parents=True, exist_ok=True)
+    path = folder / name
+    path.write_text("".join((r if isinstance(r, str) else json.dumps(r)) + "\n" for r in rows))
+    if at:
+        os.utime(path, (at, at))
+
+
+def change(table, row, op="c"):
+    value = {"before": None, "after": row, "source": {"db": "shop"}, "op": op}
+    return {"topic": f"srv.{table}", "key": None, "value": json.dumps(value)}
+
+
+def test_topic_options():
+    got = topics.topic_options("h:1", ["a", "b"], start="latest", group="g", max_per_batch=5000)
+    assert got == {
+        "kafka.bootstrap.servers": "h:1", "startingOffsets": "latest", "subscribe": "a,b",
+        "kafka.group.id": "g", "maxOffsetsPerTrigger": "5000",
+    }
+    assert topics.topic_options("h:1", pattern="s\\..*")["subscribePattern"] == "s\\..*"
+    for bad in ({}, {"topics": ["a"], "pattern": "b"}):
+        with pytest.raises(ValueError):
+            topics.topic_options("h:1", **bad)
+
+
+def test_jdbc_options():
+    got = changes.jdbc_options("jdbc:x", "t", "u", "p", ("id", 0, 100, 8))
+    assert got["partitionColumn"] == "id" and got["numPartitions"] == "8" and got["user"] == "u"
+    assert "user" not in changes.jdbc_options("jdbc:x", "t")
+
+
+def test_read_changes_by_table_and_server(spark, tmp_path):
+    rows = [change("dbo.A", {"Id": 1}), change("dbo.B", {"Id": 2}), change("dbo.C", {"Id": 3})]
+    put(tmp_path / "in", "1.json", rows + [{**rows[0], "topic": "other.dbo.A"}])
+    source = changes.ChangeSource("srv", folder=str(tmp_path / "in"))
+    two = changes.read_changes(spark, source, ["dbo.A", "dbo.B"], streaming=False)
+    assert two.count() == 2
+    assert changes.read_changes(spark, source, streaming=False).count() == 3
+    assert changes.read_changes(spark, source).isStreaming
+
+
+def test_snapshot_precedes_changes(spark, tmp_path):
+    snapshot = changes.snapshot_records(spark.createDataFrame([(1, None)], "Id int, n string"), "srv", "shop", "dbo.A")
+    put(tmp_path / "in", "1.json", [change("dbo.A", {"Id": 1, "n": "x"}, "u")])
+    source = changes.ChangeSource("srv", folder=str(tmp_path / "in"))
+    both = union_all([snapshot, changes.read_changes(spark, source, streaming=False)])
+    out = env.envelope_text(env.flat_envelope(env.read_records(both))).collect()
+    assert [json.loads(r.body)["type"] for r in out] == ["read", "update"]
+    assert json.loads(out[0].body) == {"database": "shop", "table": "A", "Id": 1, "type": "read"}
+
+
+def test_source_lists(spark, tmp_path):
+    (tmp_path / "s.txt").write_text("h1 1433 shop dbo.T u p\nh2 1434 b dbo.U v q\n")
+    (tmp_path / "c.txt").write_text("h1,1433,shop,dbo.T,u,p\n")
+    df = read_source_list(spark, str(tmp_path / "s.txt"))
+    assert tuple(df.first()) == ("h1", 1433, "shop", "dbo.T", "u", "p")
+    assert read_source_list(spark, str(tmp_path / "c.txt"), ",").first() == df.first()
+    for bad in ("h1 port shop dbo.T u p", "h1 1433 shop"):
+        (tmp_path / "bad.txt").write_text(bad)
+        with pytest.raises(Exception, match="CAST_INVALID|INVALID_ARRAY_INDEX"):
+            read_source_list(spark, str(tmp_path / "bad.txt")).collect()
+
+
+def test_one_stream_per_source(spark, tmp_path):
+    (tmp_path / "s.txt").write_text("h1 1 a dbo.A u p\nh2 2 b dbo.B u p\n")
+    for host, table in (("h1", "A"), ("h2", "B")):
+        put(tmp_path / host, "1.json", [change(f"dbo.{table}", {"Id": host})])
+
+    def open_source(entry):
+        source = changes.ChangeSource("srv", folder=str(tmp_path / entry.ip))
+        return changes.read_changes(spark, source, [entry.tb])
+
+    streams = jobs.source_streams(read_source_list(spark, str(tmp_path / "s.txt")), open_source)
+    queries = jobs.start_each(
+        streams,
+        lambda e, s: s.writeStream.format("parquet").option("path", str(tmp_path / "out" / e.ip)),
+        lambda e: jobs.StreamSettings(str(tmp_path / "ck" / e.ip)),
+    )
+    for q in queries:
+        q.awaitTermination()
+    assert [spark.read.parquet(str(tmp_path / "out" / h)).count() for h in ("h1", "h2")] == [1, 1]
+    joined = union_all([s for _, s in streams])
+    writer = joined.writeStream.format("parquet").option("path", str(tmp_path / "all"))
+    jobs.run(writer, jobs.StreamSettings(str(tmp_path / "ck" / "all")))
+    assert spark.read.parquet(str(tmp_path / "all")).count() == 2
+
+
+def test_ranges_and_tables(spark, tmp_path):
+    (tmp_path / "ip.txt").write_text("1.0.1.0|1.0.3.255|C|X|P|T|I\n", encoding="utf-8")
+    assert read_ip_ranges(spark, str(tmp_path / "ip.txt")).first().location == "C,P,T,I"
+    spark.createDataFrame([(1, 2, "g")], "id int, parentid int, CfgGroup string").createOrReplaceTempView("h")
+    assert tuple(read_hierarchy(spark, "h").first()) == ("1", "2", "g")
+    assert read_facts(spark, "h").count() == 1
+
+
+def flat_stream(spark, folder):
+    source = changes.ChangeSource("srv", folder=str(folder))
+    rows = changes.read_changes(spark, source)
+    text = env.envelope_text(env.flat_envelope(env.read_records(rows)))
+    return files.landing_rows(text, table=F.get_json_object("body", "$.table"), by_day=False)
+
+
+def test_landing_stream_resumes_without_loss_or_repeats(spark, tmp_path):
+    settings = jobs.StreamSettings(str(tmp_path / "ck"))
+    path = str(tmp_path / "land")
+    for part in range(3):
+        put(tmp_path / "in", f"{part}.json", [change("dbo.A", {"Id": part * 10 + i}) for i in range(10)])
+        writer = files.land_stream(flat_stream(spark, tmp_path / "in"), path, settings.checkpoint)
+        jobs.run(writer, settings)
+        ids = [json.loads(r.value)["Id"] for r in spark.read.text(path).collect()]
+        assert sorted(ids) == list(range((part + 1) * 10))
+
+
+def test_dimension_is_read_again_in_every_batch(spark, tmp_path):
+    now = time.time()
+    for n in (1, 2):
+        put(tmp_path / "facts", f"{n}.json", [{"value": json.dumps({"database": "shop", "Id": n})}], at=now + n)
+    put(tmp_path / "dims", "1.json", [{"value": "{}", "seq": 0}])
+    facts = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).json(str(tmp_path / "facts"))
+    out = jobs.overwrite_batch(str(tmp_path / "out"))
+
+    def read_dims():
+        rows = spark.read.schema("value string, seq long").json(str(tmp_path / "dims"))
+        return latest_dims(env.parse_envelope(rows))
+
+    def write(batch, batch_id):
+        out(env.envelope_text(batch).select("body"), batch_id)
+        guid = {"DataBase": "shop", "guid": f"G{batch_id}"}
+        put(tmp_path / "dims", f"x{batch_id}.json", [{"value": json.dumps(guid), "seq": batch_id + 1}])
+
+    writer = jobs.enriched_batches(env.parse_envelope(facts).select("envelope"), read_dims, write)
+    jobs.run(writer, jobs.StreamSettings(str(tmp_path / "ck")))
+    rows = [json.loads(r.body) for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    by_id = {r["Id"]: r["database"] for r in rows}
+    assert by_id == {1: "shop", 2: "G0"}  # unmapped at first, and not corrected later
+
+
+def test_word_counts_per_batch_and_running(spark, tmp_path):
+    now = time.time()
+    put(tmp_path / "in", "1.txt", ["a:b::", "a"], at=now + 1)
+    put(tmp_path / "in", "2.txt", ["a"], at=now + 2)
+    lines = tail_lines(spark, str(tmp_path / "in"), max_files=1)
+    jobs.run(jobs.batch_word_counts(lines, str(tmp_path / "out")), jobs.StreamSettings(str(tmp_path / "ck")))
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted((r.batch_id, r.word, r.n) for r in rows) == [(0, "a", 2), (0, "b", 1), (1, "a", 1)]
+    running = jobs.running_word_counts(tail_lines(spark, str(tmp_path / "in")))
+    writer = running.writeStream.outputMode("complete").format("memory").queryName("running")
+    jobs.run(writer, jobs.StreamSettings(str(tmp_path / "ck2")))
+    assert {r.word: r.n for r in spark.table("running").collect()} == {"a": 3, "b": 1}
+
+
+def test_fan_out_and_messages(spark, tmp_path):
+    put(tmp_path / "in", "1.log", ["x", "y"])
+    lines = tail_lines(spark, str(tmp_path / "in" / "*.log"))
+    seen = []
+    jobs.run(
+        jobs.fan_out_batches(lines, [lambda d: seen.append(d.count())] * 2), jobs.StreamSettings(str(tmp_path / "ck"))
+    )
+    assert seen == [2, 2]
+    rows = messages.message_rows(jobs.stamped(lines), "value", topic=F.lit("log"))
+    writer = messages.stream_messages(rows, {"path": str(tmp_path / "t")}, str(tmp_path / "ck2"), fmt="json")
+    jobs.run(writer, jobs.StreamSettings(str(tmp_path / "ck2")))
+    sent = topics.read_message_files(spark, str(tmp_path / "t"), streaming=False)
+    assert sorted(map(tuple, sent.collect())) == [("log", None, "x"), ("log", None, "y")]
+
+
+def test_failed_run_is_retried(spark, tmp_path):
+    put(tmp_path / "in", "1.log", ["x"])
+    tries = []
+
+    def act(batch, batch_id):
+        tries.append(batch_id)
+        if len(tries) < 3:
+            raise RuntimeError("lost")
+
+    settings = jobs.StreamSettings(str(tmp_path / "ck"))
+    jobs.run(jobs.per_batch(tail_lines(spark, str(tmp_path / "in")), act), settings)
+    assert tries == [0, 0, 0]
+    tries[:] = []
+    with pytest.raises(Exception, match="lost"):
+        once = jobs.StreamSettings(str(tmp_path / "ck3"), retries=1)
+        jobs.run(jobs.per_batch(tail_lines(spark, str(tmp_path / "in")), act), once)
+
+
+def test_settings(spark):
+    class Writer:
+        def __init__(self):
+            self.seen = {}
+
+        def option(self, key, value):
+            self.seen[key] = value
+            return self
+
+        def trigger(self, **kw):
+            self.seen.update(kw)
+            return self
+
+    assert jobs.StreamSettings("c", "10 seconds").apply(Writer()).seen == {
+        "checkpointLocation": "c", "processingTime": "10 seconds",
+    }
+    assert jobs.StreamSettings("c").apply(Writer()).seen["availableNow"] is True
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    named = spark.conf.get("spark.checkpoint.dir")
+    assert session.shared_dir(spark) == named
+    assert session.scratch_path(spark, "x").startswith(named)
+    assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
