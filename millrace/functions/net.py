@@ -13,9 +13,9 @@ def ip_to_long(ip: Column) -> Column:
 
     Octets above 255 are not rejected: their high bits run into the octet before.
     """
-    shaped = F.when(ip.isNull(), ip).when(ip.rlike(IPV4_SHAPE), ip).otherwise(F.lit("0.0.0.0"))
-    octets = F.split(shaped, "[.]")
-    number = F.get(octets, F.lit(0)).cast("bigint")
-    for i in range(1, 4):
-        number = F.shiftleft(number, 8).bitwiseOR(F.get(octets, F.lit(i)).cast("bigint"))
-    return number
+    shaped = F.when(ip.isNull() | ip.rlike(IPV4_SHAPE), ip).otherwise(F.lit("0.0.0.0"))
+    return F.aggregate(
+        F.split(shaped, "[.]"),
+        F.lit(0).cast("bigint"),
+        lambda number, octet: F.shiftleft(number, 8).bitwiseOR(octet.cast("bigint")),
+    )

@@ -12,20 +12,21 @@ from pyspark.sql import functions as F
 from millrace.functions import objects
 from millrace.functions.change import change_type, topic_part
 
-RECORD_TYPE = (
-    "before map<string,variant>, after map<string,variant>, source struct<db:string>, op string"
-)
-
-
 def read_records(
-    df: DataFrame, topic: str = "topic", value: str = "value", strict: bool = False
+    df: DataFrame,
+    topic: str = "topic",
+    value: str = "value",
+    strict: bool = False,
+    image: str = objects.OBJECT_TYPE,
 ) -> DataFrame:
     """Add ``change``: schema, table, database, type, row image, and whether the record is usable.
 
     The image is ``after``, else ``before``. A usable record has a three-part topic, a source
-    database and an operation; ``strict`` fails the job on any other.
+    database and an operation; ``strict`` fails the job on any other. Where one table's columns
+    are known, ``image`` may name them as a struct type, which parses faster than an open object.
     """
-    record = F.from_json(F.col(value), RECORD_TYPE, {"mode": "FAILFAST"} if strict else {})
+    known = f"before {image}, after {image}, source struct<db:string>, op string"
+    record = F.from_json(F.col(value), known, {"mode": "FAILFAST"} if strict else {})
     parsed = df.withColumn("_record", record)
     table = topic_part(F.col(topic), 2)
     db, op = F.col("_record.source.db"), F.col("_record.op")
@@ -88,21 +89,23 @@ def flat_envelope(records: DataFrame, out: str = "envelope") -> DataFrame:
 
 def nested_envelope(records: DataFrame, out: str = "envelope") -> DataFrame:
     """``{database: <db>-<schema>, table, data: {<row columns>}, type}`` as a struct."""
-    ok = usable(records)
     body = F.struct(
         F.concat_ws("-", "change.db", "change.schema").alias("database"),
         F.col("change.table").alias("table"),
-        objects.drop_nulls(F.col("change.image")).alias("data"),
+        F.col("change.image").alias("data"),
         F.col("change.type").alias("type"),
     )
-    return ok.withColumn(out, body).drop("change")
+    return usable(records).withColumn(out, body).drop("change")
 
 
 def envelope_text(df: DataFrame, envelope: str = "envelope", out: str = "body") -> DataFrame:
-    """Serialise an envelope column, object or struct, without null entries."""
-    col = F.col(envelope)
-    is_object = df.schema[envelope].dataType.typeName() == "map"
-    return df.withColumn(out, objects.to_text(col) if is_object else F.to_json(col))
+    """Serialise an envelope column, flat or nested, without null entries."""
+    col, kind = F.col(envelope), df.schema[envelope].dataType
+    if kind.typeName() == "map":
+        return df.withColumn(out, objects.to_text(col))
+    if kind["data"].dataType.typeName() == "map":
+        col = col.withField("data", objects.drop_nulls(col["data"]))
+    return df.withColumn(out, F.to_json(col))
 
 
 def parse_envelope(

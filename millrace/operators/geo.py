@@ -52,9 +52,9 @@ def range_pieces(ranges: DataFrame) -> DataFrame:
     """
     one_per_start = (
         ranges.groupBy("start_ip")
-        .agg(F.max(F.struct("end_ip", "location")).alias("r"))
+        .agg(F.max(F.struct("end_ip", "location", "start_ip")).alias("r"))
+        .filter("r.start_ip <= r.end_ip")  # on the result: on the key it would move below the parse
         .select("start_ip", "r.end_ip", "r.location")
-        .filter("start_ip <= end_ip")
     )
     by_prefix = Window.partitionBy("prefix")
     coarse = (

@@ -14,6 +14,9 @@ from millrace.functions.text import split_tokens
 
 FACT_TYPE = "id string, total_amount bigint, is_new string, pro_cnt bigint, tm string, date timestamp"
 
+# The row image of a fact record, for ``read_records``.
+FACT_IMAGE = "struct<id:string,total_amount:string,is_new:string,pro_cnt:string,tm:string>"
+
 TRANSIENT = "transient"
 
 
@@ -37,13 +40,15 @@ def _whole_number(text: Column) -> Column:
 def typed_rows(df: DataFrame, envelope: str = "envelope", now: Column | None = None) -> DataFrame:
     """Fact rows from the ``data`` of nested envelopes, stamped with processing time.
 
-    The envelope may be a struct or still text. Absent amounts and counts are 0.
+    The envelope may be a struct, with its data open or as ``FACT_IMAGE``, or still text. Absent amounts and counts are 0.
     """
-    names = ["id", "total_amount", "is_new", "pro_cnt", "tm"]
-    if df.schema[envelope].dataType.typeName() == "string":
-        data = "data struct<" + ",".join(f"{n}:string" for n in names) + ">"
-        rows = df.select(F.from_json(envelope, data).alias("b")).select("b.data.*")
+    kind = df.schema[envelope].dataType
+    if kind.typeName() == "string":
+        rows = df.select(F.from_json(envelope, f"data {FACT_IMAGE}").alias("b")).select("b.data.*")
+    elif kind["data"].dataType.typeName() == "struct":
+        rows = df.select(f"{envelope}.data.*")
     else:
+        names = ["id", "total_amount", "is_new", "pro_cnt", "tm"]
         rows = df.select(*[objects.get_string(F.col(f"{envelope}.data"), n).alias(n) for n in names])
     zero = F.lit(0).cast("bigint")
     return rows.select(

@@ -333,7 +333,7 @@ def flatten_projection(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _fact_rows(spark: SparkSession, sf: str) -> DataFrame:
-    records = env.read_records(inputs.sales_changes(spark, sf))
+    records = env.read_records(inputs.sales_changes(spark, sf), image=prj.FACT_IMAGE)
     return prj.typed_rows(env.nested_envelope(records), now=_now())
 
 

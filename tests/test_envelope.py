@@ -90,9 +90,12 @@ def test_typed_rows(spark):
         record("c", after={"id": "n", "total_amount": None, "pro_cnt": ""}),
     ]
     nested = env.nested_envelope(env.read_records(frame(spark, values)))
+    known = env.nested_envelope(env.read_records(frame(spark, values), image=prj.FACT_IMAGE))
     want = [("a", 5, None, 0, "X"), ("3", 12, "1", 2, None), ("n", 0, None, 0, None)]
     for df in (
         prj.typed_rows(nested, now=now),
+        prj.typed_rows(known, now=now),
+        prj.typed_rows(env.envelope_text(known), "body", now=now),
         prj.typed_rows(env.envelope_text(nested), "body", now=now),
     ):
         rows = df.collect()
