@@ -5,14 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import cut_lineage
+
 BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 256 * 1024 * 1024
-SALTS = 32
+# A key with more than this share of the rows is hot and gets a slot per such share.
+HOT_SHARE = 1 / 1000
+# Slots of every key where the rows cannot be counted first, i.e. on a stream.
+STREAM_SLOTS = 32
 
 _UNHASHABLE = ("map<", "variant")
 
 
-def _row_bytes(df: DataFrame) -> Column:
+def row_bytes(df: DataFrame) -> Column:
+    """Text bytes of a row and a fixed cost per field."""
     size = F.lit(0)
     for field in df.schema.fields:
         col = F.col(f"`{field.name}`")
@@ -24,7 +30,7 @@ def _row_bytes(df: DataFrame) -> Column:
 def measured_size(df: DataFrame) -> tuple[int, int]:
     """Exact row count and text bytes, from one partially aggregated pass."""
     rows, size = (
-        df.select(_row_bytes(df).cast("bigint").alias("b")).agg(F.count("*"), F.sum("b")).first()
+        df.select(row_bytes(df).cast("bigint").alias("b")).agg(F.count("*"), F.sum("b")).first()
     )
     return rows, size or 0
 
@@ -37,36 +43,64 @@ def fits_broadcast(
     return rows <= max_rows and size <= max_bytes
 
 
-def content_salt(df: DataFrame, salts: int) -> Column:
-    """Salt computed from the row itself, so a re-run task writes every row to the same place."""
+def settled(df: DataFrame, label: str) -> tuple[DataFrame, bool]:
+    """A computed table, written once, and whether it may be broadcast.
+
+    Measuring a frame and then joining it would otherwise compute it twice.
+    """
+    table = cut_lineage(df, label)
+    return table, fits_broadcast(table)
+
+
+def _row_number(df: DataFrame) -> Column:
+    """Number of a row by its content and input split: a re-run task gives the same, copies of a
+    row in other splits give others."""
     hashable = [
         F.col(f"`{f.name}`")
         for f in df.schema.fields
         if not any(word in f.dataType.simpleString() for word in _UNHASHABLE)
     ]
-    return F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int")
+    return F.xxhash64(F.spark_partition_id(), *hashable)
+
+
+def hot_keys(facts: DataFrame, key: str) -> DataFrame:
+    """``(key, slots)`` of the keys with more than ``HOT_SHARE`` of all rows, so fewer than 1000.
+
+    Rows are counted per key, combined before the shuffle; a key gets so many slots that none
+    holds more than that share.
+    """
+    counts = facts.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
+    counts = cut_lineage(counts, "key-counts")
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    share = F.col("_n") / F.lit(max(total * HOT_SHARE, 1.0))
+    return counts.filter(share > 1).select(key, F.ceil(share).cast("int").alias("_slots"))
 
 
 def lookup_join(
-    facts: DataFrame,
-    table: DataFrame,
-    key: str,
-    *,
-    small: bool | None = None,
-    salts: int = SALTS,
+    facts: DataFrame, table: DataFrame, key: str, *, small: bool | None = None
 ) -> DataFrame:
     """Left join to a table with at most one row per ``key``.
 
-    A table whose measured size is small is broadcast and the facts do not move. Otherwise the
-    facts are spread over ``salts`` copies of the table, so that neither a hot key nor a heap of
-    null keys lands in one task; runtime skew handling splits what still clumps.
+    A table whose measured size is small is broadcast and the facts do not move. Otherwise both
+    sides are shuffled, with the rows of a hot key spread over slots that each meet a copy of that
+    key's one row, and rows without a key spread over slots that meet nothing.
     """
     if small is None:
         small = fits_broadcast(table)
     if small:
         return facts.join(F.broadcast(table), key, "left")
-    copies = table.filter(F.col(key).isNotNull()).withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
-    salted = facts.withColumn("_salt", content_salt(facts, salts))
-    return salted.join(copies, [key, "_salt"], "left").drop("_salt")
+    table = table.filter(F.col(key).isNotNull())
+    number = _row_number(facts)
+    spare = F.lit(round(1 / HOT_SHARE))
+    if facts.isStreaming:
+        slots = F.lit(STREAM_SLOTS)
+        keyed = facts
+    else:
+        hot = hot_keys(facts, key)
+        slots = F.coalesce("_slots", F.lit(1))
+        keyed = facts.join(F.broadcast(hot), key, "left")
+        table = table.join(F.broadcast(hot), key, "left")
+    slot = F.pmod(number, F.when(F.col(key).isNull(), spare).otherwise(slots)).cast("int")
+    keyed = keyed.withColumn("_slot", slot)
+    copies = table.withColumn("_slot", F.explode(F.sequence(F.lit(0), slots - 1)))
+    return keyed.drop("_slots").join(copies.drop("_slots"), [key, "_slot"], "left").drop("_slot")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.net import ip_to_long
-from millrace.lookup import fits_broadcast, lookup_join
+from millrace.lookup import lookup_join, settled
 
 # The text returned for an unmatched and for a missing address.
 NO_MATCH = "Other IDC"
@@ -106,16 +106,16 @@ def with_ip_location(
     matched against the distinct addresses, at most 65,536 in any prefix, and the answers are
     joined back.
     """
-    pieces = range_pieces(ranges)
-    if small is None:
-        small = fits_broadcast(pieces)
+    pieces, fits = settled(range_pieces(ranges), "ranges")
+    small = fits if small is None else small
     rows = df.withColumn("_ip", ip_to_long(F.col(ip)))
     if small:
         located = _match(rows, pieces, True)
     else:
         distinct = rows.select("_ip").filter("_ip is not null").distinct()
         answers = _match(distinct, pieces, False).filter("_location is not null")
-        located = lookup_join(rows, answers, "_ip")
+        answers, few = settled(answers, "answers")
+        located = lookup_join(rows, answers, "_ip", small=few)
     value = F.when(F.col("_ip").isNull(), null_message).otherwise(
         F.coalesce(F.col("_location"), F.lit(no_match))
     )

@@ -6,21 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.text import is_not_blank
-from millrace.lookup import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, _row_bytes, lookup_join
+from millrace.lookup import lookup_join, row_bytes, settled
 from millrace.session import cut_lineage
 
 # Fixed value: the group label the first hop must carry.
 FIRST_HOP_GROUP = "产品类目"
 
-_TREE_SALTS = 8
+# Both sides of a round are the same table, so only a small one is worth sending to every task.
+ROUND_BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def _state(chains: DataFrame) -> tuple[int, bool]:
     """Paths still open, and whether the whole table may be broadcast; one small pass."""
-    live, rows, size = chains.select(
-        F.col("tip").isNotNull().cast("bigint").alias("live"), _row_bytes(chains).alias("b")
-    ).agg(F.sum("live"), F.count("*"), F.sum("b")).first()
-    return live or 0, rows <= BROADCAST_MAX_ROWS and (size or 0) <= BROADCAST_MAX_BYTES
+    live, size = chains.select(
+        F.col("tip").isNotNull().cast("bigint").alias("live"), row_bytes(chains).alias("b")
+    ).agg(F.sum("live"), F.sum("b")).first()
+    return live or 0, (size or 0) <= ROUND_BROADCAST_BYTES
 
 
 def ancestor_chains(nodes: DataFrame) -> tuple[DataFrame, bool]:
@@ -43,9 +44,7 @@ def ancestor_chains(nodes: DataFrame) -> tuple[DataFrame, bool]:
         upper = chains.select(
             F.col("id").alias("tip"), F.col("above").alias("_more"), F.col("tip").alias("_tip")
         )
-        grown = lookup_join(
-            chains.filter("tip is not null"), upper, "tip", small=small, salts=_TREE_SALTS
-        )
+        grown = lookup_join(chains.filter("tip is not null"), upper, "tip", small=small)
         walked = F.concat("above", F.coalesce("_more", F.array().cast("array<string>")))
         grown = grown.withColumn("_walked", walked).withColumn(
             "above", F.array_remove(F.array_distinct("_walked"), F.col("id"))
@@ -78,7 +77,7 @@ def parent_paths(edges: DataFrame, group: str = FIRST_HOP_GROUP) -> DataFrame:
     chains, small = ancestor_chains(nodes.select("id", "parent"))
     starts = nodes.filter(is_not_blank(F.col("first"))).select("id", "first")
     upper = chains.select(F.col("id").alias("first"), "above")
-    joined = lookup_join(starts, upper, "first", small=small, salts=_TREE_SALTS)
+    joined = lookup_join(starts, upper, "first", small=small)
     none = F.array().cast("array<string>")
     walk = F.array_distinct(F.concat(F.array("id", "first"), F.coalesce("above", none)))
     return joined.select("id", F.array_join(walk, ",").alias("path"))
@@ -89,6 +88,7 @@ def with_parent_path(
 ) -> DataFrame:
     """Add the ancestor path of an id; an unknown id is its own path, null stays null."""
     paths = parent_paths(edges, group).select(F.col("id").alias("_id"), F.col("path").alias("_path"))
+    paths, small = settled(paths, "paths")
     keyed = df.withColumn("_id", F.col(id_col).cast("string"))
-    joined = lookup_join(keyed, paths, "_id")
+    joined = lookup_join(keyed, paths, "_id", small=small)
     return joined.withColumn(out, F.coalesce("_path", "_id")).select(*df.columns, out)

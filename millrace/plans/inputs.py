@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.sources.tables import spread
+
 MONEY = "decimal(18,2)"
 
 
@@ -12,6 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def rows(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows are about to be built into, or parsed from, text."""
+    return spread(table(spark, sf_dir, name))
+
+
 def text_of(*parts) -> Column:
     return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
 
@@ -85,7 +92,7 @@ def event_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     before = F.when(op.isin("u", "d"), image(F.col("value") - 1))
     after = F.when(op != "d", image(F.col("value")))
-    return table(spark, sf_dir, "events").select(
+    return rows(spark, sf_dir, "events").select(
         text_of("srv.dbo.", F.col("event_type")).alias("topic"),
         F.col("event_id").cast("string").alias("key"),
         change_value(before, after, "shop", op).alias("value"),
@@ -100,7 +107,7 @@ def clashing_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_column = F.to_json(F.struct(*base, filled), {"ignoreNullFields": "false"})
     without = F.to_json(F.struct(*base), {"ignoreNullFields": "false"})
     image = F.when(third < 2, with_column).otherwise(without)
-    return table(spark, sf_dir, "events").select(
+    return rows(spark, sf_dir, "events").select(
         F.lit("srv.dbo.T").alias("topic"),
         F.lit(None).cast("string").alias("key"),
         text_of('{"before":null,"after":', image, ',"source":{"db":"shop"},"op":"c"}').alias("value"),
@@ -114,7 +121,7 @@ def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("Age"),
         F.col("o_orderpriority").alias("Name"),
     )
-    return table(spark, sf_dir, "orders").select(
+    return rows(spark, sf_dir, "orders").select(
         F.lit("srv.dbo.orders").alias("topic"),
         F.col("o_orderkey").cast("string").alias("key"),
         change_value(F.lit(None).cast("string"), row, "shop", F.lit("c")).alias("value"),
@@ -131,7 +138,7 @@ def sales_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(line % 4 != 0, F.col("l_quantity").cast("bigint")).alias("pro_cnt"),
         F.col("l_linestatus").alias("tm"),
     )
-    return table(spark, sf_dir, "lineitem").select(
+    return rows(spark, sf_dir, "lineitem").select(
         F.lit("srv.dbo.flink_test").alias("topic"),
         F.lit(None).cast("string").alias("key"),
         change_value(F.lit(None).cast("string"), row, "test", F.lit("c")).alias("value"),
@@ -147,7 +154,7 @@ def order_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("Id"),
         F.lit("insert").alias("type"),
     )
-    return table(spark, sf_dir, "orders").select(F.to_json(body).alias("value"))
+    return rows(spark, sf_dir, "orders").select(F.to_json(body).alias("value"))
 
 
 def customer_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,8 +181,7 @@ def customer_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(n).cast("bigint").alias("seq"),
         )
 
-    rows = table(spark, sf_dir, "customer").select(F.inline(F.array(version(1), version(2))))
-    return rows
+    return rows(spark, sf_dir, "customer").select(F.inline(F.array(version(1), version(2))))
 
 
 def customer_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,7 +191,7 @@ def customer_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").alias("Id"),
         F.lit("insert").alias("type"),
     )
-    return table(spark, sf_dir, "customer").select(F.to_json(body).alias("value"))
+    return rows(spark, sf_dir, "customer").select(F.to_json(body).alias("value"))
 
 
 def nation_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,14 +261,14 @@ def event_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id"),
         F.col("value"),
     )
-    return table(spark, sf_dir, "events").select(F.to_json(body).alias("body"), "ts")
+    return rows(spark, sf_dir, "events").select(F.to_json(body).alias("body"), "ts")
 
 
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``type:user:type`` lines, with trailing colons in some."""
     tail = F.when(F.col("event_id") % 5 == 0, "::").otherwise("")
     line = F.concat(F.concat_ws(":", "event_type", "user_id", "event_type"), tail)
-    return table(spark, sf_dir, "events").select(line.alias("value"))
+    return rows(spark, sf_dir, "events").select(line.alias("value"))
 
 
 def source_lines(spark: SparkSession, sf_dir: str, sep: str) -> DataFrame:

@@ -17,7 +17,7 @@ from millrace.operators.hierarchy import with_parent_path
 from millrace.operators.union import union_all
 from millrace.operators.words import text_lines, word_count
 from millrace.plans import inputs, reports
-from millrace.session import scratch_path
+from millrace.session import cut_lineage, scratch_path
 from millrace.sinks import database, files, messages, tables
 from millrace.sources.changes import ChangeSource, read_changes, snapshot_records
 from millrace.sources.files import parse_source_list, read_lines, tail_lines
@@ -166,7 +166,7 @@ def cdc_quarantine(spark: SparkSession, sf: str) -> DataFrame:
 
 def snapshot_and_changes(spark: SparkSession, sf: str) -> DataFrame:
     """A table snapshot in front of its own changes."""
-    rows = inputs.table(spark, sf, "events").select(
+    rows = inputs.rows(spark, sf, "events").select(
         "event_id", "user_id", "value", "props", F.lit(None).cast("string").alias("note")
     )
     snapshot = snapshot_records(rows, "srv", "shop", "dbo.events")
@@ -212,12 +212,13 @@ def _opened(df: DataFrame, columns: str) -> DataFrame:
     return text.select(F.from_json("body", columns).alias("b")).select("b.*")
 
 
-def _customer_dims(spark: SparkSession, sf: str) -> DataFrame:
+def dimension_latest(spark: SparkSession, sf: str) -> DataFrame:
     return latest_dims(env.parse_envelope(inputs.customer_feed(spark, sf)))
 
 
-def dimension_latest(spark: SparkSession, sf: str) -> DataFrame:
-    return _customer_dims(spark, sf)
+def _customer_dims(spark: SparkSession, sf: str) -> DataFrame:
+    """The dimension as a written snapshot, since a lookup measures it before joining it."""
+    return cut_lineage(dimension_latest(spark, sf), "dims")
 
 
 def dimension_deletes(spark: SparkSession, sf: str) -> DataFrame:
@@ -401,12 +402,12 @@ def source_list(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def word_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return word_count(text_lines(inputs.table(spark, sf, "documents"), "text"), "line")
+    return word_count(text_lines(inputs.rows(spark, sf, "documents"), "text"), "line")
 
 
 def word_counts_of_files(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "texts")
-    inputs.table(spark, sf, "documents").select("text").write.text(path)
+    inputs.rows(spark, sf, "documents").select("text").write.text(path)
     return word_count(read_lines(spark, path), "value")
 
 
@@ -489,7 +490,7 @@ def capture_enrich_land(spark: SparkSession, sf: str) -> DataFrame:
     row = F.struct(F.col("o_orderkey").alias("Id"), F.col("o_orderpriority").alias("Name"))
     shop = inputs.text_of("shop_", key.cast("string"))
     none = F.lit(None).cast("string")
-    changes = inputs.table(spark, sf, "orders").select(
+    changes = inputs.rows(spark, sf, "orders").select(
         inputs.text_of("srv.dbo.", F.col("o_orderstatus")).alias("topic"),
         inputs.change_value(none, row, shop, F.lit("c")).alias("value"),
     )

@@ -24,3 +24,12 @@ def read_hierarchy(
 def read_facts(spark: SparkSession, table: str) -> DataFrame:
     """Fact rows of a catalog table, as the daily figures read them."""
     return spark.table(table)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan of few splits a task per core, for work that is heavy per row.
+
+    A scan that already has that many splits, as any large table does, is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -71,7 +71,11 @@ def enriched_batches(
     """
 
     def act(batch: DataFrame, batch_id: int) -> None:
-        write(enrich(batch, read_dims(), envelope, tenant), batch_id)
+        dims = read_dims().persist()
+        try:
+            write(enrich(batch, dims, envelope, tenant), batch_id)
+        finally:
+            dims.unpersist()
 
     return per_batch(facts, act)
 

@@ -5,10 +5,13 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from millrace import lookup
 from millrace.operators import envelope as env
 from millrace.operators.enrich import attach, enrich, latest_dims
 from millrace.operators.union import union_all
+from millrace.streaming import jobs
 
 
 def objects_of(spark, bodies):
@@ -78,12 +81,35 @@ def test_hot_key_and_null_keys_against_brute_force(spark, no_broadcast, small):
     )
 
 
-def test_salted_join_spreads_a_hot_key(spark, no_broadcast):
-    facts = spark.range(2000).selectExpr("id", "'hot' as k")
-    salts = facts.select(lookup.content_salt(facts, 32).alias("s")).distinct().count()
-    assert salts == 32
-    again = [r.s for r in facts.select(lookup.content_salt(facts, 32).alias("s")).collect()]
-    assert again == [r.s for r in facts.select(lookup.content_salt(facts, 32).alias("s")).collect()]
+def test_hot_keys_are_exact_and_few(spark):
+    facts = spark.range(4000).selectExpr("if(id % 2 = 0, 'hot', if(id % 4 = 1, null, 'k' || id)) as k", "id")
+    hot = lookup.hot_keys(facts, "k").collect()
+    assert [r.k for r in hot] == ["hot"]
+    assert 600 < hot[0]._slots <= 1000
+    assert lookup.hot_keys(facts.limit(0), "k").count() == 0
+
+
+def test_hot_rows_are_spread_even_when_all_alike(spark, no_broadcast):
+    facts = spark.range(0, 20000, 1, 40).selectExpr("'hot' as k", "'same' as p")
+    dims = spark.createDataFrame([("hot", "v")], "k string, v string")
+    slots = facts.withColumn("n", F.pmod(lookup._row_number(facts), F.lit(1000)))
+    assert slots.select("n").distinct().count() > 30
+    joined = lookup.lookup_join(facts, dims, "k", small=False)
+    assert joined.groupBy("v").count().collect() == [("v", 20000)]
+
+
+def test_lookup_on_a_stream(spark, tmp_path):
+    spark.range(100).selectExpr("if(id % 3 = 0, null, id % 7) k", "id").write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("k long, id long").parquet(str(tmp_path / "in"))
+    dims = spark.range(5).selectExpr("id as k", "'v' || id as v")
+    for small in (True, False):
+        out = lookup.lookup_join(stream, dims, "k", small=small)
+        path, ck = str(tmp_path / f"o{small}"), str(tmp_path / f"c{small}")
+        writer = out.writeStream.format("parquet").option("path", path)
+        jobs.run(writer, jobs.StreamSettings(ck))
+        rows = spark.read.parquet(path).collect()
+        assert len(rows) == 100
+        assert all(r.v == (f"v{r.k}" if r.k is not None and r.k < 5 else None) for r in rows)
 
 
 def test_size_is_measured(spark):

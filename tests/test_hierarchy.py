@@ -57,9 +57,8 @@ def test_default_group_and_many_parents(spark):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_random_forests_with_cycles(spark, no_broadcast, monkeypatch, seed, small):
     if not small:
-        monkeypatch.setattr(hierarchy, "BROADCAST_MAX_ROWS", 0)
-        monkeypatch.setattr("millrace.lookup.BROADCAST_MAX_ROWS", 0)
-        monkeypatch.setattr(hierarchy, "_TREE_SALTS", 3)
+        monkeypatch.setattr(hierarchy, "ROUND_BROADCAST_BYTES", 0)
+        monkeypatch.setattr("millrace.lookup.fits_broadcast", lambda df: False)
     rng = random.Random(seed)
     rows = [(str(i), str(rng.randrange(60)), rng.choice(["CAT", "OTHER"])) for i in range(40)]
     rows += [(str(i), str(i + 1), "CAT") for i in range(100, 120)]  # a chain
