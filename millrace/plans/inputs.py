@@ -139,7 +139,7 @@ def sales_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linestatus").alias("tm"),
     )
     return rows(spark, sf_dir, "lineitem").select(
-        F.lit("srv.dbo.flink_test").alias("topic"),
+        F.lit("srv.dbo.sales").alias("topic"),
         F.lit(None).cast("string").alias("key"),
         change_value(F.lit(None).cast("string"), row, "test", F.lit("c")).alias("value"),
     )

@@ -45,6 +45,10 @@ def _heads(*columns: tuple[str, str]) -> str:
     return ",".join(f'{{"name":"{name}","id":"{i}"}}' for name, i in columns)
 
 
+_BRAND_HEADS = _heads(("商品名称", "tm"), ("品牌交易额", "total_amount"), ("订单数", "pro_cnt"))
+_BRAND_ROW = """
+    '{"tm":"' || tm || '","total_amount":' || total_amount || ',"pro_cnt":' || pro_cnt || '}'"""
+
 # One event per change record; the row image of a delete is the older one.
 _EVENT_COLUMNS = """
     event_id, user_id, CASE WHEN event_id % 4 = 3 THEN value - 1 ELSE value END AS value, props,
@@ -70,6 +74,12 @@ _ENRICHED = f"""
     LEFT JOIN ({_DIMS}) d ON f."database" = d."database" """
 
 
+_CAPTURED = f"""
+    SELECT o_orderstatus AS "table", coalesce(guid, 'shop_' || o_custkey) AS "database", tenantid,
+        o_orderkey AS order_id, o_orderpriority AS "Name", 'insert' AS type
+    FROM orders LEFT JOIN ({_DIMS}) d ON 'shop_' || o_custkey = d."database" """
+
+
 def _dotted(n: str) -> str:
     return " || '.' || ".join(f"((({n}) >> {s}) & 255)" for s in (24, 16, 8, 0))
 
@@ -152,8 +162,8 @@ ALL = {
     "report_gmv": _scalar(_GMV, "order_amount"),
     "report_brands": _table(
         _TM,
-        _heads(("商品名称", "tm"), ("品牌交易额", "total_amount"), ("订单数", "pro_cnt")),
-        """'{"tm":"' || tm || '","total_amount":' || total_amount || ',"pro_cnt":' || pro_cnt || '}'""",
+        _BRAND_HEADS,
+        _BRAND_ROW,
         "total_amount DESC, tm",
     ),
     "report_products": _table(
@@ -206,6 +216,7 @@ ALL = {
     "enrich_columns": f"""
         SELECT o_orderkey, coalesce(guid, 'shop_' || o_custkey) AS "database", tenantid AS dim_tenantid
         FROM orders LEFT JOIN ({_DIMS}) d ON 'shop_' || o_custkey = d."database" """,
+    "dimension_stream": _DIMS,
     "enrich_stream": _ENRICHED,
     "union_sources": """
         SELECT 'customer' AS source, c_custkey AS id FROM customer
@@ -273,10 +284,17 @@ ALL = {
         SELECT 'log' AS topic, value, count(*) AS n FROM ({_LINES}) GROUP BY value""",
     "land_by_table": _LANDED,
     "land_stream": _LANDED,
-    "capture_enrich_land": f"""
-        SELECT o_orderstatus AS "table", coalesce(guid, 'shop_' || o_custkey) AS "database", tenantid,
-            o_orderkey AS order_id, o_orderpriority AS "Name", 'insert' AS type
-        FROM orders LEFT JOIN ({_DIMS}) d ON 'shop_' || o_custkey = d."database" """,
+    "capture_enrich_land": _CAPTURED,
+    "capture_stream_to_files": _CAPTURED,
+    "capture_stream_to_report": _table(
+        f"""SELECT tm, CAST(sum(total_amount) AS BIGINT) AS total_amount,
+            CAST(sum(pro_cnt) AS BIGINT) AS pro_cnt
+        FROM ({_FACTS}) GROUP BY tm HAVING sum(total_amount) > 0
+        ORDER BY total_amount DESC, tm LIMIT 10""",
+        _BRAND_HEADS,
+        _BRAND_ROW,
+        "total_amount DESC, tm",
+    ),
     "append_dynamic": """
         SELECT 'shop' AS "database", 'customer' AS "table", 'read' AS type, c_custkey AS id,
             c_name AS name, CAST(NULL AS DOUBLE) AS balance, c_nationkey AS nation

@@ -16,13 +16,14 @@ from millrace.operators.geo import parse_ranges, with_ip_location
 from millrace.operators.hierarchy import with_parent_path
 from millrace.operators.union import union_all
 from millrace.operators.words import text_lines, word_count
-from millrace.plans import inputs, reports
+from millrace.plans import flows, inputs, reports
 from millrace.session import cut_lineage, scratch_path
 from millrace.sinks import database, files, messages, tables
 from millrace.sources.changes import ChangeSource, read_changes, snapshot_records
 from millrace.sources.files import parse_source_list, read_lines, tail_lines
 from millrace.sources.messages import read_message_files
 from millrace.streaming import jobs
+from millrace.streaming.dims import maintained_dims, snapshot_dims
 
 DAY = 19980316
 GMV_DAY = 19960917
@@ -251,23 +252,32 @@ def enrich_columns(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _streamed_dims(spark: SparkSession, sf: str) -> str:
+    """Run the customer feed as a stream into published snapshots."""
+    feed = scratch_path(spark, "feed")
+    inputs.customer_feed(spark, sf).write.json(feed)
+    rows = spark.readStream.schema("value string, seq bigint").json(feed)
+    path = scratch_path(spark, "dims")
+    writer = maintained_dims(env.parse_envelope(rows), path)
+    jobs.run(writer, jobs.StreamSettings(scratch_path(spark, "ckpt")))
+    return path
+
+
+def dimension_stream(spark: SparkSession, sf: str) -> DataFrame:
+    return snapshot_dims(spark, _streamed_dims(spark, sf))
+
+
 def enrich_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Enrichment per micro-batch, the dimension read inside each batch."""
+    """One stream keeps the dimension, another reads it anew in every micro-batch."""
+    dims = _streamed_dims(spark, sf)
     folder = scratch_path(spark, "facts")
     inputs.order_envelopes(spark, sf).write.json(folder)
-    feed = scratch_path(spark, "feed")
-    inputs.customer_feed(spark, sf).write.json(feed)
     facts = env.parse_envelope(spark.readStream.schema("value string").json(folder))
     out = scratch_path(spark, "out")
-
-    def read_dims() -> DataFrame:
-        rows = spark.read.schema("value string, seq bigint").json(feed)
-        return latest_dims(env.parse_envelope(rows))
-
     write = jobs.overwrite_batch(out)
     writer = jobs.enriched_batches(
         facts.select("envelope"),
-        read_dims,
+        lambda: snapshot_dims(spark, dims),
         lambda batch, batch_id: write(_opened(batch, _ORDER_OUT), batch_id),
     )
     jobs.run(writer, jobs.StreamSettings(scratch_path(spark, "ckpt")))
@@ -484,21 +494,19 @@ def land_stream(spark: SparkSession, sf: str) -> DataFrame:
     return _landed_totals(spark, path)
 
 
-def capture_enrich_land(spark: SparkSession, sf: str) -> DataFrame:
-    """The main path in one job: change records, flat envelopes, tenants, files by table."""
-    key = F.col("o_custkey")
+def _shop_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """Created orders, a database per customer and a topic per order status."""
     row = F.struct(F.col("o_orderkey").alias("Id"), F.col("o_orderpriority").alias("Name"))
-    shop = inputs.text_of("shop_", key.cast("string"))
+    shop = inputs.text_of("shop_", F.col("o_custkey").cast("string"))
     none = F.lit(None).cast("string")
-    changes = inputs.rows(spark, sf, "orders").select(
+    return inputs.rows(spark, sf, "orders").select(
         inputs.text_of("srv.dbo.", F.col("o_orderstatus")).alias("topic"),
+        F.col("o_orderkey").cast("string").alias("key"),
         inputs.change_value(none, row, shop, F.lit("c")).alias("value"),
     )
-    flat = env.flat_envelope(env.read_records(changes)).select("envelope")
-    text = env.envelope_text(enrich(flat, _customer_dims(spark, sf)))
-    name = objects.get_string(F.col("envelope"), "table")
-    path = scratch_path(spark, "ods")
-    files.land_by_table(files.landing_rows(text, table=name, by_day=False), path)
+
+
+def _landed_orders(spark: SparkSession, path: str) -> DataFrame:
     landed = spark.read.schema("value string, `table` string").text(path)
     known = "database string, tenantid string, Id bigint, Name string, type string"
     return landed.select("table", F.from_json("value", known).alias("b")).select(
@@ -506,6 +514,42 @@ def capture_enrich_land(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def capture_enrich_land(spark: SparkSession, sf: str) -> DataFrame:
+    """The main path in one job: change records, flat envelopes, tenants, files by table."""
+    flat = env.flat_envelope(env.read_records(_shop_changes(spark, sf))).select("envelope")
+    text = env.envelope_text(enrich(flat, _customer_dims(spark, sf)))
+    name = objects.get_string(F.col("envelope"), "table")
+    path = scratch_path(spark, "ods")
+    files.land_by_table(files.landing_rows(text, table=name, by_day=False), path)
+    return _landed_orders(spark, path)
+
+
+def capture_stream_to_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The main path as streams: the dimension feed, and the changes landed by table and day."""
+    dims = _streamed_dims(spark, sf)
+    folder = _landed_messages(_shop_changes(spark, sf), "topics")
+    changes = read_changes(spark, ChangeSource("srv", folder=folder))
+    path = scratch_path(spark, "ods")
+    day = F.lit("2024-01-02").cast("date")
+    writer = flows.capture_to_files(changes, lambda: snapshot_dims(spark, dims), path, day)
+    jobs.run(writer, jobs.StreamSettings(scratch_path(spark, "ckpt")))
+    return _landed_orders(spark, path)
+
+
+def capture_stream_to_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The second path: changes to typed facts, then the brand ranking of their day as JSON."""
+    folder = _landed_messages(inputs.sales_changes(spark, sf), "topics")
+    changes = read_changes(spark, ChangeSource("srv", folder=folder), ["dbo.sales"])
+    path = scratch_path(spark, "facts")
+    jobs.run(
+        flows.capture_to_facts(changes, path, now=_now()),
+        jobs.StreamSettings(scratch_path(spark, "ckpt")),
+    )
+    facts = spark.read.schema(prj.FACT_TYPE).parquet(path)
+    ranking = kpi.top_brands(facts, 20240102)
+    return reports.table_report(ranking, reports.BRAND_COLUMNS, "total_amount", ["tm"])
+
+
 def append_dynamic(spark: SparkSession, sf: str) -> DataFrame:
     """Two sources with different keys appended to one typed table."""
     path = scratch_path(spark, "table")
@@ -540,11 +584,13 @@ ALL = {
         trademark_topk, report_amount, report_new, report_gmv, report_brands, report_products,
         report_categories, report_trademarks, cdc_flat, cdc_nested, cdc_collision, cdc_quarantine,
         snapshot_and_changes, changes_of_two_tables, changes_of_server, dimension_latest,
-        dimension_deletes, enrich_two_key, enrich_one_key, enrich_columns, enrich_stream,
+        dimension_deletes, enrich_two_key, enrich_one_key, enrich_columns, dimension_stream,
+        enrich_stream,
         union_sources, ip_number, ip_location, ip_location_large, parent_path, id_projection,
         id_suffix, flatten_projection, typed_rows, typed_rows_of_text, positional_insert, rewrite_event,
         drop_transient, column_value_lists, source_list, word_counts, word_counts_of_files,
         word_pairs, token_lists, colon_count_stream, tail_to_messages, land_by_table, land_stream,
-        capture_enrich_land, append_dynamic, topic_by_table,
+        capture_enrich_land, capture_stream_to_files, capture_stream_to_report, append_dynamic,
+        topic_by_table,
     )
 }

@@ -48,11 +48,38 @@ def land_by_table(
     writer.text(path)
 
 
+def land_batch(
+    rows: DataFrame, path: str, batch_id: int, max_records: int = MAX_RECORDS_PER_FILE
+) -> None:
+    """Land one micro-batch below ``.../batch_id=N``; a repeated batch replaces its own files."""
+    parts = [c for c in ("table", "dt") if c in rows.columns]
+    (
+        rows.hint("rebalance", *parts)
+        .withColumn("batch_id", F.lit(batch_id))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", max_records)
+        .partitionBy(*parts, "batch_id")
+        .text(path)
+    )
+
+
 def land_stream(
-    rows: DataFrame, path: str, checkpoint: str, max_records: int = MAX_RECORDS_PER_FILE
+    rows: DataFrame,
+    path: str,
+    checkpoint: str,
+    slots: int | None = 8,
+    max_records: int = MAX_RECORDS_PER_FILE,
 ) -> DataStreamWriter:
-    """The same layout from a stream; exactly once through the file sink's log."""
+    """The same layout from a stream; exactly once through the file sink's log.
+
+    The rows of a table and day are gathered into at most ``slots`` files per batch, so that a hot
+    table has several writers and a small one few files. ``None`` writes from the reading tasks.
+    """
     parts = [c for c in ("table", "dt") if c in rows.columns]
+    if slots:
+        slot = F.pmod(F.xxhash64("value", F.spark_partition_id()), F.lit(slots))
+        rows = rows.withColumn("_slot", slot).repartition(*parts, "_slot").drop("_slot")
     return (
         rows.writeStream.format("text")
         .partitionBy(*parts)

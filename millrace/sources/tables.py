@@ -29,7 +29,8 @@ def read_facts(spark: SparkSession, table: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Give a scan of few splits a task per core, for work that is heavy per row.
 
-    A scan that already has that many splits, as any large table does, is left alone.
+    Only a scan that leaves at least half of the cores idle is moved, which is half a split per
+    core at most; any large table is left alone.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
