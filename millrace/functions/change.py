@@ -23,9 +23,7 @@ def topic_part(topic: Column, index: int) -> Column:
 
 def change_type(op: Column) -> Column:
     """Lower-case operation name, with ``create`` called ``insert``; other names pass through."""
-    named = F.lower(op)
-    out = F.when(named.isin("c", "create"), "insert")
-    for code, name in OPERATION_NAMES.items():
-        if code != "c":
-            out = out.when(named == code, name)
-    return out.otherwise(named)
+    names = {**OPERATION_NAMES, "c": "insert", "create": "insert"}
+    given = F.lower(op)
+    table = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    return F.coalesce(F.try_element_at(table, given), given)

@@ -8,9 +8,15 @@ from pyspark.sql import functions as F
 OBJECT_TYPE = "map<string,variant>"
 
 
+def parse_value(text: Column, strict: bool = False) -> Column:
+    """Parse JSON text; malformed text, repeated keys included, gives null or fails if ``strict``."""
+    return F.parse_json(text) if strict else F.try_parse_json(text)
+
+
 def parse_object(text: Column, strict: bool = False) -> Column:
-    """Parse a JSON object; malformed text gives null, or fails the job when ``strict``."""
-    return F.from_json(text, OBJECT_TYPE, {"mode": "FAILFAST"} if strict else {})
+    """Parse a JSON object; other text gives null, or fails the job when ``strict``."""
+    get = F.variant_get if strict else F.try_variant_get
+    return get(parse_value(text, strict), "$", OBJECT_TYPE)
 
 
 def get_string(obj: Column, key: str) -> Column:

@@ -25,11 +25,13 @@ def read_records(
     database and an operation; ``strict`` fails the job on any other. Where one table's columns
     are known, ``image`` may name them as a struct type, which parses faster than an open object.
     """
-    known = f"before {image}, after {image}, source struct<db:string>, op string"
-    record = F.from_json(F.col(value), known, {"mode": "FAILFAST"} if strict else {})
-    parsed = df.withColumn("_record", record)
+    parsed = df.withColumn("_record", objects.parse_value(F.col(value), strict))
+
+    def part(path: str, kind: str) -> Column:
+        return F.try_variant_get("_record", path, kind)
+
     table = topic_part(F.col(topic), 2)
-    db, op = F.col("_record.source.db"), F.col("_record.op")
+    db, op = part("$.source.db", "string"), part("$.op", "string")
     usable = table.isNotNull() & db.isNotNull() & op.isNotNull()
     if strict:
         message = F.concat(F.lit("unusable change record on topic "), F.col(topic))
@@ -39,7 +41,7 @@ def read_records(
         table.alias("table"),
         db.alias("db"),
         change_type(op).alias("type"),
-        F.coalesce("_record.after", "_record.before").alias("image"),
+        F.coalesce(part("$.after", image), part("$.before", image)).alias("image"),
         usable.alias("usable"),
     )
     return parsed.withColumn("change", change).drop("_record")
@@ -113,3 +115,8 @@ def parse_envelope(
 ) -> DataFrame:
     """Read envelope text (one JSON object per row) back into an object column."""
     return df.withColumn(out, objects.parse_object(F.col(body), strict))
+
+
+def unparsed(df: DataFrame, body: str = "value", envelope: str = "envelope") -> DataFrame:
+    """The rows whose text ``parse_envelope`` could not read."""
+    return df.filter(F.col(body).isNotNull() & F.col(envelope).isNull())

@@ -87,7 +87,7 @@ def rewrite_event(
     """Headers ``timestamp`` and ``table`` from a JSON body, and the body without ``table``.
 
     The timestamp is the body's ``ModifyTime``, else the current epoch milliseconds. Other
-    headers of a ``headers`` map column stay.
+    headers of a ``headers`` map column stay. A malformed body is kept as it is, with no table.
     """
     parsed = df.withColumn("_obj", objects.parse_object(F.col(body)))
     obj = F.col("_obj")
@@ -100,7 +100,7 @@ def rewrite_event(
         own = F.map_concat(kept, own)
     return (
         parsed.withColumn(headers or "headers", own)
-        .withColumn(body, objects.to_text(objects.remove_key(obj, "table")))
+        .withColumn(body, F.coalesce(objects.to_text(objects.remove_key(obj, "table")), body))
         .drop("_obj")
     )
 

@@ -63,3 +63,18 @@ def positional_stream(
         append_positional(batch, options, target)
 
     return df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+
+
+def dynamic_stream(
+    df: DataFrame,
+    target: StructType,
+    options: Mapping[str, str],
+    checkpoint: str,
+    envelope: str = "envelope",
+) -> DataStreamWriter:
+    """Per-batch appends of object rows, at least once."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        append_dynamic(batch, target, options, envelope)
+
+    return df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

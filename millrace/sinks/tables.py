@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StructType
 
 
@@ -38,3 +39,11 @@ def append_dynamic(df: DataFrame, table: str, envelope: str = "envelope") -> Non
     """
     target = df.sparkSession.table(table).schema
     promote_columns(df, target, envelope).write.insertInto(table)
+
+
+def dynamic_stream(
+    df: DataFrame, target: StructType, path: str, envelope: str = "envelope"
+) -> DataStreamWriter:
+    """The same as a stream into the folder of a parquet table; exactly once by its log."""
+    rows = promote_columns(df, target, envelope)
+    return rows.writeStream.format("parquet").option("path", path).outputMode("append")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -11,7 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from millrace.operators.enrich import enrich
 from millrace.operators.words import word_count
-from millrace.sinks.local import fan_out
+from millrace.sinks.local import fan_out, print_rows
 
 
 @dataclass(frozen=True)
@@ -20,12 +21,13 @@ class StreamSettings:
 
     The folder is fixed per query, so a restart resumes where the last run stopped. ``every`` is a
     processing-time interval such as ``"10 seconds"``; without it the query reads what is there and
-    ends. ``retries`` restarts a failed query that many times.
+    ends. ``run`` restarts a failed query ``retries`` times, ``delay`` seconds after each failure.
     """
 
     checkpoint: str
     every: str | None = None
     retries: int = 3
+    delay: float = 0
 
     def apply(self, writer: DataStreamWriter) -> DataStreamWriter:
         writer = writer.option("checkpointLocation", self.checkpoint)
@@ -48,7 +50,8 @@ def run(writer: DataStreamWriter, settings: StreamSettings) -> StreamingQuery:
         except Exception:
             if attempt == settings.retries:
                 raise
-    return query
+            time.sleep(settings.delay)
+    raise ValueError("retries must not be negative")
 
 
 def per_batch(
@@ -135,3 +138,13 @@ def start_each(
 ) -> list[StreamingQuery]:
     """An independent query per source, each with its own checkpoint."""
     return [start(sink(entry, stream), settings(entry)) for entry, stream in streams]
+
+
+def printed(stream: DataFrame, prefix: str = "", n: int = 10) -> DataStreamWriter:
+    """Print the first rows of every micro-batch."""
+    return per_batch(stream, lambda batch, batch_id: print_rows(batch, prefix, n))
+
+
+def discarded(stream: DataFrame) -> DataStreamWriter:
+    """Run a stream and write nothing."""
+    return stream.writeStream.format("noop")

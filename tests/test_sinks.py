@@ -11,6 +11,7 @@ from millrace.operators import envelope as env
 from millrace.operators.words import word_count
 from millrace.sinks import database, files, local, messages, tables
 from millrace.sources.files import read_lines
+from millrace.streaming import jobs
 
 
 def test_landing_layout(spark, tmp_path):
@@ -87,6 +88,24 @@ def test_append_dynamic(spark):
     spark.sql("DROP TABLE t_dyn")
 
 
+def test_dynamic_streams(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.json").write_text('{"value":"{\\"id\\":1}"}\n{"value":"{\\"NAME\\":\\"x\\"}"}\n')
+    stream = env.parse_envelope(spark.readStream.schema("value string").json(str(tmp_path / "in")))
+    out = str(tmp_path / "out")
+    jobs.run(tables.dynamic_stream(stream, TARGET, out), jobs.StreamSettings(str(tmp_path / "ck")))
+    rows = spark.read.schema(TARGET).parquet(out).collect()
+    assert sorted(map(str, rows)) == ["Row(id=1, Name=None, ok=None)", "Row(id=None, Name='x', ok=None)"]
+    handed = []
+    monkeypatch.setattr(database, "append_rows", lambda df, options: handed.append((df.columns, df.count(), options)))
+    ck = str(tmp_path / "ck2")
+    jobs.run(database.dynamic_stream(stream, TARGET, {"url": "jdbc:x"}, ck), jobs.StreamSettings(ck))
+    ck = str(tmp_path / "ck3")
+    facts = stream.select("value")
+    jobs.run(database.positional_stream(facts, {"url": "jdbc:x"}, ck, ["body"]), jobs.StreamSettings(ck))
+    assert handed == [(["id", "Name", "ok"], 2, {"url": "jdbc:x"}), (["body"], 2, {"url": "jdbc:x"})]
+
+
 def test_positional_rows_and_options(spark):
     df = spark.createDataFrame([(1, "x", 2.0)], "a int, b string, c double")
     assert database.positional_rows(df, ["u", "v"], ["b"]).columns == ["u", "v"]

@@ -184,6 +184,14 @@ def test_fan_out_and_messages(spark, tmp_path):
     assert sorted(map(tuple, sent.collect())) == [("log", None, "x"), ("log", None, "y")]
 
 
+def test_printed_and_discarded(spark, tmp_path, capsys):
+    put(tmp_path / "in", "1.log", ["x"])
+    lines = tail_lines(spark, str(tmp_path / "in"))
+    jobs.run(jobs.printed(lines, "log"), jobs.StreamSettings(str(tmp_path / "ck")))
+    jobs.run(jobs.discarded(lines), jobs.StreamSettings(str(tmp_path / "ck2")))
+    assert 'log> {"value":"x"}' in capsys.readouterr().out
+
+
 def test_failed_run_is_retried(spark, tmp_path):
     put(tmp_path / "in", "1.log", ["x"])
     tries = []
