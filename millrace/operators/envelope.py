@@ -25,13 +25,20 @@ def read_records(
     database and an operation; ``strict`` fails the job on any other. Where one table's columns
     are known, ``image`` may name them as a struct type, which parses faster than an open object.
     """
-    parsed = df.withColumn("_record", objects.parse_value(F.col(value), strict))
+    if image == objects.OBJECT_TYPE:
+        record = objects.parse_value(F.col(value), strict)
+    else:
+        known = f"before {image}, after {image}, source struct<db:string>, op string"
+        record = F.from_json(value, known, {"mode": "FAILFAST"} if strict else {})
+    parsed = df.withColumn("_record", record)
 
     def part(path: str, kind: str) -> Column:
-        return F.try_variant_get("_record", path, kind)
+        if image == objects.OBJECT_TYPE:
+            return F.try_variant_get("_record", f"$.{path}", kind)
+        return F.col(f"_record.{path}")
 
     table = topic_part(F.col(topic), 2)
-    db, op = part("$.source.db", "string"), part("$.op", "string")
+    db, op = part("source.db", "string"), part("op", "string")
     usable = table.isNotNull() & db.isNotNull() & op.isNotNull()
     if strict:
         message = F.concat(F.lit("unusable change record on topic "), F.col(topic))
@@ -41,7 +48,7 @@ def read_records(
         table.alias("table"),
         db.alias("db"),
         change_type(op).alias("type"),
-        F.coalesce(part("$.after", image), part("$.before", image)).alias("image"),
+        F.coalesce(part("after", image), part("before", image)).alias("image"),
         usable.alias("usable"),
     )
     return parsed.withColumn("change", change).drop("_record")
