@@ -131,6 +131,16 @@ _LINES = """
         || CASE WHEN event_id % 5 = 0 THEN '::' ELSE '' END AS value FROM events"""
 
 
+_WALK = """
+    WITH RECURSIVE walk(id, path, up) AS (
+        SELECT p_partkey, CAST(p_partkey AS VARCHAR),
+            CASE WHEN p_partkey > 0 AND p_partkey % 5 <> 0 THEN p_partkey // 2 END
+        FROM part
+        UNION ALL
+        SELECT id, path || ',' || up, CASE WHEN up > 0 THEN up // 2 END
+        FROM walk WHERE up IS NOT NULL)"""
+
+
 def _words(lines: str, delimiter: str) -> str:
     return f"""
         SELECT word, count(*) AS n FROM (
@@ -226,14 +236,8 @@ ALL = {
     "ip_number": _NUMBERS,
     "ip_location": _LOCATION,
     "ip_location_large": _LOCATION,
-    "parent_path": """
-        WITH RECURSIVE walk(id, path, up) AS (
-            SELECT p_partkey, CAST(p_partkey AS VARCHAR),
-                CASE WHEN p_partkey > 0 AND p_partkey % 5 <> 0 THEN p_partkey // 2 END
-            FROM part
-            UNION ALL
-            SELECT id, path || ',' || up, CASE WHEN up > 0 THEN up // 2 END
-            FROM walk WHERE up IS NOT NULL)
+    "parent_path": f"""
+        {_WALK}
         SELECT l_orderkey, l_linenumber, CAST(l_partkey AS VARCHAR) AS id,
             coalesce(path, CAST(l_partkey AS VARCHAR)) AS path
         FROM lineitem LEFT JOIN (SELECT id, path FROM walk WHERE up IS NULL) w ON l_partkey = w.id""",
@@ -303,4 +307,24 @@ ALL = {
         SELECT 'shop', 'supplier', 'read', s_suppkey, NULL, s_acctbal, NULL FROM supplier""",
     "topic_by_table": f"""
         SELECT event_type AS topic, CAST(event_id AS VARCHAR) AS key, {_EVENT_TYPE} AS type FROM events""",
+    "figures_of_table": f"""
+        SELECT 'amount' AS figure, total_amount AS value FROM ({_AMOUNT})
+        UNION ALL SELECT 'new', CAST(new_count AS DECIMAL(18,2)) FROM ({_NEW})""",
+    "streams_per_source": _FLAT,
+    "union_of_source_list": _FLAT,
+    "parent_paths_of_table": f"""
+        {_WALK}
+        SELECT CAST(id AS VARCHAR) AS id, path FROM walk
+        WHERE up IS NULL AND id > 0 AND id % 5 <> 0""",
+    "running_count_stream": _words(f"SELECT value AS line FROM ({_LINES})", ":"),
+    "append_dynamic_stream": """
+        SELECT 'shop' AS "database", 'customer' AS "table", 'read' AS type, c_custkey AS id,
+            c_name AS name, CAST(NULL AS DOUBLE) AS balance
+        FROM customer
+        UNION ALL
+        SELECT 'shop', 'supplier', 'read', s_suppkey, NULL, s_acctbal FROM supplier""",
+    "fan_out_sinks": """
+        SELECT event_type AS "table", count(*) AS n, sink
+        FROM events, (VALUES ('rows'), ('text')) AS sinks(sink)
+        GROUP BY event_type, sink""",
 }

@@ -13,15 +13,16 @@ from millrace.operators import kpi
 from millrace.operators import projections as prj
 from millrace.operators.enrich import attach, enrich, latest_dims
 from millrace.operators.geo import parse_ranges, with_ip_location
-from millrace.operators.hierarchy import with_parent_path
+from millrace.operators.hierarchy import parent_paths, with_parent_path
 from millrace.operators.union import union_all
 from millrace.operators.words import text_lines, word_count
 from millrace.plans import flows, inputs, reports
 from millrace.session import cut_lineage, scratch_path
 from millrace.sinks import database, files, messages, tables
 from millrace.sources.changes import ChangeSource, read_changes, snapshot_records
-from millrace.sources.files import parse_source_list, read_lines, tail_lines
+from millrace.sources.files import parse_source_list, read_lines, read_source_list, tail_lines
 from millrace.sources.messages import read_message_files
+from millrace.sources.tables import read_facts, read_hierarchy
 from millrace.streaming import jobs
 from millrace.streaming.dims import maintained_dims, snapshot_dims
 
@@ -110,6 +111,19 @@ def report_trademarks(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def figures_of_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Amount and count of a day from a catalog table."""
+    inputs.sales_facts(spark, sf).createOrReplaceTempView("millrace_facts")
+    facts = read_facts(spark, "millrace_facts")
+    amount = kpi.amount(facts, DAY).select(
+        F.lit("amount").alias("figure"), F.col("total_amount").cast(inputs.MONEY).alias("value")
+    )
+    count = kpi.new_count(facts, DAY).select(
+        F.lit("new").alias("figure"), F.col("new_count").cast(inputs.MONEY).alias("value")
+    )
+    return amount.unionByName(count)
+
+
 # --- change envelopes ------------------------------------------------------------------------
 
 _EVENT_ROW = "event_id bigint, user_id bigint, value double, props string, note string"
@@ -203,6 +217,42 @@ def changes_of_server(spark: SparkSession, sf: str) -> DataFrame:
     return _streamed(flat, scratch_path(spark, "out"), scratch_path(spark, "ckpt"))
 
 
+def _type_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """A source list with one entry per event type, read back from its file."""
+    kinds = inputs.table(spark, sf, "events").select("event_type").distinct()
+    path = scratch_path(spark, "list")
+    kinds.select(F.format_string("h1 1433 shop dbo.%s u p", "event_type").alias("value")).write.text(path)
+    return read_source_list(spark, path)
+
+
+def streams_per_source(spark: SparkSession, sf: str) -> DataFrame:
+    """An independent stream for every entry of a source list, each into its own folder."""
+    folder = _landed_messages(inputs.event_changes(spark, sf), "topics")
+    source, out = ChangeSource("srv", folder=folder), scratch_path(spark, "out")
+    streams = jobs.source_streams(
+        _type_sources(spark, sf), lambda entry: _flat_events(read_changes(spark, source, [entry.tb]))
+    )
+    queries = jobs.start_each(
+        streams,
+        lambda entry, s: s.writeStream.format("parquet").option("path", f"{out}/{entry.tb}"),
+        lambda entry: jobs.StreamSettings(scratch_path(spark, "ckpt")),
+    )
+    for query in queries:
+        query.awaitTermination()
+    return union_all([spark.read.schema(s.schema).parquet(f"{out}/{e.tb}") for e, s in streams])
+
+
+def union_of_source_list(spark: SparkSession, sf: str) -> DataFrame:
+    """One stream over the union of all entries of a source list."""
+    folder = _landed_messages(inputs.event_changes(spark, sf), "topics")
+    source = ChangeSource("srv", folder=folder)
+    streams = jobs.source_streams(
+        _type_sources(spark, sf), lambda entry: read_changes(spark, source, [entry.tb])
+    )
+    flat = _flat_events(union_all([s for _, s in streams]))
+    return _streamed(flat, scratch_path(spark, "out"), scratch_path(spark, "ckpt"))
+
+
 # --- enrichment ------------------------------------------------------------------------------
 
 _ORDER_OUT = "database string, tenantid string, Id bigint, `table` string, type string"
@@ -323,6 +373,13 @@ def parent_path(spark: SparkSession, sf: str) -> DataFrame:
     return with_parent_path(items, "id", inputs.part_edges(spark, sf), "CAT")
 
 
+def parent_paths_of_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Paths of every id of a catalog table whose first hop carries the group."""
+    edges = inputs.part_edges(spark, sf).withColumnRenamed("cfg_group", "CfgGroup")
+    edges.createOrReplaceTempView("millrace_tree")
+    return parent_paths(read_hierarchy(spark, "millrace_tree"), "CAT")
+
+
 # --- record transforms -----------------------------------------------------------------------
 
 
@@ -447,6 +504,19 @@ def colon_count_stream(spark: SparkSession, sf: str) -> DataFrame:
     return counts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def running_count_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts over the whole stream, the full result rewritten after every batch."""
+    folder = scratch_path(spark, "lines")
+    inputs.event_lines(spark, sf).write.text(folder)
+    out = scratch_path(spark, "out")
+    counts = jobs.running_word_counts(tail_lines(spark, folder, max_files=4))
+    writer = counts.writeStream.outputMode("complete").foreachBatch(
+        lambda batch, batch_id: batch.write.mode("overwrite").parquet(out)
+    )
+    jobs.run(writer, jobs.StreamSettings(scratch_path(spark, "ckpt")))
+    return spark.read.schema("word string, n bigint").parquet(out)
+
+
 def tail_to_messages(spark: SparkSession, sf: str) -> DataFrame:
     """Log lines streamed raw to a topic; JSON files stand in for the broker."""
     folder = scratch_path(spark, "logs")
@@ -568,6 +638,52 @@ def append_dynamic(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def append_dynamic_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Object rows streamed into a typed folder, two sources with different keys."""
+    folder = scratch_path(spark, "topics")
+    for source, row in (
+        ("customer", ["c_custkey Id", "c_name name"]),
+        ("supplier", ["s_suppkey ID", "s_acctbal balance"]),
+    ):
+        rows = inputs.table(spark, sf, source).selectExpr(*row)
+        snapshot_records(rows, "srv", "shop", f"dbo.{source}").write.mode("append").json(folder)
+    columns = "`database` STRING, `table` STRING, `type` STRING, id BIGINT, name STRING, balance DOUBLE"
+    target = spark.createDataFrame([], columns).schema
+    changes = read_changes(spark, ChangeSource("srv", folder=folder))
+    flat = env.flat_envelope(env.read_records(changes))
+    path = scratch_path(spark, "table")
+    jobs.run(
+        tables.dynamic_stream(flat, target, path), jobs.StreamSettings(scratch_path(spark, "ckpt"))
+    )
+    return spark.read.schema(target).parquet(path)
+
+
+def fan_out_sinks(spark: SparkSession, sf: str) -> DataFrame:
+    """One stream to two sinks per batch: whole rows, and text by table."""
+    folder = _landed_messages(inputs.event_changes(spark, sf), "topics")
+    changes = read_changes(spark, ChangeSource("srv", folder=folder))
+    text = env.envelope_text(env.flat_envelope(env.read_records(changes)))
+    rows, land = scratch_path(spark, "rows"), scratch_path(spark, "land")
+
+    write_rows = jobs.overwrite_batch(rows)
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        write_rows(batch.select("key", "body"), batch_id)
+
+    def by_table(batch: DataFrame, batch_id: int) -> None:
+        name = objects.get_string(F.col("envelope"), "table")
+        files.land_batch(files.landing_rows(batch, table=name, by_day=False), land, batch_id)
+
+    jobs.run(
+        jobs.fan_out_batches(text, [keep, by_table]), jobs.StreamSettings(scratch_path(spark, "ckpt"))
+    )
+    kept = spark.read.schema("key string, body string").parquet(rows)
+    landed = spark.read.schema("value string, `table` string").text(land)
+    one = kept.groupBy(F.get_json_object("body", "$.table").alias("table")).agg(F.count("*").alias("n"))
+    two = landed.groupBy("table").agg(F.count("*").alias("n"))
+    return one.withColumn("sink", F.lit("rows")).unionByName(two.withColumn("sink", F.lit("text")))
+
+
 def topic_by_table(spark: SparkSession, sf: str) -> DataFrame:
     """Messages routed to a topic named by the table of each envelope."""
     flat = env.flat_envelope(env.read_records(inputs.event_changes(spark, sf)))
@@ -591,6 +707,7 @@ ALL = {
         drop_transient, column_value_lists, source_list, word_counts, word_counts_of_files,
         word_pairs, token_lists, colon_count_stream, tail_to_messages, land_by_table, land_stream,
         capture_enrich_land, capture_stream_to_files, capture_stream_to_report, append_dynamic,
-        topic_by_table,
+        topic_by_table, figures_of_table, streams_per_source, union_of_source_list,
+        parent_paths_of_table, running_count_stream, append_dynamic_stream, fan_out_sinks,
     )
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -110,10 +111,21 @@ def running_word_counts(lines: DataFrame, line: str = "value", delimiter: str =
 
 
 def fan_out_batches(
-    stream: DataFrame, sinks: Sequence[Callable[[DataFrame], None]]
+    stream: DataFrame, sinks: Sequence[Callable[[DataFrame, int], None]]
 ) -> DataStreamWriter:
-    """Hand each micro-batch, computed once, to several sinks."""
-    return per_batch(stream, lambda batch, batch_id: fan_out(batch, sinks))
+    """Hand each micro-batch, computed once, to several sinks.
+
+    A sink gets the batch number too, to replace its own output when a batch runs again.
+    """
+
+    def act(batch: DataFrame, batch_id: int) -> None:
+        fan_out(batch, [partial(_numbered, sink, batch_id) for sink in sinks])
+
+    return per_batch(stream, act)
+
+
+def _numbered(sink: Callable[[DataFrame, int], None], batch_id: int, batch: DataFrame) -> None:
+    sink(batch, batch_id)
 
 
 def stamped(df: DataFrame, out: str = "processed_at") -> DataFrame:

@@ -174,9 +174,9 @@ def test_fan_out_and_messages(spark, tmp_path):
     lines = tail_lines(spark, str(tmp_path / "in" / "*.log"))
     seen = []
     jobs.run(
-        jobs.fan_out_batches(lines, [lambda d: seen.append(d.count())] * 2), jobs.StreamSettings(str(tmp_path / "ck"))
+        jobs.fan_out_batches(lines, [lambda d, n: seen.append((n, d.count()))] * 2), jobs.StreamSettings(str(tmp_path / "ck"))
     )
-    assert seen == [2, 2]
+    assert seen == [(0, 2), (0, 2)]
     rows = messages.message_rows(jobs.stamped(lines), "value", topic=F.lit("log"))
     writer = messages.stream_messages(rows, {"path": str(tmp_path / "t")}, str(tmp_path / "ck2"), fmt="json")
     jobs.run(writer, jobs.StreamSettings(str(tmp_path / "ck2")))
