@@ -44,8 +44,8 @@ def top_by(
     )
 
 
-def top_brands(facts: DataFrame, day: int, limit: int = 10) -> DataFrame:
-    return top_by(facts, day, ["tm"], ["total_amount", "pro_cnt"], limit)
+def top_brands(facts: DataFrame, day: int, limit: int = 10, ts: str = "date") -> DataFrame:
+    return top_by(facts, day, ["tm"], ["total_amount", "pro_cnt"], limit, ts)
 
 
 def top_products(facts: DataFrame, day: int, limit: int = 10) -> DataFrame:

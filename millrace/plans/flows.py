@@ -25,7 +25,8 @@ def capture_to_files(
     """Change records to flat envelopes, enriched per batch, as text by table and day.
 
     The day is the batch's processing date unless given; it is fixed before the batch runs, so a
-    repeated batch lands in the same folders.
+    repeated batch lands in the same folders. Every batch has its own folders: let the trigger be
+    the interval at which files should roll.
     """
     day = F.current_date() if day is None else day
     flat = env.flat_envelope(env.read_records(changes.withColumn("_day", day)))
@@ -39,7 +40,15 @@ def capture_to_files(
 
 
 def capture_to_facts(changes: DataFrame, path: str, now: Column | None = None) -> DataStreamWriter:
-    """Change records of the fact table to typed rows in a parquet folder the figures read."""
+    """Change records of the fact table to typed rows in a parquet folder the figures read.
+
+    Rows are partitioned by the day of their date: figures over ``ts="dt"`` read one folder.
+    """
     records = env.read_records(changes, image=FACT_IMAGE)
-    facts = typed_rows(env.nested_envelope(records), now=now)
-    return facts.writeStream.format("parquet").option("path", path).outputMode("append")
+    facts = typed_rows(env.nested_envelope(records), now=now).withColumn("dt", F.to_date("date"))
+    return (
+        facts.writeStream.format("parquet")
+        .partitionBy("dt")
+        .option("path", path)
+        .outputMode("append")
+    )

@@ -615,8 +615,8 @@ def capture_stream_to_report(spark: SparkSession, sf: str) -> DataFrame:
         flows.capture_to_facts(changes, path, now=_now()),
         jobs.StreamSettings(scratch_path(spark, "ckpt")),
     )
-    facts = spark.read.schema(prj.FACT_TYPE).parquet(path)
-    ranking = kpi.top_brands(facts, 20240102)
+    facts = spark.read.schema(f"{prj.FACT_TYPE}, dt date").parquet(path)
+    ranking = kpi.top_brands(facts, 20240102, ts="dt")
     return reports.table_report(ranking, reports.BRAND_COLUMNS, "total_amount", ["tm"])
 
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import envelope as env
+from millrace.operators import kpi
 from millrace.plans import flows
 from millrace.sinks import files
 from millrace.sources.changes import ChangeSource, read_changes
@@ -111,13 +112,16 @@ def test_processing_date_is_the_default_day(spark, tmp_path):
     assert str(days.dt) == str(days.d)
 
 
-def test_capture_to_facts(spark, tmp_path):
+def test_capture_to_facts(spark, tmp_path, plan):
     put(tmp_path / "in", "1.json", [change("sales", {"id": 1, "total_amount": 5}), change("sales", {"id": 2})])
     changes = read_changes(spark, ChangeSource("srv", folder=str(tmp_path / "in")))
     jobs.run(flows.capture_to_facts(changes, str(tmp_path / "f")), jobs.StreamSettings(str(tmp_path / "ck")))
     rows = spark.read.parquet(str(tmp_path / "f")).orderBy("id").collect()
     assert [(r.id, r.total_amount, r.pro_cnt) for r in rows] == [("1", 5, 0), ("2", 0, 0)]
     assert rows[0].date is not None
+    facts = spark.read.parquet(str(tmp_path / "f"))
+    assert "PartitionFilters: [isnotnull(dt" in plan(kpi.amount(facts, 20240102, ts="dt"))
+    assert kpi.new_count(facts, 0, ts="dt").first()[0] == 2
 
 
 def test_stream_landing_gathers_files(spark, tmp_path):
