@@ -32,5 +32,5 @@ def split_lines(text: Column) -> Column:
 
 
 def is_not_blank(text: Column) -> Column:
-    """False for null, empty and all-whitespace text."""
-    return F.coalesce(text.rlike(r"\S"), F.lit(False))
+    """False for null, empty and all-whitespace text; wide Unicode spaces count as whitespace."""
+    return F.coalesce(text.rlike(r"\P{javaWhitespace}"), F.lit(False))

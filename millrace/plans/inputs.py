@@ -194,20 +194,22 @@ def customer_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows(spark, sf_dir, "customer").select(F.to_json(body).alias("value"))
 
 
-def nation_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dimension feed with a guid only; the guid of every fourth nation is deleted again."""
-    key = F.col("n_nationkey")
-    name = text_of("db_", key.cast("string"))
-    first = F.struct(
-        name.alias("DataBase"), text_of("g-", F.col("n_name")).alias("guid"), F.lit("insert").alias("type")
-    )
-    last = F.struct(
-        name.alias("DataBase"),
-        text_of("g-", F.col("n_name")).alias("guid"),
-        F.when(key % 4 == 0, "delete").otherwise("update").alias("type"),
-    )
-    row = lambda body, n: F.struct(F.to_json(body).alias("value"), F.lit(n).alias("seq"))
-    return table(spark, sf_dir, "nation").select(F.inline(F.array(row(first, 1), row(last, 2))))
+def guid_feed(
+    spark: SparkSession, sf_dir: str, source: str, prefix: str, key: str, name: str
+) -> DataFrame:
+    """Dimension feed with a guid only; the guid of every fourth row is deleted again."""
+    number = F.col(key)
+    database = text_of(prefix, number.cast("string"))
+
+    def version(n: int, kind: Column) -> Column:
+        body = F.struct(
+            database.alias("DataBase"), text_of("g-", F.col(name)).alias("guid"), kind.alias("type")
+        )
+        return F.struct(F.to_json(body).alias("value"), F.lit(n).alias("seq"))
+
+    last = F.when(number % 4 == 0, "delete").otherwise("update")
+    versions = F.array(version(1, F.lit("insert")), version(2, last))
+    return rows(spark, sf_dir, source).select(F.inline(versions))
 
 
 def dotted(number: Column) -> Column:

@@ -216,8 +216,8 @@ ALL = {
     "changes_of_server": _FLAT,
     "dimension_latest": _DIMS,
     "dimension_deletes": """
-        SELECT 'db_' || n_nationkey AS "database", 'g-' || n_name AS guid
-        FROM nation WHERE n_nationkey % 4 <> 0""",
+        SELECT 'shop_' || c_custkey AS "database", 'g-' || c_name AS guid
+        FROM customer WHERE c_custkey % 4 <> 0""",
     "enrich_two_key": _ENRICHED,
     "enrich_one_key": """
         SELECT coalesce('g-' || n_name, 'db_' || c_nationkey) AS "database", c_custkey AS cust_id,

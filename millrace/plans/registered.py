@@ -273,8 +273,9 @@ def _customer_dims(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dimension_deletes(spark: SparkSession, sf: str) -> DataFrame:
-    feed = env.parse_envelope(inputs.nation_feed(spark, sf))
-    return latest_dims(feed, honor_deletes=True).select("database", "guid")
+    feed = inputs.guid_feed(spark, sf, "customer", "shop_", "c_custkey", "c_name")
+    dims = latest_dims(env.parse_envelope(feed), honor_deletes=True)
+    return dims.select("database", "guid")
 
 
 def enrich_two_key(spark: SparkSession, sf: str) -> DataFrame:
@@ -285,8 +286,8 @@ def enrich_two_key(spark: SparkSession, sf: str) -> DataFrame:
 
 def enrich_one_key(spark: SparkSession, sf: str) -> DataFrame:
     facts = env.parse_envelope(inputs.customer_envelopes(spark, sf)).select("envelope")
-    dims = latest_dims(env.parse_envelope(inputs.nation_feed(spark, sf)))
-    out = enrich(facts, dims, tenant=False)
+    feed = inputs.guid_feed(spark, sf, "nation", "db_", "n_nationkey", "n_name")
+    out = enrich(facts, latest_dims(env.parse_envelope(feed)), tenant=False)
     return _opened(out, "database string, Id bigint, `table` string").withColumnRenamed("Id", "cust_id")
 
 

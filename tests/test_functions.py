@@ -68,8 +68,9 @@ def test_split_lines_as_a_file_scan(spark, tmp_path):
 
 
 def test_blank(spark):
-    rows = texts(spark, [None, "", "  ", "\t", " x "]).select(is_not_blank(F.col("v"))).collect()
-    assert [r[0] for r in rows] == [False, False, False, False, True]
+    values = [None, "", "  ", "\t", "\u3000", "\u2003\n", " x ", "\u00a0"]
+    rows = texts(spark, values).select(is_not_blank(F.col("v"))).collect()
+    assert [r[0] for r in rows] == [False] * 6 + [True] * 2
 
 
 def test_ip_fixture(spark):
