@@ -39,9 +39,14 @@ def remove_key(obj: Column, key: str) -> Column:
     return F.map_filter(obj, lambda k, v: k != key)
 
 
+def is_value(value: Column) -> Column:
+    """False for a missing value and for JSON null."""
+    return value.isNotNull() & ~F.is_variant_null(value)
+
+
 def drop_nulls(obj: Column) -> Column:
     """Without the entries that hold JSON null."""
-    return F.map_filter(obj, lambda k, v: v.isNotNull() & ~F.is_variant_null(v))
+    return F.map_filter(obj, lambda k, v: is_value(v))
 
 
 def to_text(obj: Column) -> Column:

@@ -77,51 +77,54 @@ def flat_envelope(records: DataFrame, out: str = "envelope") -> DataFrame:
     """``{database, table, <row columns>, type}`` as one object.
 
     A row column called ``database`` or ``table`` replaces the envelope's own, even when it is
-    null; the envelope's ``type`` replaces a row column of that name. Null entries go when the
-    envelope is written as text.
+    null; the envelope's ``type`` replaces a row column of that name. Null entries are absent.
     """
     image = F.col("change.image")
 
+    def in_row(key: str) -> Column:
+        return F.coalesce(F.map_contains_key(image, key), F.lit(False))
+
     def own(key: str, value: Column) -> Column:
-        in_row = F.coalesce(F.map_contains_key(image, key), F.lit(False))
-        return F.when(in_row, image.getItem(key)).otherwise(_text_variant(value))
+        return F.when(in_row(key), image.getItem(key)).otherwise(_text_variant(value))
 
     head = F.create_map(
         F.lit("database"), own("database", F.col("change.db")),
         F.lit("table"), own("table", F.col("change.table")),
         F.lit("type"), _text_variant(F.col("change.type")),
     )
-    row = F.map_filter(image, lambda k, v: ~k.isin("database", "table", "type"))
+    head = F.when(in_row("database") | in_row("table"), objects.drop_nulls(head)).otherwise(head)
+    row = F.map_filter(
+        image,
+        lambda k, v: ~k.isin("database", "table", "type") & objects.is_value(v),
+    )
     envelope = F.map_concat(head, F.coalesce(row, F.create_map().cast(objects.OBJECT_TYPE)))
     return usable(records).withColumn(out, envelope).drop("change")
 
 
 def nested_envelope(records: DataFrame, out: str = "envelope") -> DataFrame:
     """``{database: <db>-<schema>, table, data: {<row columns>}, type}`` as a struct."""
+    ok, image = usable(records), F.col("change.image")
+    if ok.schema["change"].dataType["image"].dataType.typeName() == "map":
+        image = objects.drop_nulls(image)
     body = F.struct(
         F.concat_ws("-", "change.db", "change.schema").alias("database"),
         F.col("change.table").alias("table"),
-        F.col("change.image").alias("data"),
+        image.alias("data"),
         F.col("change.type").alias("type"),
     )
-    return usable(records).withColumn(out, body).drop("change")
+    return ok.withColumn(out, body).drop("change")
 
 
 def envelope_text(df: DataFrame, envelope: str = "envelope", out: str = "body") -> DataFrame:
-    """Serialise an envelope column, flat or nested, without null entries."""
-    col, kind = F.col(envelope), df.schema[envelope].dataType
-    if kind.typeName() == "map":
-        return df.withColumn(out, objects.to_text(col))
-    if kind["data"].dataType.typeName() == "map":
-        col = col.withField("data", objects.drop_nulls(col["data"]))
-    return df.withColumn(out, F.to_json(col))
+    """Serialise an envelope column, flat or nested; envelopes hold no null entries."""
+    return df.withColumn(out, F.to_json(envelope))
 
 
 def parse_envelope(
     df: DataFrame, body: str = "value", out: str = "envelope", strict: bool = False
 ) -> DataFrame:
     """Read envelope text (one JSON object per row) back into an object column."""
-    return df.withColumn(out, objects.parse_object(F.col(body), strict))
+    return df.withColumn(out, objects.drop_nulls(objects.parse_object(F.col(body), strict)))
 
 
 def unparsed(df: DataFrame, body: str = "value", envelope: str = "envelope") -> DataFrame:
