@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,10 +33,22 @@ def get_object(obj: Column, key: str) -> Column:
     return obj.getItem(key).cast(OBJECT_TYPE)
 
 
+def put_strings(obj: Column, values: Mapping[str, Column]) -> Column:
+    """Set or overwrite keys; a null value leaves its key as it is."""
+    texts = {key: value.cast("string") for key, value in values.items()}
+    pairs = [x for key, text in texts.items() for x in (F.lit(key), text.cast("variant"))]
+    given = reduce(or_, [text.isNotNull() for text in texts.values()])
+
+    def untouched(k: Column, v: Column) -> Column:
+        return ~reduce(or_, [(k == key) & text.isNotNull() for key, text in texts.items()])
+
+    changed = F.map_concat(F.map_filter(obj, untouched), drop_nulls(F.create_map(*pairs)))
+    return F.when(given, changed).otherwise(obj)
+
+
 def put_string(obj: Column, key: str, value: Column) -> Column:
-    """Set or overwrite a key; a null value leaves the object as it is."""
-    entry = F.create_map(F.lit(key), value.cast("string").cast("variant"))
-    return F.when(value.isNotNull(), F.map_concat(remove_key(obj, key), entry)).otherwise(obj)
+    """Set or overwrite one key; a null value leaves the object as it is."""
+    return put_strings(obj, {key: value})
 
 
 def remove_key(obj: Column, key: str) -> Column:

@@ -71,9 +71,8 @@ def enrich(
     columns = ["database", "guid"] + (["tenantid"] if tenant else [])
     keyed = facts.withColumn("_db", objects.get_string(F.col(envelope), "database"))
     joined = attach(keyed, dims.select(*columns), "_db", small=small)
-    out = objects.put_string(F.col(envelope), "database", F.col("dim_guid"))
-    joined = joined.withColumn(envelope, out)
+    added = {"database": F.col("dim_guid")}
     if tenant:
-        out = objects.put_string(F.col(envelope), "tenantid", F.col("dim_tenantid"))
-        joined = joined.withColumn(envelope, out)
+        added["tenantid"] = F.col("dim_tenantid")
+    joined = joined.withColumn(envelope, objects.put_strings(F.col(envelope), added))
     return joined.select(*facts.columns)
