@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import packing, sharding, simhash
+from millrace.llm import mixing, packing, quality, sharding, simhash, warc
 from millrace.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -26,6 +26,29 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    voters = quality.train(docs, table(spark, sf_dir, "labels"))
+    rated, score = quality.scored(docs, voters)
+    return rated.select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        F.col(score).alias("score"),
+        (F.col(score) >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.archive_pages(table(spark, sf_dir, "pages"), min_bytes=0)
+    return records.select(
+        warc.page_of(F.col("record_id")).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.page_of(F.col("refers_to")).alias("refers_to"),
+    )
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.simhash_groups(table(spark, sf_dir, "documents"), words=4, max_bits=4)
     return groups.select(
@@ -35,6 +58,11 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed, names = mixing.mixed(table(spark, sf_dir, "documents").select("doc_id", "source"))
+    return placed.select("doc_id", "source", names["block"], names["slot"], names["in_block"])
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_rows(table(spark, sf_dir, "documents"), 16)
     return placed.select(
@@ -50,7 +78,26 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
+    "op3_quality": op3_quality,
+    "op5_warc": op5_warc,
     "op7_simhash": op7_simhash,
+    "op8_mixing": op8_mixing,
     "op10_sharding": op10_sharding,
 }
-ORACLE_SQL: dict[str, str] = {}
+# The 32 letters of a base-32 digest, five hexadecimal digits (four letters) at a time.
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
+    f"((('0x' || substr(sha, {5 * block + 1}, 5))::BIGINT >> {shift}) & 31)::INT + 1, 1)"
+    for block in range(8)
+    for shift in (15, 10, 5, 0)
+)
+OP5_SQL = f"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+     d AS (SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, sha1(payload) AS sha FROM p),
+     f AS (SELECT *, min(page_id) OVER (PARTITION BY sha) AS first FROM d)
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f
+"""
+ORACLE_SQL: dict[str, str] = {"op5_warc": OP5_SQL}
