@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import mixing, packing, quality, sharding, simhash, warc
+from millrace.llm import lines, mixing, packing, quality, sharding, simhash, warc
 from millrace.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -38,6 +38,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, dropped = lines.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "text", F.col(dropped).alias("dropped_lines"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.archive_pages(table(spark, sf_dir, "pages"), min_bytes=0)
     return records.select(
@@ -79,6 +84,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_quality": op3_quality,
+    "op4_lines": op4_lines,
     "op5_warc": op5_warc,
     "op7_simhash": op7_simhash,
     "op8_mixing": op8_mixing,
