@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import lines, mixing, packing, quality, sharding, simhash, warc
+from millrace.llm import lines, mixing, neighbours, packing, quality, sharding, simhash, warc
 from millrace.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -19,6 +19,12 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    found = neighbours.nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0), 20)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), keep_ids=False)
     return pieces.select(
@@ -82,6 +88,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_neighbours": op1_neighbours,
     "op2_packing": op2_packing,
     "op3_quality": op3_quality,
     "op4_lines": op4_lines,
