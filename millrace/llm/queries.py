@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import lines, mixing, neighbours, packing, quality, sharding, simhash, warc
+from millrace.llm import flatgraph, lines, mixing, neighbours, packing, quality, sharding, simhash, warc
 from millrace.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -74,6 +74,16 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "source", names["block"], names["slot"], names["in_block"])
 
 
+def op9_flatgraph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = flatgraph.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+    return found.select(
+        F.col("id").alias("vec_id"),
+        "n_links",
+        F.col("component").alias("component_id"),
+        F.col("id").eqNullSafe(F.col("component")).alias("kept"),
+    )
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_rows(table(spark, sf_dir, "documents"), 16)
     return placed.select(
@@ -95,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_warc": op5_warc,
     "op7_simhash": op7_simhash,
     "op8_mixing": op8_mixing,
+    "op9_flatgraph": op9_flatgraph,
     "op10_sharding": op10_sharding,
 }
 # The 32 letters of a base-32 digest, five hexadecimal digits (four letters) at a time.
