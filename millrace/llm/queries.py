@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import flatgraph, lines, mixing, neighbours, packing, quality, sharding, simhash, warc
+from millrace.llm import flatgraph, lines, mixing, neighbours, packing, quality, secrets, sharding, simhash, warc
 from millrace.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -60,6 +60,11 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("doc", "doc_id")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.simhash_groups(table(spark, sf_dir, "documents"), words=4, max_bits=4)
     return groups.select(
@@ -103,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op4_lines": op4_lines,
     "op5_warc": op5_warc,
+    "op6_secrets": op6_secrets,
     "op7_simhash": op7_simhash,
     "op8_mixing": op8_mixing,
     "op9_flatgraph": op9_flatgraph,
