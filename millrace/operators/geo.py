@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.net import ip_to_long
 from millrace.lookup import lookup_join, settled
+from millrace.session import cut_lineage
 
 # The text returned for an unmatched and for a missing address.
 NO_MATCH = "Other IDC"
@@ -29,7 +30,11 @@ def parse_ranges(lines: DataFrame, value: str = "value") -> DataFrame:
 
 
 def _cut(pieces: DataFrame) -> DataFrame:
-    """Cut ranges at prefix borders: one row per prefix of ``bits`` low bits a range touches."""
+    """Cut ranges at prefix borders: one row per prefix of ``bits`` low bits a range touches.
+
+    A range over a share of the address space becomes as many rows as it has prefixes (65,536 for
+    all of it), so tables of nested ranges should be disjoint before they come here.
+    """
     unit = F.expr("shiftleft(1L, bits)")
     first = F.expr("shiftright(start_ip, bits)")
     last = F.expr("shiftright(end_ip, bits)")
@@ -40,15 +45,40 @@ def _cut(pieces: DataFrame) -> DataFrame:
         F.greatest("start_ip", low).alias("start_ip"),
         F.least("end_ip", low + unit - 1).alias("end_ip"),
         "location",
+        *[c for c in pieces.columns if c == "origin"],
     )
 
 
+def _disjoint(cut: DataFrame) -> DataFrame:
+    """Pieces of a prefix without overlaps: an address takes the covering range that starts last.
+
+    Prefixes whose pieces are disjoint, as they should be, pass through. In the others every start
+    and every address after an end is a border, and each stretch between borders looks for the
+    pieces over it, so a range goes on after one nested in it, whatever prefix it began in.
+    """
+    earlier = Window.partitionBy("prefix").orderBy("start_ip", "origin").rowsBetween(Window.unboundedPreceding, -1)
+    meets = F.coalesce(F.col("start_ip") <= F.max("end_ip").over(earlier), F.lit(False))
+    marked = cut.withColumn("meets", meets).withColumn("crossed", F.max("meets").over(Window.partitionBy("prefix")))
+    marked = cut_lineage(marked.drop("meets"), "range-cuts")
+    plain = marked.filter("not crossed").select("prefix", "start_ip", "end_ip", "location")
+    crossed = marked.filter("crossed").drop("crossed")
+    last = F.shiftleft(F.col("prefix") + 1, 16) - 1
+    borders = crossed.select("prefix", F.explode(F.array("start_ip", F.col("end_ip") + 1)).alias("border"))
+    borders = borders.filter(F.col("border") <= last).distinct()
+    onward = Window.partitionBy("prefix").orderBy("border")
+    stretches = borders.withColumn("until", F.coalesce(F.lead("border").over(onward) - 1, last))
+    over = (F.col("start_ip") <= F.col("border")) & (F.col("end_ip") >= F.col("border"))
+    covered = stretches.join(crossed, "prefix").filter(over).groupBy("prefix", "border", "until")
+    best = covered.agg(F.max(F.struct("origin", "end_ip", "location")).alias("r"))
+    return plain.union(best.select("prefix", F.col("border"), F.col("until"), "r.location"))
+
+
 def range_pieces(ranges: DataFrame) -> DataFrame:
     """Disjoint pieces ``(bits, prefix, start_ip, end_ip, location)``, few per prefix.
 
-    Ranges are expected to be disjoint; where they overlap, the one that starts later wins from
-    its start on, so an address never has two matches. A /16 prefix has at most 65,536 pieces and
-    a /24 prefix at most 256, whatever the input.
+    Ranges are expected to be disjoint; where they overlap, an address takes the range over it that
+    starts last (of several with one start, the longest), so it never has two matches. A /24 prefix
+    has at most 256 pieces whatever the input, a /16 prefix at most 65,536.
     """
     one_per_start = (
         ranges.groupBy("start_ip")
@@ -57,16 +87,8 @@ def range_pieces(ranges: DataFrame) -> DataFrame:
         .select("start_ip", "r.end_ip", "r.location")
     )
     by_prefix = Window.partitionBy("prefix")
-    coarse = (
-        _cut(one_per_start.withColumn("bits", F.lit(16)))
-        .groupBy("prefix", "start_ip")
-        .agg(F.max(F.struct("end_ip", "location")).alias("r"))
-        .select("prefix", "start_ip", "r.end_ip", "r.location")
-        .withColumn("n", F.count("*").over(by_prefix))
-        .withColumn("next", F.lead("start_ip").over(by_prefix.orderBy("start_ip")))
-        .withColumn("end_ip", F.least("end_ip", F.col("next") - 1))
-        .filter("start_ip <= end_ip")
-    )
+    cut = _cut(one_per_start.withColumn("bits", F.lit(16)).withColumn("origin", F.col("start_ip")))
+    coarse = _disjoint(cut.drop("bits")).withColumn("n", F.count("*").over(by_prefix))
     bits = F.when(F.col("n") > DENSE, 8).otherwise(16)
     return _cut(coarse.withColumn("bits", bits))
 

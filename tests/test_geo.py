@@ -85,11 +85,33 @@ def test_both_prefix_lengths_are_used_and_bounded(spark):
 
 def test_copies_and_overlaps_give_one_match(spark):
     rows = [(0, 1000, "wide")] * 500 + [(100, 200, "inner"), (100, 150, "shorter")]
+    ips = [ip_text(n) for n in (5, 120, 180, 201, 1000, 1001)]
     for small in (True, False):
-        out = geo.with_ip_location(
-            ips_of(spark, [ip_text(n) for n in (5, 120, 180)]), "ip", ranges_of(spark, rows), small=small
-        )
-        assert [r.location for r in out.orderBy("i").collect()] == ["wide", "inner", "inner"]
+        out = geo.with_ip_location(ips_of(spark, ips), "ip", ranges_of(spark, rows), small=small)
+        got = [r.location for r in out.orderBy("i").collect()]
+        assert got == ["wide", "inner", "inner", "wide", "wide", "Other IDC"]
+
+
+def test_a_nested_range_does_not_end_the_outer_one(spark):
+    out_range, inner = (1 << 24, (1 << 24) + (4 << 16) - 1, "OUT"), ((1 << 24) + 256, (1 << 24) + 511, "IN")
+    ips = ["1.0.2.9", "1.1.2.9", "1.0.1.9", "1.0.0.1", "1.3.255.255", "1.4.0.0"]
+    out = geo.with_ip_location(ips_of(spark, ips), "ip", ranges_of(spark, [out_range, inner]))
+    assert [r.location for r in out.orderBy("i").collect()] == ["OUT", "OUT", "IN", "OUT", "OUT", "Other IDC"]
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_overlaps_against_brute_force(spark, seed):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(120):
+        start = rng.randrange(0, 4 << 16)
+        rows.append((start, start + rng.choice([50, 3000, 70_000, 150_000]), f"L{i}"))
+    rows = list({r[0]: r for r in rows}.values())
+    numbers = [n + d for a, b, _ in rows for n in (a, b) for d in (-1, 0, 1) if n + d >= 0]
+    out = geo.with_ip_location(ips_of(spark, [ip_text(n) for n in numbers]), "ip", ranges_of(spark, rows))
+    got = [r.location for r in out.orderBy("i").collect()]
+    want = [max((r for r in rows if r[0] <= n <= r[1]), default=(0, 0, "Other IDC"))[2] for n in numbers]
+    assert got == want
 
 
 def test_numbers_above_32_bits(spark):
