@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.session import cut_lineage
 
 BROADCAST_MAX_ROWS = 2_000_000
-BROADCAST_MAX_BYTES = 256 * 1024 * 1024
+# Text bytes; the relation an executor builds from them takes several times as much.
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 # A key with more than this share of the rows is hot and gets a slot per such share.
 HOT_SHARE = 1 / 1000
-# Slots of every key where the rows cannot be counted first, i.e. on a stream.
-STREAM_SLOTS = 32
 
 _UNHASHABLE = ("map<", "variant")
 
@@ -54,26 +54,32 @@ def settled(df: DataFrame, label: str) -> tuple[DataFrame, bool]:
 
 def _row_number(df: DataFrame) -> Column:
     """Number of a row by its content and input split: a re-run task gives the same, copies of a
-    row in other splits give others."""
-    hashable = [
-        F.col(f"`{f.name}`")
-        for f in df.schema.fields
-        if not any(word in f.dataType.simpleString() for word in _UNHASHABLE)
-    ]
-    return F.xxhash64(F.spark_partition_id(), *hashable)
+    row in other splits give others. Open objects count by their JSON text."""
+    content = []
+    for f in df.schema.fields:
+        col = F.col(f"`{f.name}`")
+        if not any(word in f.dataType.simpleString() for word in _UNHASHABLE):
+            content.append(col)
+        elif f.dataType.typeName() in ("map", "struct", "array", "variant"):
+            content.append(F.to_json(col))
+    return F.xxhash64(F.spark_partition_id(), *content)
 
 
 def hot_keys(facts: DataFrame, key: str) -> DataFrame:
     """``(key, slots)`` of the keys with more than ``HOT_SHARE`` of all rows, so fewer than 1000.
 
-    Rows are counted per key, combined before the shuffle; a key gets so many slots that none
-    holds more than that share.
+    Rows are counted per key in one pass, combined before the shuffle; a key gets so many slots
+    that none holds more than that share.
     """
     counts = facts.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    counts = cut_lineage(counts, "key-counts")
-    total = counts.agg(F.sum("_n")).first()[0] or 0
-    share = F.col("_n") / F.lit(max(total * HOT_SHARE, 1.0))
-    return counts.filter(share > 1).select(key, F.ceil(share).cast("int").alias("_slots"))
+    counts = counts.persist(StorageLevel.DISK_ONLY)
+    try:
+        total = counts.agg(F.sum("_n")).first()[0] or 0
+        share = F.col("_n") / F.lit(max(total * HOT_SHARE, 1.0))
+        hot = counts.filter(share > 1).select(key, F.ceil(share).cast("int").alias("_slots"))
+        return facts.sparkSession.createDataFrame(hot.collect(), hot.schema)
+    finally:
+        counts.unpersist()
 
 
 def lookup_join(
@@ -83,24 +89,23 @@ def lookup_join(
 
     A table whose measured size is small is broadcast and the facts do not move. Otherwise both
     sides are shuffled, with the rows of a hot key spread over slots that each meet a copy of that
-    key's one row, and rows without a key spread over slots that meet nothing.
+    key's one row, and rows without a key spread over slots that meet nothing. A stream cannot count
+    its rows first: join it to a large table inside ``foreachBatch`` (``jobs.enriched_batches``).
     """
     if small is None:
         small = fits_broadcast(table)
     if small:
         return facts.join(F.broadcast(table), key, "left")
-    table = table.filter(F.col(key).isNotNull())
-    number = _row_number(facts)
-    spare = F.lit(round(1 / HOT_SHARE))
     if facts.isStreaming:
-        slots = F.lit(STREAM_SLOTS)
-        keyed = facts
-    else:
-        hot = hot_keys(facts, key)
-        slots = F.coalesce("_slots", F.lit(1))
-        keyed = facts.join(F.broadcast(hot), key, "left")
-        table = table.join(F.broadcast(hot), key, "left")
-    slot = F.pmod(number, F.when(F.col(key).isNull(), spare).otherwise(slots)).cast("int")
-    keyed = keyed.withColumn("_slot", slot)
+        raise ValueError("join a stream to a large table batch by batch, in foreachBatch")
+    table = table.filter(F.col(key).isNotNull())
+    hot = hot_keys(facts, key)
+    slots = F.coalesce("_slots", F.lit(1))
+    table = table.join(F.broadcast(hot), key, "left")
+    keyed = facts.join(F.broadcast(hot), key, "left")
+    keyed = keyed.withColumn("_slots", F.when(F.col(key).isNull(), round(1 / HOT_SHARE)).otherwise(slots))
+    # Only rows of hot keys, and rows without a key, are numbered.
+    number = F.pmod(_row_number(facts), F.col("_slots")).cast("int")
+    keyed = keyed.withColumn("_slot", F.when(F.col("_slots") > 1, number).otherwise(0))
     copies = table.withColumn("_slot", F.explode(F.sequence(F.lit(0), slots - 1)))
     return keyed.drop("_slots").join(copies.drop("_slots"), [key, "_slot"], "left").drop("_slot")

@@ -40,6 +40,7 @@ def ancestor_chains(nodes: DataFrame) -> tuple[DataFrame, bool]:
         "tip",
     )
     live, small = _state(chains)
+    closed = chains.filter("tip is null")
     while live:
         upper = chains.select(
             F.col("id").alias("tip"), F.col("above").alias("_more"), F.col("tip").alias("_tip")
@@ -53,7 +54,10 @@ def ancestor_chains(nodes: DataFrame) -> tuple[DataFrame, bool]:
         grown = grown.select(
             "id", "above", F.when(~repeats, F.col("_tip")).alias("tip")
         )
-        chains = cut_lineage(chains.filter("tip is null").unionByName(grown), "chains")
+        # Only the paths that grew are written; those that ended before stay where they are.
+        grown = cut_lineage(grown, "chains")
+        chains = closed.unionByName(grown)
+        closed = closed.unionByName(grown.filter("tip is null"))
         live, small = _state(chains)
     return chains.select("id", "above"), small
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,8 @@ DEFAULTS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    # Of a repeated JSON key the last value counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.ui.enabled": "false",
 }
 
@@ -35,19 +38,47 @@ def build_session(app: str, master: str | None = None, **overrides: str) -> Spar
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``; only a local session may fall back to its own disk."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    fallback = tempfile.mkdtemp(prefix="millrace-")
+    fallback = tempfile.mkdtemp(prefix="millrace-")  # driver and executors are this process
     spark.sparkContext.setCheckpointDir(fallback)
     return fallback
 
 
+def _folder(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _folder(spark, path)
+    return fs.exists(target)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any store that Spark reaches; a missing one is no error."""
+    fs, target = _folder(spark, path)
+    fs.delete(target, True)
+
+
+def expire_scratch(spark: SparkSession, seconds: float) -> int:
+    """Delete scratch tables that were written more than ``seconds`` ago; how many there were.
+
+    For a job's end, or a daily clean-up: nothing that still runs may read tables of that age.
+    """
+    fs, target = _folder(spark, f"{shared_dir(spark)}/millrace")
+    if not fs.exists(target):
+        return 0
+    oldest = (time.time() - seconds) * 1000
+    gone = [s.getPath() for s in fs.listStatus(target) if s.getModificationTime() < oldest]
+    for path in gone:
+        fs.delete(path, True)
+    return len(gone)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """New folder name, unique per call, below the shared folder."""
     return f"{shared_dir(spark)}/millrace/{label}-{uuid.uuid4().hex}"

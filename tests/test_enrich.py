@@ -102,16 +102,32 @@ def test_lookup_on_a_stream(spark, tmp_path):
     spark.range(100).selectExpr("if(id % 3 = 0, null, id % 7) k", "id").write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema("k long, id long").parquet(str(tmp_path / "in"))
     dims = spark.range(5).selectExpr("id as k", "'v' || id as v")
+    with pytest.raises(ValueError, match="foreachBatch"):
+        lookup.lookup_join(stream, dims, "k", small=False)
+    in_batches = jobs.overwrite_batch(str(tmp_path / "oFalse"))
     for small in (True, False):
-        out = lookup.lookup_join(stream, dims, "k", small=small)
         path, ck = str(tmp_path / f"o{small}"), str(tmp_path / f"c{small}")
-        writer = out.writeStream.format("parquet").option("path", path)
+        if small:
+            writer = lookup.lookup_join(stream, dims, "k", small=True).writeStream.format("parquet").option("path", path)
+        else:
+            writer = jobs.per_batch(stream, lambda b, i: in_batches(lookup.lookup_join(b, dims, "k", small=False), i))
         jobs.run(writer, jobs.StreamSettings(ck))
         rows = spark.read.parquet(path).collect()
         assert len(rows) == 100
         assert all(r.v == (f"v{r.k}" if r.k is not None and r.k < 5 else None) for r in rows)
 
 
+def test_hot_envelopes_take_many_slots(spark, no_broadcast):
+    rows = spark.range(0, 20000, 1, 4).selectExpr("""'{"database":"shop","Id":' || id || '}' as value""")
+    facts = env.parse_envelope(rows).select("envelope").withColumn("_db", F.lit("shop"))
+    slots = facts.select(F.pmod(lookup._row_number(facts), F.lit(1000)).alias("n")).groupBy("n").count()
+    counts = [r["count"] for r in slots.collect()]
+    assert len(counts) > 900 and max(counts) < 60
+    dims = spark.createDataFrame([("shop", "G", "T")], "database string, guid string, tenantid string")
+    out = env.envelope_text(enrich(facts.select("envelope"), dims, small=False))
+    assert out.select(F.get_json_object("body", "$.database").alias("d")).groupBy("d").count().collect() == [("G", 20000)]
+
+
 def test_size_is_measured(spark):
     df = spark.range(100).selectExpr("id", "repeat('x', 100) as t", "array('ab') as a")
     rows, size = lookup.measured_size(df)
