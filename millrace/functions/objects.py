@@ -6,14 +6,18 @@ from collections.abc import Mapping
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 OBJECT_TYPE = "map<string,variant>"
 
 
 def parse_value(text: Column, strict: bool = False) -> Column:
-    """Parse JSON text; malformed text, repeated keys included, gives null or fails if ``strict``."""
+    """Parse JSON text; malformed text gives null or fails if ``strict``.
+
+    Of a repeated key the last value counts. That is a setting of the session, made here.
+    """
+    SparkSession.active().conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     return F.parse_json(text) if strict else F.try_parse_json(text)
 
 

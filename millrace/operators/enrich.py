@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import objects
@@ -11,17 +11,17 @@ from millrace.lookup import lookup_join
 DIM_TYPE = "database string, guid string, tenantid string"
 
 
-def latest_dims(
+def dim_writes(
     feed: DataFrame,
     envelope: str = "envelope",
-    seq: str = "seq",
+    seq: str | Column = "seq",
     honor_deletes: bool = False,
 ) -> DataFrame:
-    """Dimension ``(database, guid, tenantid)`` from change envelopes; last write per key wins.
+    """``(database, kind, value, seq)``: the two mappings that each feed row writes.
 
-    Every feed row writes ``DataBase -> guid`` and ``db_name -> tenant_id``. Null keys are
-    dropped; a null value un-maps its key. Deletes re-put their old value, or remove the key when
-    ``honor_deletes``. The two kinds of key live in two columns and cannot collide.
+    ``DataBase -> guid`` is of kind ``guid`` and ``db_name -> tenant_id`` of kind ``tenant``. Null
+    keys are dropped; a null value un-maps its key. Deletes re-put their old value, or remove the
+    key when ``honor_deletes``.
     """
     obj = F.col(envelope)
     gone = objects.get_string(obj, "type") == "delete" if honor_deletes else F.lit(False)
@@ -32,12 +32,31 @@ def latest_dims(
             F.lit(kind).alias("kind"),
             objects.get_string(obj, key).alias("database"),
             kept.alias("value"),
-            F.col(seq).alias("seq"),
+            (F.col(seq) if isinstance(seq, str) else seq).alias("seq"),
         )
 
-    writes = feed.select(
-        F.inline(F.array(write("guid", "DataBase", "guid"), write("tenant", "db_name", "tenant_id")))
-    ).filter("database is not null")
+    both = F.array(write("guid", "DataBase", "guid"), write("tenant", "db_name", "tenant_id"))
+    return feed.select(F.inline(both)).filter("database is not null")
+
+
+def last_writes(writes: DataFrame) -> DataFrame:
+    """The write with the latest position per key and kind, un-mapping ones included."""
+    last = F.max(F.struct("seq", "value")).alias("last")
+    return writes.groupBy("database", "kind").agg(last).select("database", "kind", "last.value", "last.seq")
+
+
+def latest_dims(
+    feed: DataFrame,
+    envelope: str = "envelope",
+    seq: str | Column = "seq",
+    honor_deletes: bool = False,
+) -> DataFrame:
+    """Dimension ``(database, guid, tenantid)`` from change envelopes; last write per key wins.
+
+    See ``dim_writes`` for what a feed row writes, and ``sources.messages.position`` for the
+    position of a change record. The two kinds of key live in two columns and cannot collide.
+    """
+    writes = dim_writes(feed, envelope, seq, honor_deletes)
 
     def last(kind: str):
         order = F.when(F.col("kind") == kind, F.struct("seq", "value"))

@@ -69,6 +69,13 @@ def quarantine(records: DataFrame) -> DataFrame:
     return records.filter(~F.col("change.usable")).drop("change")
 
 
+def quarantine_text(records: DataFrame, out: str = "body") -> DataFrame:
+    """The records that could not be read, each as one JSON text of its topic, key and value."""
+    aside = quarantine(records)
+    names = [c for c in ("topic", "key", "value") if c in aside.columns]
+    return aside.withColumn(out, F.to_json(F.struct(*names)))
+
+
 def _text_variant(value: Column) -> Column:
     return value.cast("string").cast("variant")
 
@@ -115,9 +122,16 @@ def nested_envelope(records: DataFrame, out: str = "envelope") -> DataFrame:
     return ok.withColumn(out, body).drop("change")
 
 
-def envelope_text(df: DataFrame, envelope: str = "envelope", out: str = "body") -> DataFrame:
-    """Serialise an envelope column, flat or nested; envelopes hold no null entries."""
-    return df.withColumn(out, F.to_json(envelope))
+def envelope_text(
+    df: DataFrame, envelope: str = "envelope", out: str = "body", text: str | None = None
+) -> DataFrame:
+    """Serialise an envelope column, flat or nested; envelopes hold no null entries.
+
+    ``text`` names the column the envelopes were read from: where one could not be read, that text
+    is kept as it came.
+    """
+    body = F.to_json(envelope)
+    return df.withColumn(out, F.coalesce(body, F.col(text)) if text else body)
 
 
 def parse_envelope(

@@ -37,19 +37,31 @@ def _whole_number(text: Column) -> Column:
     return filled.cast("decimal(38,6)").cast("bigint")
 
 
+def _data(df: DataFrame, envelope: str) -> Column:
+    if df.schema[envelope].dataType.typeName() == "string":
+        return F.from_json(envelope, f"data {FACT_IMAGE}")["data"]
+    return F.col(f"{envelope}.data")
+
+
+def without_data(df: DataFrame, envelope: str = "envelope") -> DataFrame:
+    """The rows that ``typed_rows`` makes no fact of: malformed text, or an envelope without data."""
+    return df.filter(_data(df, envelope).isNull())
+
+
 def typed_rows(df: DataFrame, envelope: str = "envelope", now: Column | None = None) -> DataFrame:
     """Fact rows from the ``data`` of nested envelopes, stamped with processing time.
 
-    The envelope may be a struct, with its data open or as ``FACT_IMAGE``, or still text. Absent amounts and counts are 0.
+    The envelope may be a struct, with its data open or as ``FACT_IMAGE``, or still text. Absent
+    amounts and counts are 0. An envelope without data is no fact: see ``without_data``.
     """
-    kind = df.schema[envelope].dataType
-    if kind.typeName() == "string":
-        rows = df.select(F.from_json(envelope, f"data {FACT_IMAGE}").alias("b")).select("b.data.*")
-    elif kind["data"].dataType.typeName() == "struct":
-        rows = df.select(f"{envelope}.data.*")
+    # One or no element: a filter would be pushed below the parse and parse again.
+    data = _data(df, envelope)
+    rows = df.select(F.explode(F.when(data.isNotNull(), F.array(data))).alias("data"))
+    if rows.schema["data"].dataType.typeName() == "struct":
+        rows = rows.select("data.*")
     else:
         names = ["id", "total_amount", "is_new", "pro_cnt", "tm"]
-        rows = df.select(*[objects.get_string(F.col(f"{envelope}.data"), n).alias(n) for n in names])
+        rows = rows.select(*[objects.get_string(F.col("data"), n).alias(n) for n in names])
     zero = F.lit(0).cast("bigint")
     return rows.select(
         "id",

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.sources.tables import spread
-
 MONEY = "decimal(18,2)"
 
 
@@ -14,6 +12,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan of few splits a task per core, for work that is heavy per row.
+
+    Only a scan that leaves at least half of the cores idle is moved, which is half a split per
+    core at most; any large table is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
+
+
 def rows(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table whose rows are about to be built into, or parsed from, text."""
     return spread(table(spark, sf_dir, name))
@@ -145,8 +153,8 @@ def sales_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat envelope text per order; one database per customer, missing in some rows."""
+def order_envelopes(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """Flat envelope text per order, and ``more`` columns; one database per customer, missing in some rows."""
     key = F.col("o_custkey")
     body = F.struct(
         F.when(F.col("o_orderkey") % 17 != 0, text_of("shop_", key.cast("string"))).alias("database"),
@@ -154,7 +162,41 @@ def order_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("Id"),
         F.lit("insert").alias("type"),
     )
-    return rows(spark, sf_dir, "orders").select(F.to_json(body).alias("value"))
+    return rows(spark, sf_dir, "orders").select(F.to_json(body).alias("value"), *more)
+
+
+def customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change records of a table of databases and one of tenants, with their place in the feed.
+
+    Offset 1 inserts both, offset 2 updates the guid of even customers, and offset 3 deletes the
+    tenant of every third.
+    """
+    key = F.col("c_custkey")
+    name = text_of("shop_", key.cast("string"))
+    none = F.lit(None).cast("string")
+
+    def change(topic: str, row: Column, op: str, offset: int) -> Column:
+        before, after = (row, none) if op == "d" else (none, row)
+        return F.struct(
+            F.lit(topic).alias("topic"),
+            key.cast("string").alias("key"),
+            change_value(before, after, "meta", F.lit(op)).alias("value"),
+            F.lit(0).alias("partition"),
+            F.lit(offset).cast("bigint").alias("offset"),
+            F.timestamp_millis(F.lit(1704164645000) + offset).alias("timestamp"),
+        )
+
+    def guid(version: int) -> Column:
+        return F.struct(name.alias("DataBase"), text_of(f"g{version}-", key.cast("string")).alias("guid"))
+
+    tenant = F.struct(name.alias("db_name"), text_of("t-", key.cast("string")).alias("tenant_id"))
+    changes = F.array(
+        change("srv.dbo.databases", guid(1), "c", 1),
+        change("srv.dbo.tenants", tenant, "c", 1),
+        F.when(key % 2 == 0, change("srv.dbo.databases", guid(2), "u", 2)),
+        F.when(key % 3 == 0, change("srv.dbo.tenants", tenant, "d", 3)),
+    )
+    return rows(spark, sf_dir, "customer").select(F.inline(F.filter(changes, lambda c: c.isNotNull())))
 
 
 def customer_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,6 +287,33 @@ def range_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return narrow.unionByName(lines(supplier, wide_start, 150_000, "s_name", "s_nationkey"))
 
 
+def nested_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(start_ip, end_ip, location)``: wide ranges over many prefixes with narrow ones inside.
+
+    Every supplier has a range over four prefixes and a narrower one that crosses into the second;
+    parts lie in between. Starts are distinct.
+    """
+    key = F.col("s_suppkey")
+    start = F.lit(1 << 31) + (key % (1 << 13)) * (1 << 18)
+
+    def ranges(first: Column, span: int, kind: str) -> DataFrame:
+        name = text_of(f"{kind}-", key.cast("string"))
+        return table(spark, sf_dir, "supplier").select(
+            first.alias("start_ip"), (first + span).alias("end_ip"), name.alias("location")
+        )
+
+    wide = ranges(start, (1 << 18) - 1, "wide")
+    inner = ranges(start + 60_000, 20_000, "inner")
+    deep = ranges(start + 65_000, 1_000, "deep")
+    part = F.col("p_partkey")
+    narrow = table(spark, sf_dir, "part").select(
+        ((part % (1 << 20)) * 2048).alias("start_ip"),
+        ((part % (1 << 20)) * 2048 + 1500).alias("end_ip"),
+        text_of("part-", part.cast("string")).alias("location"),
+    )
+    return wide.union(inner).union(deep).union(narrow)
+
+
 def part_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each part below the one of half its key; every fifth edge carries another group."""
     key = F.col("p_partkey")
@@ -266,11 +335,11 @@ def event_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows(spark, sf_dir, "events").select(F.to_json(body).alias("body"), "ts")
 
 
-def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``type:user:type`` lines, with trailing colons in some."""
+def event_lines(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """``type:user:type`` lines, with trailing colons in some, and ``more`` columns."""
     tail = F.when(F.col("event_id") % 5 == 0, "::").otherwise("")
     line = F.concat(F.concat_ws(":", "event_type", "user_id", "event_type"), tail)
-    return rows(spark, sf_dir, "events").select(line.alias("value"))
+    return rows(spark, sf_dir, "events").select(line.alias("value"), *more)
 
 
 def source_lines(spark: SparkSession, sf_dir: str, sep: str) -> DataFrame:

@@ -34,11 +34,15 @@ def read_changes(
     tables: Sequence[str] = (),
     start: str = "initial",
     streaming: bool = True,
+    max_files: int | None = None,
     **options,
 ) -> DataFrame:
-    """Change records ``(topic, key, value)`` of some tables, or of a whole server without any."""
+    """Change records of some tables, or of a whole server without any, as message rows.
+
+    ``max_files`` bounds a batch of landed files, ``max_per_batch`` one of a broker.
+    """
     if source.folder:
-        rows = read_message_files(spark, source.folder, streaming)
+        rows = read_message_files(spark, source.folder, streaming, max_files)
         if tables:
             return rows.filter(F.col("topic").isin(table_topics(source.server, tables)))
         return rows.filter(F.col("topic").startswith(f"{source.server}."))
@@ -62,6 +66,10 @@ def snapshot_records(rows: DataFrame, server: str, db: str, table: str) -> DataF
         F.lit(f"{server}.{table}").alias("topic"),
         F.lit(None).cast("string").alias("key"),
         F.to_json(record).alias("value"),
+        # In front of every change.
+        F.lit(None).cast("int").alias("partition"),
+        F.lit(None).cast("bigint").alias("offset"),
+        F.lit(None).cast("timestamp").alias("timestamp"),
     )
 
 

@@ -16,8 +16,9 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 def tail_lines(spark: SparkSession, pattern: str, max_files: int | None = None) -> DataFrame:
     """Stream of log lines from files matching a pattern.
 
-    Progress is kept in the query's checkpoint. A file is read once, when it appears: point this
-    at rotated logs, since lines appended later to a file already read are not seen.
+    Progress is kept in the query's checkpoint, per file and not per line: a file is read once, when
+    it appears, and lines appended to it later are lost. So this takes logs that are complete when
+    they get their name (rotated or moved in); a log that still grows belongs on a topic.
     """
     reader = spark.readStream
     if max_files:

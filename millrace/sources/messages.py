@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The columns of Spark's Kafka source that the transforms use; a file stream with the same
 # columns stands in for a broker.
-MESSAGE_TYPE = "topic string, key string, value string"
+MESSAGE_TYPE = (
+    "topic string, key string, value string, partition int, offset bigint, timestamp timestamp"
+)
 
 START = {"initial": "earliest", "latest": "latest"}
 
@@ -45,19 +47,31 @@ def topic_options(
 def read_messages(
     spark: SparkSession, options: Mapping[str, str], streaming: bool = True
 ) -> DataFrame:
-    """``(topic, key, value)`` text rows of a broker."""
+    """Text rows of a broker with their place in it, in the columns of ``MESSAGE_TYPE``."""
     reader = spark.readStream if streaming else spark.read
     options = dict(options)
     if not streaming and options.get("startingOffsets") == "latest":
         raise ValueError("a batch read cannot start at latest")
     raw = reader.format("kafka").options(**options).load()
-    return raw.select("topic", F.col("key").cast("string"), F.col("value").cast("string"))
+    text = [F.col(c).cast("string") for c in ("key", "value")]
+    return raw.select("topic", *text, "partition", "offset", "timestamp")
+
+
+def position() -> Column:
+    """Where a message stands in its feed: by time, then by its place in its partition.
+
+    Messages of one key stand in one partition, so of two writes to a key the later one is larger.
+    """
+    return F.struct("timestamp", "partition", "offset")
 
 
 def read_message_files(
     spark: SparkSession, path: str, streaming: bool = True, max_files: int | None = None
 ) -> DataFrame:
-    """The same rows from a folder of JSON files: landed topics, replays, tests."""
+    """The same rows from a folder of JSON files: landed topics, replays, tests.
+
+    A file that does not give a message's place has nulls there.
+    """
     if not streaming:
         return spark.read.schema(MESSAGE_TYPE).json(path)
     reader = spark.readStream.schema(MESSAGE_TYPE)

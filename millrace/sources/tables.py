@@ -24,13 +24,3 @@ def read_hierarchy(
 def read_facts(spark: SparkSession, table: str) -> DataFrame:
     """Fact rows of a catalog table, as the daily figures read them."""
     return spark.table(table)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan of few splits a task per core, for work that is heavy per row.
-
-    Only a scan that leaves at least half of the cores idle is moved, which is half a split per
-    core at most; any large table is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df

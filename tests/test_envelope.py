@@ -60,13 +60,34 @@ def test_each_record_is_parsed_once(spark, tmp_path, plan):
 
 def test_unreadable_records_are_set_aside(spark):
     good = record("c", after={"Id": 1})
-    twice = '{"op":"c","after":{"a":1,"a":2},"source":{"db":"x"}}'
-    bad = ["junk", record(None, after={}), '{"op":"c"}', None, twice]
+    bad = ["junk", record(None, after={}), '{"op":"c"}', None]
     df = frame(spark, [good, *bad]).union(frame(spark, [good], "short.topic"))
     records = env.read_records(df)
     assert env.flat_envelope(records).count() == 1
     aside = env.quarantine(records)
-    assert aside.columns == ["topic", "value"] and aside.count() == 6
+    assert aside.columns == ["topic", "value"] and aside.count() == 5
+    texts = [json.loads(r.body) for r in env.quarantine_text(records).collect()]
+    assert {"topic": TOPIC, "value": "junk"} in texts and {"topic": TOPIC} in texts
+
+
+def test_the_last_of_repeated_keys_counts(spark):
+    twice = '{"op":"c","after":{"a":1,"b":3,"a":2},"source":{"db":"x"}}'
+    out = env.envelope_text(env.flat_envelope(env.read_records(frame(spark, [twice])))).first()
+    assert json.loads(out.body) == {"database": "x", "table": "T", "a": 2, "b": 3, "type": "insert"}
+
+
+def test_malformed_envelopes_keep_their_text(spark):
+    df = env.parse_envelope(spark.createDataFrame([("not json",), ('{"a":1}',), (None,)], "value string"))
+    assert [r.body for r in env.envelope_text(df, text="value").collect()] == ["not json", '{"a":1}', None]
+
+
+def test_no_data_is_no_fact(spark):
+    texts = spark.createDataFrame([("not json",), ('{"type":"insert"}',), ('{"data":{"id":"1"}}',), (None,)], "body string")
+    assert [r.id for r in prj.typed_rows(texts, "body").collect()] == ["1"]
+    assert prj.without_data(texts, "body").count() == 3
+    nested = env.nested_envelope(env.read_records(frame(spark, [record("t"), record("c", after={"id": 5})])))
+    assert [r.id for r in prj.typed_rows(nested).collect()] == ["5"]
+    assert prj.without_data(nested).count() == 1
 
 
 def test_strict_mode_fails(spark):
