@@ -65,35 +65,21 @@ def land_batch(
 
 
 def land_stream(
-    rows: DataFrame,
-    path: str,
-    checkpoint: str,
-    slots: int | None = 8,
-    max_records: int = MAX_RECORDS_PER_FILE,
+    rows: DataFrame, path: str, checkpoint: str, max_records: int = MAX_RECORDS_PER_FILE
 ) -> DataStreamWriter:
-    """The same layout from a stream; exactly once through the file sink's log.
+    """The same layout from a stream, each batch landed by ``land_batch``.
 
-    The rows of a table and day are gathered into at most ``slots`` files per batch, so that a hot
-    table has several writers and a small one few files. ``None`` writes from the reading tasks.
+    The rows of a table and day are rebalanced by size, so a small table has few files and a hot one
+    as many writers as its rows need. A batch that runs again replaces its own files.
     """
-    parts = [c for c in ("table", "dt") if c in rows.columns]
-    if slots:
-        slot = F.pmod(F.xxhash64("value", F.spark_partition_id()), F.lit(slots))
-        rows = rows.withColumn("_slot", slot).repartition(*parts, "_slot").drop("_slot")
-    return (
-        rows.writeStream.format("text")
-        .partitionBy(*parts)
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .option("maxRecordsPerFile", max_records)
-        .outputMode("append")
-    )
+    writer = rows.writeStream.option("checkpointLocation", checkpoint)
+    return writer.foreachBatch(lambda batch, batch_id: land_batch(batch, path, batch_id, max_records))
 
 
-def save_pairs_text(pairs: DataFrame, path: str, files: int | None = 1) -> None:
-    """Save ``(word, 1)`` rows as text lines of that form.
+def save_pairs_text(pairs: DataFrame, path: str, files: int | None = None) -> None:
+    """Save ``(word, 1)`` rows as text lines of that form, in parallel.
 
-    One file needs all rows in one writer; pass ``files=None`` for a parallel save of big data.
+    ``files=1`` gives one file, which takes all rows through one writer: for small results only.
     """
     row = F.concat(F.lit("("), F.concat_ws(",", *[F.col(c).cast("string") for c in pairs.columns]), F.lit(")"))
     lines = pairs.select(row.alias("value"))

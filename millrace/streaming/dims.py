@@ -1,45 +1,113 @@
-"""A dimension kept up to date by one stream and read by another."""
+"""A dimension kept up to date by one stream and read by another.
+
+The folder holds a log and tables. Every batch writes what it changed as a small table (a delta),
+under a name of its own, and then logs it; now and then the log's tables are merged into one. Each
+value carries its position in the feed, and the latest position wins whatever the order of tables,
+so a batch that runs again, or a new checkpoint that replays the feed, changes nothing.
+"""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+import time
+import uuid
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from millrace.operators.enrich import DIM_TYPE, latest_dims
+from millrace.lookup import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, measured_size
+from millrace.operators.enrich import DIM_TYPE, dim_writes, last_writes
+from millrace.session import path_exists, remove_path
+
+LOG_TYPE = "number bigint, kind string, folder string, `rows` bigint, bytes bigint, at double"
+# Deltas that readers merge before the next full table is written.
+MERGE_AFTER = 16
+# Seconds after which tables that a full one replaced are deleted; longer than any batch reads.
+KEEP_SECONDS = 24 * 3600.0
+
+
+@dataclass
+class Dimension:
+    """A dimension as published, and whether it is small enough to broadcast."""
+
+    table: DataFrame
+    small: bool
+
+
+def _log(spark: SparkSession, path: str) -> list:
+    """Log entries in order of publication; none if nothing was published yet."""
+    if not path_exists(spark, f"{path}/log"):
+        return []
+    return sorted(spark.read.schema(LOG_TYPE).json(f"{path}/log").collect())
 
-_VERSION_TYPE = "version bigint"
 
+def _publish(spark: SparkSession, path: str, kind: str, table: DataFrame) -> None:
+    """Write a table under a new name, then log it: a reader sees all of it or nothing."""
+    folder = f"{path}/{kind}-{uuid.uuid4().hex}"
+    table.write.parquet(folder)
+    written = spark.read.schema(table.schema).parquet(folder)
+    rows, size = measured_size(written.drop("seq"))
+    number = max([e.number for e in _log(spark, path)], default=0) + 1
+    entry = [(number, kind, folder, rows, size, time.time())]
+    spark.createDataFrame(entry, LOG_TYPE).coalesce(1).write.mode("append").json(f"{path}/log")
 
-def _version_path(path: str, version: int) -> str:
-    return f"{path}/snapshot-{version}"
+
+def _live(entries: list) -> list:
+    """The newest full table and what came after it."""
+    full = max((e.number for e in entries if e.kind == "full"), default=0)
+    return [e for e in entries if e.number >= full]
+
+
+def _merged(spark: SparkSession, entries: list) -> DataFrame:
+    tables = [spark.read.parquet(e.folder) for e in entries]
+    writes = tables[0]
+    for table in tables[1:]:
+        writes = writes.unionByName(table)
+    return last_writes(writes)
 
 
 def maintained_dims(
-    feed: DataFrame, path: str, seq: str = "seq", honor_deletes: bool = False
+    feed: DataFrame, path: str, seq: str | Column = "seq", honor_deletes: bool = False, merge_after: int = MERGE_AFTER
 ) -> DataStreamWriter:
-    """Fold a feed of envelopes into the latest value per key, kept in the query's state.
+    """Fold a feed of envelopes into the latest value per key, published after every batch.
 
-    Every batch writes the dimension as a new snapshot and then names it in ``versions``, so a
-    reader never sees half of one.
+    ``seq`` is the position of a feed row, any comparable type. One query may write to a folder.
     """
+    writes = dim_writes(feed, seq=seq, honor_deletes=honor_deletes)
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        _publish(spark, path, "delta", last_writes(batch))
+        live = _live(_log(spark, path))
+        if len(live) > merge_after:
+            _publish(spark, path, "full", _merged(spark, live))
+            _expire(spark, path)
+
+    return writes.writeStream.foreachBatch(publish)
+
+
+def _expire(spark: SparkSession, path: str, keep: float = KEEP_SECONDS) -> None:
+    """Delete tables that a full one replaced more than ``keep`` seconds ago."""
+    entries = _log(spark, path)
+    live = {e.folder for e in _live(entries)}
+    for old in entries:
+        if old.folder not in live and old.at < time.time() - keep:
+            remove_path(spark, old.folder)
 
-    def publish(dims: DataFrame, batch_id: int) -> None:
-        dims.write.mode("overwrite").parquet(_version_path(path, batch_id))
-        named = dims.sparkSession.range(batch_id, batch_id + 1, 1, 1).toDF("version")
-        named.write.mode("append").parquet(f"{path}/versions")
 
-    dims = latest_dims(feed, seq=seq, honor_deletes=honor_deletes)
-    return dims.writeStream.outputMode("complete").foreachBatch(publish)
+def read_dims(spark: SparkSession, path: str) -> Dimension:
+    """The dimension as last published, with its size known from the log; empty before that."""
+    live = _live(_log(spark, path))
+    if not live:
+        return Dimension(spark.createDataFrame([], DIM_TYPE), True)
+    small = sum(e.rows for e in live) <= BROADCAST_MAX_ROWS and sum(e.bytes for e in live) <= BROADCAST_MAX_BYTES
+    last = _merged(spark, live)
+    of_kind = [F.max(F.when(F.col("kind") == k, F.col("value"))).alias(c) for k, c in (("guid", "guid"), ("tenant", "tenantid"))]
+    table = last.groupBy("database").agg(*of_kind).filter("guid is not null or tenantid is not null")
+    return Dimension(table, small)
 
 
 def snapshot_dims(spark: SparkSession, path: str) -> DataFrame:
-    """The newest published snapshot; empty before the first one."""
-    try:
-        versions = spark.read.schema(_VERSION_TYPE).parquet(f"{path}/versions")
-    except AnalysisException:
-        return spark.createDataFrame([], DIM_TYPE)
-    newest = versions.agg({"version": "max"}).first()[0]
-    if newest is None:
-        return spark.createDataFrame([], DIM_TYPE)
-    return spark.read.schema(DIM_TYPE).parquet(_version_path(path, newest))
+    """The published dimension as ``(database, guid, tenantid)``."""
+    return read_dims(spark, path).table

@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import partial
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -14,6 +15,10 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from millrace.operators.enrich import enrich
 from millrace.operators.words import word_count
 from millrace.sinks.local import fan_out, print_rows
+from millrace.streaming.dims import Dimension
+
+# Entries of a source list: each is a query, or a reader, that the driver holds open.
+MAX_SOURCES = 1000
 
 
 @dataclass(frozen=True)
@@ -61,9 +66,19 @@ def per_batch(
     return stream.writeStream.foreachBatch(act)
 
 
+def open_dims(read_dims: Callable[[], DataFrame | Dimension]) -> tuple[DataFrame, bool | None]:
+    """The dimension as it stands, and whether it is small (None: not known without measuring).
+
+    Only a table not known to be large is kept for the length of the batch.
+    """
+    found = read_dims()
+    table, small = (found.table, found.small) if isinstance(found, Dimension) else (found, None)
+    return (table if small is False else table.persist()), small
+
+
 def enriched_batches(
     facts: DataFrame,
-    read_dims: Callable[[], DataFrame],
+    read_dims: Callable[[], DataFrame | Dimension],
     write: Callable[[DataFrame, int], None],
     envelope: str = "envelope",
     tenant: bool = True,
@@ -75,11 +90,14 @@ def enriched_batches(
     """
 
     def act(batch: DataFrame, batch_id: int) -> None:
-        dims = read_dims().persist()
+        dims, small = open_dims(read_dims)
+        # The large join counts its rows before it joins them: the batch is computed once.
+        batch = batch if small else batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write(enrich(batch, dims, envelope, tenant), batch_id)
+            write(enrich(batch, dims, envelope, tenant, small=small), batch_id)
         finally:
             dims.unpersist()
+            batch.unpersist()
 
     return per_batch(facts, act)
 
@@ -133,14 +151,22 @@ def stamped(df: DataFrame, out: str = "processed_at") -> DataFrame:
     return df.withColumn(out, F.current_timestamp())
 
 
+def source_entries(descriptors: DataFrame, most: int = MAX_SOURCES) -> list[Row]:
+    """The entries of a source list, which is job configuration; more than ``most`` is an error."""
+    entries = descriptors.limit(most + 1).collect()
+    if len(entries) > most:
+        raise ValueError(f"a source list holds at most {most} entries")
+    return entries
+
+
 def source_streams(
-    descriptors: DataFrame, open_source: Callable[[Row], DataFrame]
+    descriptors: DataFrame, open_source: Callable[[Row], DataFrame], most: int = MAX_SOURCES
 ) -> list[tuple[Row, DataFrame]]:
     """One stream per entry of a source list, ready to run alone or to union.
 
-    The list is job configuration: one entry per connection that the job holds open.
+    Entries of one server are better read by one subscription: pass their tables to ``read_changes``.
     """
-    return [(entry, open_source(entry)) for entry in descriptors.collect()]
+    return [(entry, open_source(entry)) for entry in source_entries(descriptors, most)]
 
 
 def start_each(
@@ -148,10 +174,49 @@ def start_each(
     sink: Callable[[Row, DataFrame], DataStreamWriter],
     settings: Callable[[Row], StreamSettings],
 ) -> list[StreamingQuery]:
-    """An independent query per source, each with its own checkpoint."""
+    """An independent query per source, each with its own checkpoint; ``run_each`` also restarts."""
     return [start(sink(entry, stream), settings(entry)) for entry, stream in streams]
 
 
+def run_each(
+    streams: Sequence[tuple[Row, DataFrame]],
+    sink: Callable[[Row, DataFrame], DataStreamWriter],
+    settings: Callable[[Row], StreamSettings],
+    poll: float = 0.5,
+) -> None:
+    """Run a query per source until all have ended, each restarted as ``run`` does.
+
+    When one has used up its restarts the others are stopped and its error is raised.
+    """
+    settled = [settings(entry) for entry, _ in streams]
+    queries = [start(sink(entry, stream), s) for (entry, stream), s in zip(streams, settled)]
+    failures = [0] * len(queries)
+    try:
+        while True:
+            seen = list(failures)
+            for i in range(len(queries)):
+                failures[i] = _restarted(streams[i], sink, settled[i], queries, i, failures[i])
+            if failures == seen and not any(query.isActive for query in queries):
+                return
+            time.sleep(poll)
+    finally:
+        for query in queries:
+            if query.isActive:
+                query.stop()
+
+
+def _restarted(source, sink, settings: StreamSettings, queries: list, i: int, failed: int) -> int:
+    """Start query ``i`` again if it has failed; the number of its failures so far."""
+    error = None if queries[i].isActive else queries[i].exception()
+    if error is None:
+        return failed
+    if failed >= settings.retries:
+        raise error
+    time.sleep(settings.delay)
+    queries[i] = start(sink(*source), settings)
+    return failed + 1
+
+
 def printed(stream: DataFrame, prefix: str = "", n: int = 10) -> DataStreamWriter:
     """Print the first rows of every micro-batch."""
     return per_batch(stream, lambda batch, batch_id: print_rows(batch, prefix, n))

@@ -10,8 +10,8 @@ from millrace.operators import kpi
 from millrace.plans import flows
 from millrace.sinks import files
 from millrace.sources.changes import ChangeSource, read_changes
-from millrace.sources.tables import spread
-from millrace.streaming import jobs
+from millrace.plans.inputs import spread
+from millrace.streaming import dims, jobs
 from millrace.streaming.dims import maintained_dims, snapshot_dims
 
 
@@ -132,10 +132,68 @@ def test_stream_landing_gathers_files(spark, tmp_path):
     flat = env.envelope_text(env.flat_envelope(env.read_records(changes)))
     landing = files.landing_rows(flat, table=F.get_json_object("body", "$.table"), by_day=False)
     ck = str(tmp_path / "ck")
-    jobs.run(files.land_stream(landing, str(tmp_path / "out"), ck, slots=2), jobs.StreamSettings(ck))
+    jobs.run(files.land_stream(landing, str(tmp_path / "out"), ck), jobs.StreamSettings(ck))
     assert spark.read.text(str(tmp_path / "out")).count() == 300
     for folder in (tmp_path / "out").glob("table=*"):
-        assert len(list(folder.glob("*.txt"))) <= 2
+        assert len(list(folder.glob("*/*.txt"))) == 1
+
+
+def test_writers_of_a_hot_table_grow_with_it(spark, tmp_path):
+    """What lands is split by size, between reading tasks: more bytes have more writers, without a cap."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "64k")
+    try:
+        files_of = {}
+        for rows in (2_000, 40_000):
+            text = F.concat(F.lit("x"), F.sha2(F.col("id").cast("string"), 256))
+            df = spark.range(0, rows, 1, rows // 500).select(text.alias("value"), F.lit("hot").alias("table"))
+            files.land_batch(df, str(tmp_path / str(rows)), 0)
+            files_of[rows] = len(list((tmp_path / str(rows)).glob("table=hot/*/*.txt")))
+        assert files_of[40_000] > 8 >= 4 * files_of[2_000]
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_a_new_checkpoint_does_not_bring_old_values_back(spark, tmp_path):
+    put(tmp_path / "feed", "1.json", [feed_row(7, DataBase="a", guid="new"), feed_row(1, DataBase="b", guid="B")])
+    run_feed(spark, tmp_path)
+    put(tmp_path / "feed2", "1.json", [feed_row(3, DataBase="a", guid="old"), feed_row(9, DataBase="c", guid="C")])
+    rows = spark.readStream.schema("value string, seq long").json(str(tmp_path / "feed2"))
+    writer = maintained_dims(env.parse_envelope(rows), str(tmp_path / "dims"))
+    jobs.run(writer, jobs.StreamSettings(str(tmp_path / "other-ck")))
+    assert dims_now(spark, tmp_path) == {"a": ("new", None), "b": ("B", None), "c": ("C", None)}
+
+
+def test_a_batch_again_during_a_read_changes_nothing(spark, tmp_path):
+    put(tmp_path / "feed", "1.json", [feed_row(1, DataBase="a", guid="A")])
+    run_feed(spark, tmp_path)
+    open_before = snapshot_dims(spark, str(tmp_path / "dims"))
+    rows = spark.readStream.schema("value string, seq long").json(str(tmp_path / "feed"))
+    again = maintained_dims(env.parse_envelope(rows), str(tmp_path / "dims"), merge_after=1)
+    jobs.run(again, jobs.StreamSettings(str(tmp_path / "again-ck")))
+    assert [tuple(r) for r in open_before.collect()] == [("a", "A", None)]  # its files are still there
+    assert dims_now(spark, tmp_path) == {"a": ("A", None)}
+    kinds = [e.kind for e in dims._log(spark, str(tmp_path / "dims"))]
+    assert kinds == ["delta", "delta", "full"]
+    dims._expire(spark, str(tmp_path / "dims"), keep=-1.0)
+    assert len(list((tmp_path / "dims").glob("delta-*"))) == 0
+    assert dims_now(spark, tmp_path) == {"a": ("A", None)}
+
+
+def test_unusable_records_are_set_aside_in_both_flows(spark, tmp_path):
+    junk = {"topic": "srv.dbo.A", "key": "9", "value": "junk"}
+    put(tmp_path / "in", "1.json", [change("A", {"id": 1}), junk, change("A", None, op="t")])
+    changes = read_changes(spark, ChangeSource("srv", folder=str(tmp_path / "in")))
+    path = str(tmp_path / "ods")
+    writer = flows.capture_to_files(changes, lambda: snapshot_dims(spark, str(tmp_path / "none")), path)
+    jobs.run(writer, jobs.StreamSettings(str(tmp_path / "ck")))
+    assert spark.read.text(path).count() == 2
+    aside = [json.loads(r.value) for r in spark.read.text(path + "-unusable").collect()]
+    assert aside == [{"topic": "srv.dbo.A", "key": "9", "value": "junk"}]
+    jobs.run(flows.capture_to_facts(changes, str(tmp_path / "f")), jobs.StreamSettings(str(tmp_path / "ck2")))
+    assert [r.id for r in spark.read.parquet(str(tmp_path / "f")).collect()] == ["1"]
+    assert spark.read.text(str(tmp_path / "f-unusable")).count() == 2
 
 
 @pytest.mark.parametrize("splits, moved", [(1, True), (2, True), (3, False), (8, False)])

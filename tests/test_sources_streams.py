@@ -105,6 +105,40 @@ def test_one_stream_per_source(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "all")).count() == 2
 
 
+def test_each_source_is_restarted_and_the_rest_stopped(spark, tmp_path):
+    (tmp_path / "s.txt").write_text("h1 1 a dbo.A u p\nh2 2 b dbo.B u p\n")
+    for host in ("h1", "h2"):
+        put(tmp_path / host, "1.log", ["x"])
+    entries = read_source_list(spark, str(tmp_path / "s.txt"))
+    streams = jobs.source_streams(entries, lambda e: tail_lines(spark, str(tmp_path / e.ip)))
+    tries, enough = [], 3
+
+    def sink(entry, stream):
+        def act(batch, batch_id):
+            if entry.ip == "h1":
+                tries.append(batch_id)
+                if len(tries) < enough:
+                    raise RuntimeError("lost")
+            batch.write.mode("overwrite").text(str(tmp_path / "out" / entry.ip))
+
+        return jobs.per_batch(stream, act)
+
+    jobs.run_each(streams, sink, lambda e: jobs.StreamSettings(str(tmp_path / "ck" / e.ip)), poll=0.1)
+    assert tries == [0, 0, 0]
+    assert [spark.read.text(str(tmp_path / "out" / h)).count() for h in ("h1", "h2")] == [1, 1]
+    enough = 99
+    with pytest.raises(Exception, match="lost"):
+        jobs.run_each(streams, sink, lambda e: jobs.StreamSettings(str(tmp_path / "ck2" / e.ip), retries=1), poll=0.1)
+    assert not [q for q in spark.streams.active if q.isActive]
+    with pytest.raises(ValueError, match="at most 1"):
+        jobs.source_entries(entries, most=1)
+
+
+def test_scratch_can_be_expired(spark):
+    kept = session.cut_lineage(spark.range(3), "expire-test")
+    assert session.expire_scratch(spark, 3600) == 0 and kept.count() == 3
+
+
 def test_ranges_and_tables(spark, tmp_path):
     (tmp_path / "ip.txt").write_text("1.0.1.0|1.0.3.255|C|X|P|T|I\n", encoding="utf-8")
     assert read_ip_ranges(spark, str(tmp_path / "ip.txt")).first().location == "C,P,T,I"
@@ -181,7 +215,7 @@ def test_fan_out_and_messages(spark, tmp_path):
     writer = messages.stream_messages(rows, {"path": str(tmp_path / "t")}, str(tmp_path / "ck2"), fmt="json")
     jobs.run(writer, jobs.StreamSettings(str(tmp_path / "ck2")))
     sent = topics.read_message_files(spark, str(tmp_path / "t"), streaming=False)
-    assert sorted(map(tuple, sent.collect())) == [("log", None, "x"), ("log", None, "y")]
+    assert sorted(tuple(r)[:3] for r in sent.collect()) == [("log", None, "x"), ("log", None, "y")]
 
 
 def test_printed_and_discarded(spark, tmp_path, capsys):
