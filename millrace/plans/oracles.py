@@ -131,6 +131,12 @@ _LINES = """
         || CASE WHEN event_id % 5 = 0 THEN '::' ELSE '' END AS value FROM events"""
 
 
+_NUMBERED_LINES = _LINES.replace("AS value", "AS value, event_id")
+_UNUSABLE = "(o_orderkey % 7 = 0 OR o_orderkey % 5 = 0)"
+_UNUSABLE_TEXT = """
+    CASE WHEN o_orderkey % 7 = 0 THEN 'no json'
+        WHEN o_orderkey % 5 = 0 THEN '{"source":{"db":"shop"}}' END"""
+
 _WALK = """
     WITH RECURSIVE walk(id, path, up) AS (
         SELECT p_partkey, CAST(p_partkey AS VARCHAR),
@@ -155,9 +161,14 @@ def _doc_lines(text: str) -> str:
 
 
 _LANDED = """
-    SELECT event_type AS "table", CAST(CAST(ts AS DATE) AS VARCHAR) AS dt, count(*) AS n,
-        CAST(sum(event_id) AS BIGINT) AS ids
-    FROM events GROUP BY ALL"""
+    SELECT event_type AS "table", CAST(CAST(ts AS DATE) AS VARCHAR) AS dt, event_id, value,
+        CASE WHEN event_id % 3 <> 0 THEN CAST(event_id * 1000 AS VARCHAR) END AS changed,
+        CAST(NULL AS VARCHAR) AS body_table,
+        CAST(CASE WHEN event_id % 3 <> 0 THEN 3 ELSE 2 END AS INTEGER) AS n_keys
+    FROM events"""
+_EVENT = f"""
+    SELECT 'shop' AS "database", event_type AS "table", {_EVENT_TYPE} AS type, {_EVENT_COLUMNS}
+    FROM events"""
 
 ALL = {
     "tm_amount_topk": _TM,
@@ -283,7 +294,10 @@ ALL = {
     "token_lists": f"""
         SELECT value, CAST(3 AS INTEGER) AS n, replace(rtrim(value, ':'), ':', '|') AS parts
         FROM ({_LINES})""",
-    "colon_count_stream": _words(f"SELECT value AS line FROM ({_LINES})", ":"),
+    "colon_count_stream": """
+        SELECT CAST(event_id % 5 AS INTEGER) AS batch, word, count(*) AS n FROM (
+            SELECT event_id, unnest([event_type, CAST(user_id AS VARCHAR), event_type]) AS word FROM events)
+        GROUP BY ALL""",
     "tail_to_messages": f"""
         SELECT 'log' AS topic, value, count(*) AS n FROM ({_LINES}) GROUP BY value""",
     "land_by_table": _LANDED,
@@ -306,7 +320,7 @@ ALL = {
         UNION ALL
         SELECT 'shop', 'supplier', 'read', s_suppkey, NULL, s_acctbal, NULL FROM supplier""",
     "topic_by_table": f"""
-        SELECT event_type AS topic, CAST(event_id AS VARCHAR) AS key, {_EVENT_TYPE} AS type FROM events""",
+        SELECT "table" AS topic, CAST(event_id AS VARCHAR) AS key, * FROM ({_EVENT})""",
     "figures_of_table": f"""
         SELECT 'amount' AS figure, total_amount AS value FROM ({_AMOUNT})
         UNION ALL SELECT 'new', CAST(new_count AS DECIMAL(18,2)) FROM ({_NEW})""",
@@ -323,8 +337,55 @@ ALL = {
         FROM customer
         UNION ALL
         SELECT 'shop', 'supplier', 'read', s_suppkey, NULL, s_acctbal FROM supplier""",
-    "fan_out_sinks": """
-        SELECT event_type AS "table", count(*) AS n, sink
-        FROM events, (VALUES ('rows'), ('text')) AS sinks(sink)
-        GROUP BY event_type, sink""",
+    "fan_out_sinks": f"""
+        SELECT e.*, sink FROM ({_EVENT}) e, (VALUES ('rows'), ('text')) AS sinks(sink)""",
+    "cdc_repeated_keys": """
+        SELECT 'T' AS "table", o_orderkey AS order_id, o_custkey AS n FROM orders""",
+    "capture_quarantine": f"""
+        SELECT CASE WHEN {_UNUSABLE} THEN 'aside' ELSE 'kept' END AS state,
+            CASE WHEN {_UNUSABLE} THEN '_unusable' ELSE o_orderstatus END AS "table",
+            CAST(o_orderkey AS VARCHAR) AS key, {_UNUSABLE_TEXT} AS value
+        FROM orders""",
+    "facts_quarantine": f"""
+        SELECT CASE WHEN {_UNUSABLE} THEN 'aside' ELSE 'kept' END AS state, count(*) AS n
+        FROM orders GROUP BY ALL""",
+    "malformed_envelopes_land": f"""
+        SELECT CASE WHEN order_id % 9 = 0 THEN 'unknow-source' ELSE "table" END AS "table",
+            CASE WHEN order_id % 9 <> 0 THEN "database" END AS "database",
+            CASE WHEN order_id % 9 <> 0 THEN order_id END AS order_id,
+            CASE WHEN order_id % 9 = 0 THEN 'broken ' || order_id END AS text
+        FROM ({_ENRICHED})""",
+    "typed_rows_malformed": """
+        SELECT CASE WHEN o_orderkey % 7 <> 0 AND o_orderkey % 5 <> 0 THEN CAST(o_orderkey AS VARCHAR) END AS id,
+            CASE WHEN o_orderkey % 7 <> 0 AND o_orderkey % 5 <> 0 THEN CAST(5 AS BIGINT) END AS total_amount,
+            CASE WHEN o_orderkey % 7 = 0 THEN 'no json' WHEN o_orderkey % 5 = 0 THEN '{"type":"insert"}' END AS aside
+        FROM orders""",
+    "ip_location_overlap": f"""
+        WITH ranges AS (
+            SELECT lo + gap AS lo, lo + gap + span AS hi, kind || '-' || s_suppkey AS location
+            FROM (SELECT s_suppkey, 2147483648 + (s_suppkey % 8192) * 262144 AS lo FROM supplier),
+                (VALUES (0, 262143, 'wide'), (60000, 20000, 'inner'), (65000, 1000, 'deep')) AS k(gap, span, kind)
+            UNION ALL
+            SELECT (p_partkey % 1048576) * 2048, (p_partkey % 1048576) * 2048 + 1500, 'part-' || p_partkey
+            FROM part),
+        hits AS (
+            SELECT o_orderkey, arg_max(location, lo) AS location
+            FROM ({_NUMBERS}) JOIN ranges ON number BETWEEN lo AND hi GROUP BY o_orderkey)
+        SELECT n.o_orderkey, ip,
+            CASE WHEN ip IS NULL THEN '请传入一个ip' ELSE coalesce(location, 'Other IDC') END AS location
+        FROM ({_NUMBERS}) n LEFT JOIN hits ON n.o_orderkey = hits.o_orderkey""",
+    "enrich_large": _ENRICHED,
+    "dimension_of_changes": """
+        SELECT 'shop_' || c_custkey AS "database",
+            CASE WHEN c_custkey % 2 = 0 THEN 'g2-' ELSE 'g1-' END || c_custkey AS guid,
+            CASE WHEN c_custkey % 3 <> 0 THEN 't-' || c_custkey END AS tenantid
+        FROM customer""",
+    "clock_texts": """
+        SELECT event_id, CAST(20240102 AS INTEGER) AS today, '1704164645000' AS millis,
+            strftime(ts, '%Y-%m-%d-%H') AS hour
+        FROM events""",
+    "payload_texts": f"SELECT value, event_id FROM ({_NUMBERED_LINES})",
+    "restarted_stream": f"SELECT value, event_id FROM ({_NUMBERED_LINES})",
+    "dataset_controls": """
+        SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 10""",
 }

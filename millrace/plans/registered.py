@@ -5,26 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions import objects
+from millrace.functions import clock, objects
 from millrace.functions.net import ip_to_long
 from millrace.functions.text import split_tokens
 from millrace.operators import envelope as env
 from millrace.operators import kpi
 from millrace.operators import projections as prj
-from millrace.operators.enrich import attach, enrich, latest_dims
+from millrace.operators.enrich import DIM_TYPE, attach, enrich, latest_dims
 from millrace.operators.geo import parse_ranges, with_ip_location
 from millrace.operators.hierarchy import parent_paths, with_parent_path
 from millrace.operators.union import union_all
 from millrace.operators.words import text_lines, word_count
 from millrace.plans import flows, inputs, reports
 from millrace.session import cut_lineage, scratch_path
-from millrace.sinks import database, files, messages, tables
+from millrace.sinks import database, files, local, messages, tables
 from millrace.sources.changes import ChangeSource, read_changes, snapshot_records
 from millrace.sources.files import parse_source_list, read_lines, read_source_list, tail_lines
-from millrace.sources.messages import read_message_files
+from millrace.sources.messages import position, read_message_files
 from millrace.sources.tables import read_facts, read_hierarchy
 from millrace.streaming import jobs
-from millrace.streaming.dims import maintained_dims, snapshot_dims
+from millrace.streaming.dims import maintained_dims, read_dims, snapshot_dims
 
 DAY = 19980316
 GMV_DAY = 19960917
@@ -232,24 +232,20 @@ def streams_per_source(spark: SparkSession, sf: str) -> DataFrame:
     streams = jobs.source_streams(
         _type_sources(spark, sf), lambda entry: _flat_events(read_changes(spark, source, [entry.tb]))
     )
-    queries = jobs.start_each(
+    jobs.run_each(
         streams,
         lambda entry, s: s.writeStream.format("parquet").option("path", f"{out}/{entry.tb}"),
         lambda entry: jobs.StreamSettings(scratch_path(spark, "ckpt")),
     )
-    for query in queries:
-        query.awaitTermination()
     return union_all([spark.read.schema(s.schema).parquet(f"{out}/{e.tb}") for e, s in streams])
 
 
 def union_of_source_list(spark: SparkSession, sf: str) -> DataFrame:
-    """One stream over the union of all entries of a source list."""
+    """All entries of a source list in one stream: one subscription to their topics."""
     folder = _landed_messages(inputs.event_changes(spark, sf), "topics")
-    source = ChangeSource("srv", folder=folder)
-    streams = jobs.source_streams(
-        _type_sources(spark, sf), lambda entry: read_changes(spark, source, [entry.tb])
-    )
-    flat = _flat_events(union_all([s for _, s in streams]))
+    tables = [entry.tb for entry in jobs.source_entries(_type_sources(spark, sf))]
+    changes = read_changes(spark, ChangeSource("srv", folder=folder), tables, max_files=2)
+    flat = _flat_events(changes)
     return _streamed(flat, scratch_path(spark, "out"), scratch_path(spark, "ckpt"))
 
 
@@ -292,7 +288,7 @@ def enrich_one_key(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def enrich_columns(spark: SparkSession, sf: str) -> DataFrame:
-    """The same lookup on typed columns, without a JSON body; over line items."""
+    """The same lookup on typed columns, without a JSON body; over orders."""
     orders = inputs.table(spark, sf, "orders").select(
         "o_orderkey",
         F.concat(F.lit("shop_"), F.col("o_custkey").cast("string")).alias("database"),
@@ -303,13 +299,18 @@ def enrich_columns(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _in_files(rows: DataFrame, path: str, n: int = 6, fmt: str = "json") -> str:
+    """Write rows as at least a few files, so that streams over them take several batches."""
+    rows.repartition(n).write.format(fmt).save(path)
+    return path
+
+
 def _streamed_dims(spark: SparkSession, sf: str) -> str:
-    """Run the customer feed as a stream into published snapshots."""
-    feed = scratch_path(spark, "feed")
-    inputs.customer_feed(spark, sf).write.json(feed)
-    rows = spark.readStream.schema("value string, seq bigint").json(feed)
+    """Run the customer feed as a stream, published after each of several batches."""
+    feed = _in_files(inputs.customer_feed(spark, sf), scratch_path(spark, "feed"))
+    rows = spark.readStream.schema("value string, seq bigint").option("maxFilesPerTrigger", 2).json(feed)
     path = scratch_path(spark, "dims")
-    writer = maintained_dims(env.parse_envelope(rows), path)
+    writer = maintained_dims(env.parse_envelope(rows), path, merge_after=2)
     jobs.run(writer, jobs.StreamSettings(scratch_path(spark, "ckpt")))
     return path
 
@@ -321,14 +322,14 @@ def dimension_stream(spark: SparkSession, sf: str) -> DataFrame:
 def enrich_stream(spark: SparkSession, sf: str) -> DataFrame:
     """One stream keeps the dimension, another reads it anew in every micro-batch."""
     dims = _streamed_dims(spark, sf)
-    folder = scratch_path(spark, "facts")
-    inputs.order_envelopes(spark, sf).write.json(folder)
-    facts = env.parse_envelope(spark.readStream.schema("value string").json(folder))
+    folder = _in_files(inputs.order_envelopes(spark, sf), scratch_path(spark, "facts"))
+    reader = spark.readStream.schema("value string").option("maxFilesPerTrigger", 2)
+    facts = env.parse_envelope(reader.json(folder))
     out = scratch_path(spark, "out")
     write = jobs.overwrite_batch(out)
     writer = jobs.enriched_batches(
         facts.select("envelope"),
-        lambda: snapshot_dims(spark, dims),
+        lambda: read_dims(spark, dims),
         lambda batch, batch_id: write(_opened(batch, _ORDER_OUT), batch_id),
     )
     jobs.run(writer, jobs.StreamSettings(scratch_path(spark, "ckpt")))
@@ -495,14 +496,17 @@ def token_lists(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def colon_count_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Counts of every micro-batch, added up here to compare with the whole."""
+    """Counts of every micro-batch on its own: the lines arrive in five parts, one a batch."""
     folder = scratch_path(spark, "lines")
-    inputs.event_lines(spark, sf).write.text(folder)
+    lines = inputs.event_lines(spark, sf, "event_id")
+    for part in range(5):
+        some = lines.filter(F.col("event_id") % 5 == part).select("value")
+        some.coalesce(1).write.mode("append").text(folder)
     out = scratch_path(spark, "out")
-    writer = jobs.batch_word_counts(tail_lines(spark, folder), out)
+    writer = jobs.batch_word_counts(tail_lines(spark, folder, max_files=1), out)
     jobs.run(writer, jobs.StreamSettings(scratch_path(spark, "ckpt")))
     counts = spark.read.schema("word string, n bigint, batch_id int").parquet(out)
-    return counts.groupBy("word").agg(F.sum("n").alias("n"))
+    return counts.select(F.col("batch_id").cast("int").alias("batch"), "word", "n")
 
 
 def running_count_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -538,31 +542,35 @@ def _landing(df: DataFrame, day) -> DataFrame:
     return files.landing_rows(out, table=F.col("headers")["table"], day=day)
 
 
-def _landed_totals(spark: SparkSession, path: str) -> DataFrame:
-    """Rows and distinct events per landed table and day."""
+def _landed_events(spark: SparkSession, path: str) -> DataFrame:
+    """Every landed event with its table and day, and all of its body."""
     rows = spark.read.schema("value string, `table` string, dt string").text(path)
-    event = F.from_json("value", "event_id bigint").alias("e")
-    return (
-        rows.select("table", "dt", event)
-        .groupBy("table", "dt")
-        .agg(F.count("*").alias("n"), F.sum("e.event_id").alias("ids"))
+    known = "event_id bigint, value double, ModifyTime string, `table` string"
+    return rows.select(
+        "table",
+        "dt",
+        F.from_json("value", known).alias("e"),
+        F.size(F.json_object_keys("value")).alias("n_keys"),
+    ).select(
+        "table", "dt", "e.event_id", "e.value", F.col("e.ModifyTime").alias("changed"),
+        F.col("e.table").alias("body_table"), "n_keys",
     )
 
 
 def land_by_table(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "land")
     files.land_by_table(_landing(inputs.event_bodies(spark, sf), F.to_date("ts")), path)
-    return _landed_totals(spark, path)
+    return _landed_events(spark, path)
 
 
 def land_stream(spark: SparkSession, sf: str) -> DataFrame:
-    folder = scratch_path(spark, "bodies")
-    inputs.event_bodies(spark, sf).write.parquet(folder)
-    stream = spark.readStream.schema("body string, ts timestamp_ntz").parquet(folder)
+    folder = _in_files(inputs.event_bodies(spark, sf), scratch_path(spark, "bodies"), fmt="parquet")
+    reader = spark.readStream.schema("body string, ts timestamp_ntz").option("maxFilesPerTrigger", 2)
+    stream = reader.parquet(folder)
     path, checkpoint = scratch_path(spark, "land"), scratch_path(spark, "ckpt")
     writer = files.land_stream(_landing(stream, F.to_date("ts")), path, checkpoint)
     jobs.run(writer, jobs.StreamSettings(checkpoint))
-    return _landed_totals(spark, path)
+    return _landed_events(spark, path)
 
 
 def _shop_changes(spark: SparkSession, sf: str) -> DataFrame:
@@ -598,19 +606,19 @@ def capture_enrich_land(spark: SparkSession, sf: str) -> DataFrame:
 def capture_stream_to_files(spark: SparkSession, sf: str) -> DataFrame:
     """The main path as streams: the dimension feed, and the changes landed by table and day."""
     dims = _streamed_dims(spark, sf)
-    folder = _landed_messages(_shop_changes(spark, sf), "topics")
-    changes = read_changes(spark, ChangeSource("srv", folder=folder))
+    folder = _in_files(_shop_changes(spark, sf), scratch_path(spark, "topics"))
+    changes = read_changes(spark, ChangeSource("srv", folder=folder), max_files=2)
     path = scratch_path(spark, "ods")
     day = F.lit("2024-01-02").cast("date")
-    writer = flows.capture_to_files(changes, lambda: snapshot_dims(spark, dims), path, day)
+    writer = flows.capture_to_files(changes, lambda: read_dims(spark, dims), path, day)
     jobs.run(writer, jobs.StreamSettings(scratch_path(spark, "ckpt")))
     return _landed_orders(spark, path)
 
 
 def capture_stream_to_report(spark: SparkSession, sf: str) -> DataFrame:
     """The second path: changes to typed facts, then the brand ranking of their day as JSON."""
-    folder = _landed_messages(inputs.sales_changes(spark, sf), "topics")
-    changes = read_changes(spark, ChangeSource("srv", folder=folder), ["dbo.sales"])
+    folder = _in_files(inputs.sales_changes(spark, sf), scratch_path(spark, "topics"))
+    changes = read_changes(spark, ChangeSource("srv", folder=folder), ["dbo.sales"], max_files=2)
     path = scratch_path(spark, "facts")
     jobs.run(
         flows.capture_to_facts(changes, path, now=_now()),
@@ -680,18 +688,184 @@ def fan_out_sinks(spark: SparkSession, sf: str) -> DataFrame:
     )
     kept = spark.read.schema("key string, body string").parquet(rows)
     landed = spark.read.schema("value string, `table` string").text(land)
-    one = kept.groupBy(F.get_json_object("body", "$.table").alias("table")).agg(F.count("*").alias("n"))
-    two = landed.groupBy("table").agg(F.count("*").alias("n"))
+    known = f"database string, `table` string, type string, {_EVENT_ROW}"
+    one = kept.select(F.from_json("body", known).alias("b")).select("b.*")
+    two = landed.select("table", F.from_json("value", known).alias("b")).select(
+        "b.database", "table", "b.type", *[f"b.{c.split()[0]}" for c in _EVENT_ROW.split(", ")]
+    )
     return one.withColumn("sink", F.lit("rows")).unionByName(two.withColumn("sink", F.lit("text")))
 
 
 def topic_by_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Messages routed to a topic named by the table of each envelope."""
+    """Messages written to a topic named by the table of each envelope; files stand in for a broker."""
     flat = env.flat_envelope(env.read_records(inputs.event_changes(spark, sf)))
     name = objects.get_string(F.col("envelope"), "table")
     key = objects.get_string(F.col("envelope"), "event_id")
     rows = messages.message_rows(env.envelope_text(flat.drop("key")), topic=name, key=key)
-    return rows.select("topic", "key", F.get_json_object("value", "$.type").alias("type"))
+    out = scratch_path(spark, "topic")
+    messages.write_messages(rows, {"path": out}, fmt="json")
+    sent = read_message_files(spark, out, streaming=False)
+    known = f"database string, `table` string, type string, {_EVENT_ROW}"
+    return sent.select("topic", "key", F.from_json("value", known).alias("b")).select("topic", "key", "b.*")
+
+
+# --- records that go wrong, and large joins ---------------------------------------------------
+
+
+def cdc_repeated_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows whose image gives a key twice: the record stays and the last value counts."""
+    twice = inputs.text_of('{"Id":', F.col("o_orderkey").cast("string"), ',"n":1,"n":', F.col("o_custkey").cast("string"), "}")
+    value = inputs.text_of('{"before":null,"after":', twice, ',"source":{"db":"shop"},"op":"c"}')
+    changes = inputs.rows(spark, sf, "orders").select(F.lit("srv.dbo.T").alias("topic"), value.alias("value"))
+    rows = env.envelope_text(env.flat_envelope(env.read_records(changes)))
+    known = "`table` string, Id bigint, n bigint"
+    return rows.select(F.from_json("body", known).alias("b")).select("b.table", F.col("b.Id").alias("order_id"), "b.n")
+
+
+def _broken(changes: DataFrame) -> DataFrame:
+    """Change records of which every fifth has no operation and every seventh is no JSON."""
+    number = F.col("key").cast("bigint")
+    value = F.when(number % 7 == 0, F.lit("no json")).when(number % 5 == 0, F.lit('{"source":{"db":"shop"}}'))
+    return changes.withColumn("value", F.coalesce(value, F.col("value")))
+
+
+def capture_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """The first path over partly unusable records: what landed, and what was set aside with it."""
+    folder = _in_files(_broken(_shop_changes(spark, sf)), scratch_path(spark, "topics"))
+    changes = read_changes(spark, ChangeSource("srv", folder=folder), max_files=2)
+    path, aside = scratch_path(spark, "ods"), scratch_path(spark, "aside")
+    empty = spark.createDataFrame([], DIM_TYPE)
+    writer = flows.capture_to_files(changes, lambda: empty, path, F.lit("2024-01-02").cast("date"), aside=aside)
+    jobs.run(writer, jobs.StreamSettings(scratch_path(spark, "ckpt")))
+    kept = _landed_orders(spark, path).select(
+        F.lit("kept").alias("state"), "table", F.col("order_id").cast("string").alias("key"), F.lit(None).cast("string").alias("value")
+    )
+    lost = spark.read.schema("value string, `table` string").text(aside)
+    lost = lost.select("table", F.from_json("value", "topic string, key string, value string").alias("r"))
+    return kept.unionByName(lost.select(F.lit("aside").alias("state"), "table", "r.key", "r.value"))
+
+
+def facts_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """The second path over partly unusable records: facts and what was set aside with them."""
+    changes = _shop_changes(spark, sf).withColumn("topic", F.lit("srv.dbo.sales"))
+    folder = _in_files(_broken(changes), scratch_path(spark, "topics"))
+    read = read_changes(spark, ChangeSource("srv", folder=folder), ["dbo.sales"], max_files=2)
+    path, aside = scratch_path(spark, "facts"), scratch_path(spark, "aside")
+    jobs.run(
+        flows.capture_to_facts(read, path, now=_now(), aside=aside), jobs.StreamSettings(scratch_path(spark, "ckpt"))
+    )
+    facts = spark.read.schema(f"{prj.FACT_TYPE}, dt date").parquet(path)
+    kept = facts.groupBy("dt").agg(F.count("*").alias("n")).select(F.lit("kept").alias("state"), "n")
+    lost = spark.read.schema("value string, `table` string").text(aside)
+    return kept.unionByName(lost.groupBy(F.lit("aside").alias("state")).agg(F.count("*").alias("n")))
+
+
+def malformed_envelopes_land(spark: SparkSession, sf: str) -> DataFrame:
+    """Envelope text of which a part is malformed, enriched and landed: that part keeps its text."""
+    text = inputs.order_envelopes(spark, sf, "o_orderkey")
+    broken = F.when(F.col("o_orderkey") % 9 == 0, inputs.text_of("broken ", F.col("o_orderkey").cast("string")))
+    facts = env.parse_envelope(text.select(F.coalesce(broken, F.col("value")).alias("value")))
+    out = env.envelope_text(enrich(facts, _customer_dims(spark, sf)), text="value")
+    path = scratch_path(spark, "ods")
+    name = objects.get_string(F.col("envelope"), "table")
+    files.land_by_table(files.landing_rows(out, table=name, by_day=False), path)
+    landed = spark.read.schema("value string, `table` string").text(path)
+    opened = F.from_json("value", "database string, Id bigint").alias("b")
+    rows = landed.select("table", "value", opened)
+    whole = F.col("table") != files.UNKNOWN_TABLE
+    return rows.select(
+        "table",
+        F.col("b.database").alias("database"),
+        F.col("b.Id").alias("order_id"),
+        F.when(~whole, F.col("value")).alias("text"),
+    )
+
+
+def typed_rows_malformed(spark: SparkSession, sf: str) -> DataFrame:
+    """Envelope text without data, or no JSON: no facts, and set aside as it came."""
+    number = F.col("o_orderkey")
+    plain = inputs.text_of('{"data":{"id":"', number.cast("string"), '","total_amount":5},"type":"insert"}')
+    body = F.when(number % 7 == 0, "no json").when(number % 5 == 0, '{"type":"insert"}').otherwise(plain)
+    texts = inputs.table(spark, sf, "orders").select(body.alias("body"))
+    facts = prj.typed_rows(texts, "body", now=_now()).select("id", "total_amount", F.lit(None).cast("string").alias("aside"))
+    lost = prj.without_data(texts, "body")
+    return facts.unionByName(
+        lost.select(F.lit(None).cast("string").alias("id"), F.lit(None).cast("bigint").alias("total_amount"), F.col("body").alias("aside"))
+    )
+
+
+def ip_location_overlap(spark: SparkSession, sf: str) -> DataFrame:
+    """Ranges nested in ranges over several prefixes: the one over an address that starts last."""
+    ranges = inputs.nested_ranges(spark, sf)
+    return with_ip_location(inputs.order_ips(spark, sf), "ip", ranges)
+
+
+def enrich_large(spark: SparkSession, sf: str) -> DataFrame:
+    """The two-key enrichment the way it runs when the dimension is too large to broadcast."""
+    facts = env.parse_envelope(inputs.order_envelopes(spark, sf)).select("envelope")
+    out = enrich(facts, _customer_dims(spark, sf), small=False)
+    return _opened(out, _ORDER_OUT).withColumnRenamed("Id", "order_id")
+
+
+def dimension_of_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """Two tables' change records keep the dimension: inserts, updates and deletes, in three batches.
+
+    The log gives each message's place; the batches do not arrive in that order.
+    """
+    records = inputs.customer_changes(spark, sf)
+    folder, path = scratch_path(spark, "topics"), scratch_path(spark, "dims")
+    settings = jobs.StreamSettings(scratch_path(spark, "ckpt"))
+    source = ChangeSource("srv", folder=folder)
+    for offset in (2, 1, 3):
+        records.filter(F.col("offset") == offset).write.mode("append").json(folder)
+        changes = read_changes(spark, source, ["dbo.databases", "dbo.tenants"])
+        feed = env.flat_envelope(env.read_records(changes))
+        jobs.run(maintained_dims(feed, path, seq=position(), honor_deletes=True, merge_after=2), settings)
+    return snapshot_dims(spark, path)
+
+
+# --- controls --------------------------------------------------------------------------------
+
+
+def clock_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Day number, epoch milliseconds and hour stamp, of a time given and of every event's."""
+    return inputs.table(spark, sf, "events").select(
+        "event_id",
+        clock.today_number(_now()).alias("today"),
+        clock.epoch_millis_text(_now()).alias("millis"),
+        clock.hour_stamp(F.col("ts")).alias("hour"),
+    )
+
+
+def payload_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Message payloads as bytes, read as text."""
+    lines = inputs.event_lines(spark, sf, "event_id").withColumn("value", F.encode("value", "UTF-8"))
+    return prj.record_text(lines)
+
+
+def restarted_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream that fails in its second batch and goes on from its checkpoint: no row twice."""
+    folder = _in_files(inputs.event_lines(spark, sf, "event_id"), scratch_path(spark, "in"))
+    stream = spark.readStream.schema("value string, event_id bigint").option("maxFilesPerTrigger", 2).json(folder)
+    out = scratch_path(spark, "out")
+    write, failed = jobs.overwrite_batch(out), []
+
+    def act(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        if batch_id == 1 and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("lost after writing")
+
+    jobs.run(jobs.per_batch(stream, act), jobs.StreamSettings(scratch_path(spark, "ckpt"), retries=2))
+    return spark.read.schema("value string, event_id bigint").parquet(out).drop("batch_id")
+
+
+def dataset_controls(spark: SparkSession, sf: str) -> DataFrame:
+    """A frame cut from its lineage, in fewer partitions, and its first rows in order."""
+    held = local.checkpointed(inputs.table(spark, sf, "orders").select("o_orderkey", "o_totalprice"))
+    few = local.fewer_files(held, 2)
+    local.discard(few)
+    return local.preview(few.orderBy("o_orderkey"), 10)
 
 
 ALL = {
@@ -710,5 +884,8 @@ ALL = {
         capture_enrich_land, capture_stream_to_files, capture_stream_to_report, append_dynamic,
         topic_by_table, figures_of_table, streams_per_source, union_of_source_list,
         parent_paths_of_table, running_count_stream, append_dynamic_stream, fan_out_sinks,
+        cdc_repeated_keys, capture_quarantine, facts_quarantine, malformed_envelopes_land,
+        typed_rows_malformed, ip_location_overlap, enrich_large, dimension_of_changes, clock_texts,
+        payload_texts, restarted_stream, dataset_controls,
     )
 }
