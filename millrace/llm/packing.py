@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import Scratch, small_batches
 
+TOKENIZER = "byte_bpe_50k.json"
 WINDOW = 1024
 # Pieces in a group: bounds a task's work and keeps the one open window of a group small beside it.
 GROUP_PIECES = 512
@@ -33,6 +34,13 @@ PIECES = "doc_id long, start long, length long, doc_tokens long, checksum long,
 _SINGLE_SPACE = re.compile(r"(?<! ) (?! )")
 
 
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """Where a public tokenizer's file lies on this machine, and on every executor alike."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 class WordIds(dict):
     """Ids of words as little-endian 32-bit bytes, remembered for the commonest words.
 

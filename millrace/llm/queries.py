@@ -7,18 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from millrace.llm import flatgraph, lines, mixing, neighbours, packing, quality, secrets, sharding, simhash, warc
 from millrace.llm.common import table
 
-TOKENIZER = "byte_bpe_50k.json"
-
-
-def tokenizer_path(name: str = TOKENIZER) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     found = neighbours.nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0), 20)
@@ -26,7 +18,7 @@ def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), keep_ids=False)
+    pieces = packing.pack(table(spark, sf_dir, "documents"), packing.tokenizer_path(), keep_ids=False)
     return pieces.select(
         "doc_id", "start", "length", F.col("checksum").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
@@ -113,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_flatgraph": op9_flatgraph,
     "op10_sharding": op10_sharding,
+    "pipeline": corpus_pipeline.run,
 }
 # The 32 letters of a base-32 digest, five hexadecimal digits (four letters) at a time.
 _BASE32 = " || ".join(
@@ -131,3 +124,5 @@ SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
 FROM f
 """
 ORACLE_SQL: dict[str, str] = {"op5_warc": OP5_SQL}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
