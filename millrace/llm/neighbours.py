@@ -140,7 +140,8 @@ def search_block(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(query number, row number, score)`` of each query's k best rows of a block, or fewer.
 
-    ``known`` is a lower bound of each query's k-th score from other blocks.
+    ``known`` is a lower bound of each query's k-th score from other blocks: rows below it, which
+    cannot be among the k best, are not returned.
     """
     leaves = kd_leaves(points, LEAF_ROWS)
     low = np.array([points[leaf].min(axis=0) for leaf in leaves])
@@ -171,7 +172,7 @@ def search_block(
             top = np.lexsort((names, -scores), axis=1)[:, :k]
             best[who] = np.take_along_axis(scores, top, axis=1)
             rows[who] = np.take_along_axis(numbers, top, axis=1)
-    found, place = np.nonzero(np.isfinite(best))
+    found, place = np.nonzero(np.isfinite(best) & (best >= known[:, None] - 1e-9))
     row = rows[found, place]
     return found, row, np.einsum("ij,ij->i", queries[found], vectors[row])
 
