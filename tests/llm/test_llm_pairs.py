@@ -324,3 +324,12 @@ def test_near_vector_query_covers_all_rows(spark):
     want = slow_near([r["vec_id"] for r in rows], np.array([r["embedding"] for r in rows], dtype=np.float64))
     got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in op9_flatgraph(spark, SF).collect()}
     assert got == want
+
+
+def test_similar_agrees_with_the_distance():
+    rng = random.Random(6)
+    for _ in range(1500):
+        a = " ".join("".join(rng.choices("ab", k=rng.randrange(1, 5))) for _ in range(rng.randrange(1, 7)))
+        b = "".join(c if rng.random() < 0.85 else rng.choice("ab ") for c in a)
+        want = slow_distance(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9
+        assert lines.similar(a, b, 0.8) == want, (a, b)
