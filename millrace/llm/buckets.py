@@ -8,42 +8,70 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import Scratch
-from millrace.llm.components import components
+
+
+Near = Callable[[Column, Column], Column]
+
+
+def firsts(keyed: DataFrame, near: Near) -> DataFrame:
+    """``(key, item, first, n)``: rows of buckets with the smallest of their items and the count.
+
+    Of a bucket of two, most of which meet by chance, there is one row if they are near; of a larger
+    one there are all. Buckets are counted before the shuffle and meet their items by a join, which
+    Spark splits where a bucket is hot.
+    """
+    least = keyed.groupBy("key").agg(F.min("item").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    least = least.withColumnRenamed("key", "bucket")
+    pair = (F.col("item") != F.col("first")) & near(F.col("first"), F.col("item"))
+    met = keyed.join(least, (F.col("key") == F.col("bucket")) & ((F.col("n") > 2) | pair))
+    return met.select("key", "item", "first", "n")
+
+
+def labels(star: DataFrame) -> DataFrame:
+    """``(item, label)`` from links ``(a, b)``, a < b: a smaller item two links away, or one.
+
+    Items of one label are connected, which is all a label says.
+    """
+    one = star.groupBy(F.col("b").alias("item")).agg(F.min("a").alias("near"))
+    two = one.join(one.toDF("middle", "far"), F.col("near") == F.col("middle"), "left")
+    return two.select("item", F.coalesce("far", "near").alias("label"))
 
 
 def bucket_links(
     keyed: DataFrame,
-    near: Callable[[Column, Column], Column],
+    near: Near,
     verify: Callable[[DataFrame], DataFrame] = lambda pairs: pairs,
 ) -> DataFrame:
     """``(a, b)``, a < b: verified links whose connected components are those of all verified pairs.
 
     ``keyed`` is ``(key, item)``; two items may be linked if they share a key, are ``near`` and pass
     ``verify`` (a frame of pairs to the frame of those that hold). In each bucket the items near its
-    smallest one are hung on that. Only where a bucket then still has items of different components
-    are its pairs across components looked at, so a bucket of copies costs a link per member while
-    no two components that some pair joins stay apart. Bucket sizes are counted before the shuffle
-    and buckets meet their items by joins, which Spark splits where a bucket is hot.
+    smallest one are hung on that. Then only pairs are looked at of which one was not hung there and
+    whose labels differ, so a bucket of copies costs a link per member, while no two items that some
+    pair joins stay apart.
     """
     scratch = Scratch(keyed.sparkSession, "buckets")
-    firsts = keyed.groupBy("key").agg(F.min("item").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    rows = scratch.keep(keyed.join(firsts, "key").select("key", "item", "first", "n"))
+    rows = scratch.keep(firsts(keyed, near))
     hung = rows.filter((F.col("item") != F.col("first")) & near(F.col("first"), F.col("item")))
     tried = scratch.keep(hung.select(F.col("first").alias("a"), F.col("item").alias("b")).distinct())
     star = scratch.keep(verify(tried).select("a", "b"))
-    labels = components(star, "a", "b")
-    larger = rows.filter("n > 2")  # a pair's only link has been tried
-    labelled = larger.join(labels, F.col("item") == F.col("node"), "left").select(
-        "key", "item", F.coalesce("component", "item").alias("label")
+    # A bucket of two has been tried.
+    open_rows = rows.filter("n > 2").join(labels(star), "item", "left")
+    held = star.select(F.col("a").alias("first"), F.col("b").alias("item"), F.lit(True).alias("hung"))
+    open_rows = open_rows.join(held, ["first", "item"], "left").select(
+        "key",
+        "item",
+        F.coalesce("label", "item").alias("label"),
+        F.coalesce("hung", F.col("item") == F.col("first")).alias("hung"),
     )
-    split = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    split = split.filter("low < high").select("key")
-    apart = scratch.keep(labelled.join(split, "key"))
-    left, right = apart.toDF("key", "x", "x_label"), apart.toDF("key", "y", "y_label")
-    across = left.join(
-        right,
-        (left["key"] == right["key"]) & (F.col("x_label") < F.col("y_label")) & near(F.col("x"), F.col("y")),
+    open_rows = scratch.keep(open_rows)
+    left, right = open_rows.toDF("key", "x", "x_label", "x_hung"), open_rows.toDF("key", "y", "y_label", "y_hung")
+    apart = (
+        (left["key"] == right["key"])
+        & (F.col("x_label") < F.col("y_label"))
+        & ~(F.col("x_hung") & F.col("y_hung"))
+        & near(F.col("x"), F.col("y"))
     )
-    across = across.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    across = left.join(right, apart).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     rest = verify(across.join(tried, ["a", "b"], "left_anti")).select("a", "b")
     return star.union(scratch.keep(rest))

@@ -18,10 +18,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Scratch, small_batches
+from millrace.llm.buckets import firsts, labels
+from millrace.llm.common import Scratch, free_name, small_batches
 from millrace.llm.components import components
 
 MAX_BITS = 4
@@ -98,11 +99,14 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int) -> Dat
 
 
 def golay_keys(prints: DataFrame) -> DataFrame:
-    """``(key, fp)``: the keys of each fingerprint, at most 36 per pair of segments."""
+    """``(key, item, label, lead)``: the keys of each ``(fp, label)``, at most 36 per pair of segments.
+
+    ``lead`` tells whether the key is the first of the left (1) and of the right segment (2).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 2048):
-            fp = batch.column("fp").to_numpy()
+            fp, label = batch.column("fp").to_numpy(), batch.column("label").to_numpy()
             bits = fp.view(np.uint64)
             parts = [
                 segment_keys(((bits >> np.uint64(s)) & np.uint64((1 << n) - 1)).astype(np.int64), n)
@@ -110,41 +114,64 @@ def golay_keys(prints: DataFrame) -> DataFrame:
             ]
             for which, (left, right) in enumerate(combinations(range(3), 2)):
                 rows, i = np.nonzero(parts[left][1])
-                left_keys = parts[left][0][rows, i]
-                mask = parts[right][1][rows]
-                at, j = np.nonzero(mask)
-                key = (which << 24) | (left_keys[at] << 12) | parts[right][0][rows[at], j]
-                yield pa.record_batch([pa.array(key.astype(np.int32)), pa.array(fp[rows[at]])], names=["key", "fp"])
+                at, j = np.nonzero(parts[right][1][rows])
+                row, i = rows[at], i[at]
+                key = (which << 24) | (parts[left][0][row, i] << 12) | parts[right][0][row, j]
+                lead = (i == 0) + 2 * (j == 0)
+                arrays = [pa.array(key.astype(np.int32)), pa.array(fp[row]), pa.array(label[row]), pa.array(lead.astype(np.int8))]
+                yield pa.record_batch(arrays, names=["key", "item", "label", "lead"])
 
-    return prints.select("fp").mapInArrow(run, "key int, fp long")
+    return prints.select("fp", "label").mapInArrow(run, "key int, item long, label long, lead byte")
 
 
-def _segment_bits(a: str, b: str, segment: int):
+def _segment(item: Column, segment: int) -> Column:
     shift, bits = SEGMENTS[segment]
-    part = F.shiftrightunsigned(F.col(a).bitwiseXOR(F.col(b)), shift).bitwiseAND(F.lit((1 << bits) - 1))
-    return F.bit_count(part)
+    return F.shiftrightunsigned(item, shift).bitwiseAND(F.lit((1 << bits) - 1))
+
+
+def _equal_segments(prints: DataFrame) -> DataFrame:
+    """``(key, item)``: a key for each two segments of a fingerprint."""
+    keys = [
+        F.xxhash64(F.lit(which), _segment(F.col("fp"), i), _segment(F.col("fp"), j))
+        for which, (i, j) in enumerate(combinations(range(3), 2))
+    ]
+    return prints.select(F.explode(F.array(*keys)).alias("key"), F.col("fp").alias("item"))
+
 
+def close_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """``(a, b)``: links at ``max_bits`` or fewer bits that connect whatever such links connect.
 
-def close_pairs(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """``(a, b)`` with a < b: all pairs of different fingerprints at ``max_bits`` or fewer bits."""
+    Fingerprints with two equal segments come first: each is hung on the smallest of its buckets, if
+    that is near, which joins most of a large group of near copies at one link each. The Golay keys
+    then find every near pair with different labels. A pair that shares several keys is made by one
+    of them: the first pair of segments that fits and, of a segment that is equal, the first key.
+    """
     if not 0 <= max_bits <= MAX_BITS:
         raise ValueError(f"the keys hold for 0 to {MAX_BITS} bits")
-    keys = golay_keys(prints)
-    a, b = keys.toDF("key", "a"), keys.toDF("key", "b")
-    # A pair may meet under several pairs of segments: it counts under the first that fits.
-    fits = [
-        (_segment_bits("a", "b", i) <= 2) & (_segment_bits("a", "b", j) <= 2)
+
+    def near(a: Column, b: Column) -> Column:
+        return F.bit_count(a.bitwiseXOR(b)) <= max_bits
+
+    scratch = Scratch(prints.sparkSession, "links")
+    same = firsts(_equal_segments(prints), near).filter((F.col("item") != F.col("first")) & near(F.col("first"), F.col("item")))
+    hung = labels(same.select(F.col("first").alias("a"), F.col("item").alias("b")))
+    labelled = prints.join(hung, F.col("fp") == F.col("item"), "left")
+    labelled = scratch.keep(labelled.select("fp", F.coalesce("label", "fp").alias("label")))
+    keys = golay_keys(labelled)
+    left, right = keys.toDF("key", "a", "a_label", "lead"), keys.select("key", "item", "label").toDF("key", "b", "b_label")
+    differ = F.col("a").bitwiseXOR(F.col("b"))
+    bits = [F.bit_count(_segment(differ, s)) for s in range(3)]
+    fits = [(bits[i] <= 2) & (bits[j] <= 2) for i, j in combinations(range(3), 2)]
+    leads = [
+        ((bits[i] > 0) | (F.col("lead").bitwiseAND(F.lit(1).cast("byte")) > 0))
+        & ((bits[j] > 0) | (F.col("lead").bitwiseAND(F.lit(2).cast("byte")) > 0))
         for i, j in combinations(range(3), 2)
     ]
-    first = F.when(fits[0], 0).when(fits[1], 1).otherwise(2)
-    near = a.join(
-        b,
-        (a["key"] == b["key"])
-        & (F.col("a") < F.col("b"))
-        & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
-        & (F.shiftright(a["key"], 24) == first),
-    )
-    return near.select("a", "b").distinct()
+    which = F.shiftright(left["key"], 24)
+    first = F.when(fits[0], (which == 0) & leads[0]).when(fits[1], (which == 1) & leads[1]).otherwise((which == 2) & leads[2])
+    apart = (left["key"] == right["key"]) & (F.col("a") < F.col("b")) & (F.col("a_label") != F.col("b_label"))
+    across = left.join(right, apart & near(F.col("a"), F.col("b")) & first).select("a", "b").distinct()
+    return labelled.filter("label < fp").select(F.col("label").alias("a"), F.col("fp").alias("b")).union(across)
 
 
 def simhash_groups(
@@ -154,6 +181,7 @@ def simhash_groups(
 
     Rows of one fingerprint are one vertex, so copies are never paired; links run between
     fingerprints at ``max_bits`` or fewer differing bits, and groups are their connected components.
+    Links that would only repeat a connection are not made.
     Texts are read whole and once. Null and empty texts have fingerprint zero and are linked like any
     other. Repeated rows and ids come back as often as they came in. A null id is kept and is never
     a component's name, unless the whole group has null ids (then the component is null). An empty
@@ -162,7 +190,7 @@ def simhash_groups(
     scratch = Scratch(docs.sparkSession, "simhash")
     marked = scratch.keep(fingerprints(docs, id_col, text_col, words))
     prints = scratch.keep(marked.groupBy("fp").agg(F.min("id").alias("least")))
-    links = components(close_pairs(prints, max_bits), "a", "b")
+    links = components(close_links(prints, max_bits), "a", "b")
     rooted = prints.join(links, prints["fp"] == links["node"], "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("root")
     )
@@ -172,14 +200,24 @@ def simhash_groups(
     return marked.join(classes, "fp").select("id", "fp", "component")
 
 
-def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 4, max_bits: int = MAX_BITS) -> DataFrame:
+def keep_one(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 4, max_bits: int = MAX_BITS
+) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: the one whose id names the group.
 
-    Rows with a null id are kept, since nothing tells them apart. Of rows that repeat the kept id
-    one stays. The columns are those of ``docs``.
+    An id is one document: of rows that repeat the kept id one stays, any of them. Rows with a null
+    id are kept, since nothing names them. The columns are those of ``docs``.
     """
     groups = simhash_groups(docs, id_col=id_col, text_col=text_col, words=words, max_bits=max_bits)
-    kept = groups.filter("id = component").select(F.col("id").alias("_kept")).distinct()
-    named = docs.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col])
-    named = named.join(kept, F.col(id_col).cast("long") == F.col("_kept"), "left_semi")
-    return named.unionByName(docs.filter(F.col(id_col).isNull()))
+    kept = groups.filter("id = component").groupBy("id").agg(F.count("*").alias("n"))
+    kept = Scratch(docs.sparkSession, "kept").keep(kept)
+    own = F.col(f"`{id_col}`")
+
+    def named(ids: DataFrame) -> DataFrame:
+        key = ids.select(F.col("id").alias(free_name(docs, "kept_id")))
+        return docs.join(key, own.cast("long") == F.col(key.columns[0]), "left_semi")
+
+    out = named(kept)
+    if not kept.filter("n > 1").isEmpty():
+        out = named(kept.filter("n = 1")).unionByName(named(kept.filter("n > 1")).dropDuplicates([id_col]))
+    return out.unionByName(docs.filter(own.isNull()))
