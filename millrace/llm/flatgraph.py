@@ -26,14 +26,14 @@ THRESHOLD = 0.95
 DEGREE = 24
 BEAM = 24
 ALPHA = 1.2
-OVERLAP = 2
+OVERLAP = 3
 # Rows the cluster centres are fitted on; every row is then assigned.
 SAMPLE_ROWS = 8192
 CLUSTER_ROWS = 1024
 PART_ROWS = 2048
-NEAREST, RANDOM = 48, 24
+NEAREST, RANDOM, REACHED = 48, 24, 6
 AUDIT_ROWS = 256
-TARGET_RECALL = 0.98
+TARGET_RECALL = 0.99
 ATTEMPTS = 3
 SEED = 20240502
 
@@ -83,11 +83,12 @@ def build(vectors: np.ndarray, ids: np.ndarray, degree: int = DEGREE) -> list[np
         alive[rows, pick] = False
     source, slot = np.nonzero(kept >= 0)
     target = kept[source, slot]
-    # Edges back, the nearest ``degree`` of each vertex.
+    # Edges back: the nearest ``degree`` of each vertex, and every vertex's own nearest few, so that
+    # each can be reached from those nearest to it however crowded they are.
     order = np.lexsort((-cosines[source, target], target))
-    source, target = source[order], target[order]
+    source, target, slot = source[order], target[order], slot[order]
     place = np.arange(len(target)) - np.searchsorted(target, target)
-    back = place < degree
+    back = (place < degree) | (slot < REACHED)
     lists = [kept[v][kept[v] >= 0] for v in range(n)]
     starts = np.searchsorted(target[back], np.arange(n + 1))
     incoming = source[back]
