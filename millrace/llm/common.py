@@ -3,19 +3,36 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.session import scratch_path
+from millrace.session import remove_path, scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Rows that go to a Python worker at once: whole texts can be long.
+BATCH_ROWS = 1000
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs run inside send at most so many rows at once to Python; the session's setting returns."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, min(rows, int(before)) if int(before) > 0 else rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class Scratch:
     """Tables written to the shared folder, so that lost executors cost no recomputation.
 
@@ -27,16 +44,15 @@ class Scratch:
 
     def keep(self, df: DataFrame) -> DataFrame:
         path = scratch_path(self.spark, self.label)
-        df.write.parquet(path)
+        with batches_of(self.spark, BATCH_ROWS):
+            df.write.option("compression", "zstd").parquet(path)
         kept = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(kept)] = (path, kept)
         return kept
 
     def drop(self, kept: DataFrame) -> None:
         path, _ = self.paths.pop(id(kept))
-        jvm = self.spark._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+        remove_path(self.spark, path)
 
 
 def free_name(df: DataFrame, base: str) -> str:
@@ -54,10 +70,6 @@ def arrays(column: pa.ChunkedArray | pa.Array, width: int | None = None) -> np.n
     return values.reshape(len(flat), width if width is not None else -1)
 
 
-def texts(batch: pa.RecordBatch, name: str) -> list[str | None]:
-    return batch.column(name).to_pylist()
-
-
 def small_batches(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``rows``, so working memory does not follow batch size."""
     for batch in batches:

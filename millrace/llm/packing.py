@@ -12,9 +12,13 @@ over its capacity the number of windows rises by one and the group is done again
 from __future__ import annotations
 
 import heapq
+import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -28,10 +32,14 @@ TOKENIZER = "byte_bpe_50k.json"
 WINDOW = 1024
 # Pieces in a group: bounds a task's work and keeps the one open window of a group small beside it.
 GROUP_PIECES = 512
-CACHE_WORDS = 400_000
+# A word takes about 200 bytes: the memory of a Python worker is bounded by this.
+CACHE_WORDS = 800_000
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, checksum long, part int, row long"
-_SINGLE_SPACE = re.compile(r"(?<! ) (?! )")
+# Punctuation that no rule of byte-level tokenizers joins with letters.
+PUNCTUATION = ".,;:!?*#$%&|()"
+_CUT = re.compile(r" (?=\S)")
+_SPACE_RUN = re.compile(r" (?:\s|$)")
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -41,11 +49,20 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def _byte_letters() -> list[str]:
+    """The letter that byte-level tokenizers write for each byte: itself where it is printable."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = iter(range(256, 512))
+    return [chr(b if b in plain else next(others)) for b in range(256)]
+
+
 class WordIds(dict):
-    """Ids of words as little-endian 32-bit bytes, remembered for the commonest words.
+    """Ids of words after a space, as little-endian 32-bit bytes, remembered for the commonest words.
 
-    The tokenizer's own pattern always cuts before a single space, and after a word of letters that
-    punctuation follows, so the ids of the parts joined are the ids of the whole text.
+    A byte-level tokenizer cuts before a space that a word follows, around a line break between two
+    words, and between a word of letters and punctuation after it, so the ids of the parts joined
+    are the ids of the whole text. Other tokenizers, and texts that hold one of its special tokens,
+    are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -53,14 +70,51 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            rules = json.load(file)
+        split = rules["pre_tokenizer"] or {}
+        self.byte_level = (
+            not rules["normalizer"] and split.get("type") == "ByteLevel"
+            and split.get("use_regex", True) and not split.get("add_prefix_space")
+        )
+        self.special = [t["content"] for t in rules["added_tokens"]]
+        self.letters = dict(enumerate(_byte_letters()))
+        self.space = self.letters[32]
+        self.tokenize = self.tokenizer.model.tokenize
+        self.tail = lru_cache(4096)(self.one)
+        self.first = lru_cache(100_000)(self.bare)
+        self.line_break = self.whole("\n")
+
+    def whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def one(self, word: str) -> bytes:
+        """Ids of what the tokenizer never cuts: a word of letters or a run of punctuation."""
+        if word.isascii():
+            letters = self.space + word[1:] if word[0] == " " else word
+        else:
+            letters = word.encode("utf-8").decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.tokenize(letters)]).tobytes()
+
+    def bare(self, word: str) -> bytes:
+        """Ids of a word that no space precedes."""
+        stem = word.rstrip(PUNCTUATION)
+        if not stem.isalpha():
+            return self.whole(word)
+        tail = word[len(stem) :]
+        return self.one(stem) + (self.tail(tail) if tail else b"")
 
     def __missing__(self, word: str) -> bytes:
-        bare = word[1:-1]
-        if word[-1:] in (".", ",") and word[0] == " " and bare.isalpha():
-            ids = self[word[:-1]] + self[word[-1]]
+        if "\n" in word:
+            first, *rest = parts = word.split("\n")
+            if all(p and not p[0].isspace() and not p[-1].isspace() for p in parts):
+                return b"".join([self[first], *(self.line_break + self.first(p) for p in rest)])
+        stem = word.rstrip(PUNCTUATION)
+        if stem.isalpha():
+            tail = word[len(stem) :]
+            ids = self[stem] + self.tail(tail) if tail else self.one(f" {stem}")
         else:
-            found = self.tokenizer.encode(word, add_special_tokens=False).ids
-            ids = np.array(found, dtype="<u4").tobytes()
+            ids = self.whole(f" {word}")
         if len(self) < CACHE_WORDS and len(word) < 64:
             self[word] = ids
         return ids
@@ -68,9 +122,16 @@ class WordIds(dict):
     def of(self, text: str) -> bytes:
         if not text:
             return b""
-        parts = _SINGLE_SPACE.split(text) if "  " in text else text.split(" ")
-        rest = [self[f" {p}"] for p in parts[1:]]
-        return b"".join([self[parts[0]] if parts[0] else b"", *rest])
+        if not self.byte_level or any(s in text for s in self.special):
+            return self.whole(text)
+        first, *rest = _CUT.split(text) if _SPACE_RUN.search(text) else text.split(" ")
+        return b"".join([self.whole(first) if first else b"", *map(self.__getitem__, rest)])
+
+
+@lru_cache(2)
+def word_ids(path: str) -> WordIds:
+    """One memory per Python worker, whatever the number of tasks it runs."""
+    return WordIds(path)
 
 
 def piece_lengths(total: int, window: int) -> list[int]:
@@ -88,7 +149,7 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, window: int, end_id: int, k
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        ids = WordIds(tokenizer_path)
+        ids = word_ids(tokenizer_path)
         end = np.array([end_id], dtype="<u4").tobytes()
         part, row = TaskContext.get().partitionId(), 0
         for batch in small_batches(batches, 256):
@@ -128,7 +189,7 @@ def differencing(sizes: list[int], bins: int) -> list[list[int]]:
             whole_b, pair_b = b[: len(b) - over], b[len(b) - over :]
             joined = [(x[0] + y[0], x[1] + y[1]) for x, y in zip(pair_a, reversed(pair_b))]
             merged = whole_a + whole_b + joined
-        merged.sort(key=lambda x: -x[0])
+        merged.sort(key=itemgetter(0), reverse=True)
         low = merged[-1][0] if len(merged) == bins else 0
         heapq.heappush(heap, (low - merged[0][0], tie, merged))
         tie += 1
