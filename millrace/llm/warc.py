@@ -1,7 +1,7 @@
 """WARC archives as a Spark data source, and an archive of pages with repeated payloads as revisits.
 
 Reading: files are planned into partitions by size. A record's header is parsed first and tested
-against the predicates Spark pushes down (record type and other header columns); the block of a
+against predicates on the record type and other header columns that are pushed down; the block of a
 record that fails, or whose payload is not asked for, is stepped over without being decoded.
 Writing: each task writes files of bounded size under names of its own, and only the files of
 successful attempts are named in the manifest that the commit writes, so a task that runs twice or
@@ -97,8 +97,9 @@ class Written(WriterCommitMessage):
 
 
 class WarcSource(DataSource):
-    """``format("warc")``. Options: ``path``; ``payload`` (``false``: headers only); ``verify``
-    (``true``: a payload that misses its digest is an error); ``splitBytes``; ``fileBytes``."""
+    """``format("warc")``. Options: ``path``; ``where`` (header predicates as JSON, see
+    ``read_warc``); ``payload`` (``false``: headers only); ``verify`` (``true``: a payload that misses
+    its digest is an error); ``splitBytes``; ``fileBytes``; ``pushdown``."""
 
     @classmethod
     def name(cls) -> str:
@@ -108,7 +109,8 @@ class WarcSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> WarcReader:
-        return WarcReader(self.options)
+        pushing = self.options.get("pushdown", "false").lower() == "true"
+        return PushingReader(self.options) if pushing else WarcReader(self.options)
 
     def writer(self, schema, overwrite: bool) -> WarcWriter:
         if overwrite:
@@ -123,22 +125,13 @@ class WarcReader(DataSourceReader):
         self.verify = options.get("verify", "true").lower() == "true"
         self.split_bytes = int(options.get("splitBytes", SPLIT_BYTES))
         self.tests: list[tuple[str, str, object]] = []
-
-    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        for one in filters:
-            column = one.attribute[0] if len(one.attribute) == 1 else None
+        for column, wanted in json.loads(options.get("where", "{}")).items():
             if column not in HEADER_OF:
-                yield one
-            elif isinstance(one, EqualTo):
-                self.tests.append((column, "in", (one.value,)))
-            elif isinstance(one, In):
-                self.tests.append((column, "in", tuple(one.value)))
-            elif isinstance(one, StringStartsWith):
-                self.tests.append((column, "prefix", one.value))
-            elif isinstance(one, IsNotNull | IsNull):
-                self.tests.append((column, "null", isinstance(one, IsNull)))
+                raise ValueError(f"{column} is not a header column: {sorted(HEADER_OF)}")
+            if isinstance(wanted, str):
+                self.tests.append((column, "prefix", wanted.removesuffix("%")))
             else:
-                yield one
+                self.tests.append((column, "in", tuple(wanted)))
 
     def partitions(self) -> list[InputPartition]:
         """Files in order of name, the small ones together up to ``splitBytes``."""
@@ -207,6 +200,26 @@ class WarcReader(DataSourceReader):
         return body, len(body)
 
 
+class PushingReader(WarcReader):
+    """The reader that also takes the filters Spark pushes down."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        for one in filters:
+            column = one.attribute[0] if len(one.attribute) == 1 else None
+            if column not in HEADER_OF:
+                yield one
+            elif isinstance(one, EqualTo):
+                self.tests.append((column, "in", (one.value,)))
+            elif isinstance(one, In):
+                self.tests.append((column, "in", tuple(one.value)))
+            elif isinstance(one, StringStartsWith):
+                self.tests.append((column, "prefix", one.value))
+            elif isinstance(one, IsNotNull | IsNull):
+                self.tests.append((column, "null", isinstance(one, IsNull)))
+            else:
+                yield one
+
+
 class _Lines:
     """A file read through one buffer; what is skipped beyond the buffer is sought over."""
 
@@ -326,10 +339,19 @@ class WarcWriter(DataSourceArrowWriter):
             fs.delete_file(f"{root}/{name}")
 
 
-def read_warc(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """Records of the archives in a folder (``SCHEMA``); filters on header columns are pushed down."""
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+def read_warc(spark: SparkSession, path: str, where: dict[str, str | list[str]] | None = None, **options: str) -> DataFrame:
+    """Records of the archives in a folder (``SCHEMA``) that pass ``where``.
+
+    ``where`` maps header columns (the keys of ``HEADER_OF``) to the values allowed, or to one prefix
+    written as ``prefix%``; it reaches the reader, which steps over the blocks of other records.
+
+    With the option ``pushdown="true"``, and ``spark.sql.python.filterPushdown.enabled`` set, Spark
+    also pushes down ``filter`` on those columns. Spark 4.1 then keeps the filter with the DataFrame
+    it was first used on, so read the archives anew for each filter, as ``where`` does.
+    """
     spark.dataSource.register(WarcSource)
+    if where:
+        options["where"] = json.dumps(where)
     return spark.read.format("warc").options(**options).load(path)
 
 
