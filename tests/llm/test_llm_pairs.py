@@ -215,6 +215,41 @@ def test_lines_lose_exact_and_near_repeats(spark):
     assert lines.drop_repeated_lines(docs.filter("false"))[0].count() == 0
 
 
+def whole_print(words: list[str]) -> int:
+    """Fingerprint of all words, short ones too."""
+    hashes = np.array([print_of(w) for w in words], dtype=np.uint64)
+    return int(lines.simhashes(hashes, np.array([len(words)]))[0])
+
+
+def with_one_word_changed(words: list[str], place: int) -> list[str]:
+    """The words with one replaced, so that the fingerprint changes by three bits at most."""
+    size = len(words[place])
+    others = ("".join(random.Random(i).choices("abcdefgh", k=size)) for i in range(5000))
+    changed = ([*words[:place], w, *words[place + 1 :]] for w in others)
+    return next(c for c in changed if 0 < (whole_print(words) ^ whole_print(c)).bit_count() <= 3)
+
+
+def dropped_of(spark, texts: list[str]) -> list:
+    docs = spark.createDataFrame([(i, t, 1, "x") for i, t in enumerate(texts)], DOCS)
+    out, dropped = lines.drop_repeated_lines(docs)
+    return [r[dropped] for r in out.orderBy("doc_id").collect()]
+
+
+def test_short_words_count_in_fingerprints(spark):
+    short = [f"{a}{b}" for a in "klmnopq" for b in "aeiou"]
+    words = [*short, "houses", "gardens", "rivers"]
+    changed = with_one_word_changed(words, len(words) - 1)
+    assert dropped_of(spark, [" ".join(words), " ".join(changed)]) == [None, [0]]
+
+
+def test_lines_of_one_fingerprint_are_compared_each(spark):
+    words = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)]
+    turned = words[::-1]
+    assert whole_print(words) == whole_print(turned)
+    texts = [words, turned, with_one_word_changed(words, 20), with_one_word_changed(turned, 20)]
+    assert dropped_of(spark, [" ".join(t) for t in texts]) == [None, None, [0], [0]]
+
+
 def test_lines_all_exact_repeats_go_and_nothing_unlike(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     before = {r["doc_id"]: r["text"] for r in docs.collect()}
