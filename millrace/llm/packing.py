@@ -23,7 +23,8 @@ from operator import itemgetter
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import Scratch, small_batches
@@ -35,7 +36,7 @@ GROUP_PIECES = 512
 # A word takes about 200 bytes: the memory of a Python worker is bounded by this.
 CACHE_WORDS = 800_000
 
-PIECES = "doc_id long, start long, length long, doc_tokens long, checksum long, part int, row long"
+PIECES = "doc_id long, start long, length long, doc_tokens long, checksum long, part int, run int, row long, rest_row long, file string, block long"
 # Punctuation that no rule of byte-level tokenizers joins with letters.
 PUNCTUATION = ".,;:!?*#$%&|()"
 _CUT = re.compile(r" (?=\S)")
@@ -140,10 +141,26 @@ def piece_lengths(total: int, window: int) -> list[int]:
     return [window] * (total // window) + [half] * (rest > half) + [rest - half * (rest > half)] * (rest > 0)
 
 
+def _with_place(picked: DataFrame) -> DataFrame:
+    """Adds ``file`` and ``block``: the file a row was read from, so that names sort like parts, and its split.
+
+    Rows that come from no file, or from several joined, have an empty name.
+    """
+    try:
+        named = picked.select("*", F.input_file_name().alias("file"), F.input_file_block_start().alias("block"))
+    except AnalysisException:
+        return picked.select("*", F.lit("").alias("file"), F.lit(-1).cast("long").alias("block"))
+    folder = F.regexp_replace("file", "[^/]*$", "")
+    number = F.lpad(F.regexp_extract("file", "part-([0-9]+)[^/]*$", 1), 12, "0")
+    return named.withColumn("file", F.when(F.col("file") == "", "").otherwise(F.concat(folder, number, F.lit(" "), "file")))
+
+
 def cut_pieces(docs: DataFrame, tokenizer_path: str, window: int, end_id: int, keep_ids: bool) -> DataFrame:
     """One row per piece: its span, its ids' checksum and, if asked for, the ids.
 
-    ``part`` and ``row`` number the pieces by task and order within it.
+    ``part`` is the task and ``run`` numbers the file splits it read; ``row`` numbers the pieces of a
+    run, and ``rest_row`` those before it that fill no window. A run's first piece has its file and
+    the split's start there.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,24 +168,27 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, window: int, end_id: int, k
 
         ids = word_ids(tokenizer_path)
         end = np.array([end_id], dtype="<u4").tobytes()
-        part, row = TaskContext.get().partitionId(), 0
+        part, own, place, row, rest_row = TaskContext.get().partitionId(), -1, None, 0, 0
         for batch in small_batches(batches, 256):
             out = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            for doc_id, text, *at in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "file", "block"))):
+                if at != place:
+                    own, place, row, rest_row = own + 1, at, 0, 0
                 all_ids = ids.of(text or "") + end
                 total, start = len(all_ids) // 4, 0
                 for length in piece_lengths(total, window):
                     piece = all_ids[4 * start : 4 * (start + length)]
-                    fields = (doc_id, start, length, total, zlib.crc32(piece), part, row)
+                    named = (None, None) if row else place
+                    fields = (doc_id, start, length, total, zlib.crc32(piece), part, own, row, rest_row, *named)
                     out.append((*fields, piece) if keep_ids else fields)
-                    start, row = start + length, row + 1
-            columns = list(zip(*out)) if out else [[]] * (8 if keep_ids else 7)
-            types = [pa.int64()] * 5 + [pa.int32(), pa.int64()] + [pa.binary()] * keep_ids
-            names = ["doc_id", "start", "length", "doc_tokens", "checksum", "part", "row", "ids"][: len(types)]
+                    start, row, rest_row = start + length, row + 1, rest_row + (length < window)
+            columns = list(zip(*out)) if out else [[]] * (12 if keep_ids else 11)
+            types = [pa.int64()] * 5 + [pa.int32()] * 2 + [pa.int64()] * 2 + [pa.string(), pa.int64()] + [pa.binary()] * keep_ids
+            names = [c.split()[0] for c in PIECES.split(", ")] + ["ids"] * keep_ids
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return picked.mapInArrow(run, PIECES + (", ids binary" if keep_ids else ""))
+    return _with_place(picked).mapInArrow(run, PIECES + (", ids binary" if keep_ids else ""))
 
 
 def differencing(sizes: list[int], bins: int) -> list[list[int]]:
@@ -221,11 +241,13 @@ def pack(
 
     Columns: ``doc_id``, ``start`` and ``length`` (the piece's span among the document's ids),
     ``doc_tokens`` (with the closing ``end_id``), ``checksum`` (CRC-32 of the piece's ids as
-    little-endian 32-bit numbers), ``sequence_id`` (a long, the same for pieces of one window),
+    little-endian 32-bit numbers), ``sequence_id`` (a long, the same for pieces of one window: the
+    place of the window's first piece among all pieces in input order),
     ``offset`` (the piece's place there, gapless from 0) and, with ``keep_ids``, ``ids`` (those bytes).
 
     Texts are tokenized whole and once, then written to the shared folder; only spans move
-    afterwards. Groups are runs of ``group_pieces`` neighbouring rest pieces in input order, so any
+    afterwards. Input order is that of files by name and rows within them, whichever way the reader
+    deals them to tasks; rows that come from no file count in the order of their partitions. Groups are runs of ``group_pieces`` neighbouring rest pieces in input order, so any
     mixture of the input is that of the windows, a group never grows with the data, and neither a
     hot document nor many copies can fill one. Null or empty text: the closing id alone. A null
     ``doc_id`` is kept; repeated rows are packed as often as they occur; other columns are ignored;
@@ -235,37 +257,34 @@ def pack(
     scratch = Scratch(spark, "packing")
     pieces = scratch.keep(cut_pieces(docs, tokenizer_path, window, end_id, keep_ids))
     rest = pieces.filter(F.col("length") < window)
-    # Rows per task (one number per input split) give every rest piece a running number.
-    ranked = _numbered(scratch, rest.select("part", "row", "length"))
-    dealt = ranked.withColumn("unit", F.floor(F.col("number") / group_pieces)).drop("number")
+    starts = F.broadcast(_starts(scratch, pieces, window))
+    placed_at = (F.col("before") + F.col("row")).alias("position")
+    number = F.col("rest_before") + F.col("rest_row")
+    dealt = rest.join(starts, ["part", "run"]).select(placed_at, "length", F.floor(number / group_pieces).alias("unit"))
 
     def assign(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["part", "row"])
-        sizes = group["length"].tolist()
+        group = group.sort_values("position")
+        sizes, positions = group["length"].tolist(), group["position"].to_numpy()
         window_of, offset = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
-        for number, members in enumerate(windows_of(sizes, window)):
+        for members in windows_of(sizes, window):
             at = 0
             for i in sorted(members):
-                window_of[i], offset[i] = number, at
+                window_of[i], offset[i] = positions[min(members)], at
                 at += sizes[i]
-        # Full pieces have even ids, shared windows odd ones.
-        ids = 2 * (group["unit"].to_numpy() * group_pieces + window_of) + 1
-        return pd.DataFrame({"part": group["part"], "row": group["row"], "sequence_id": ids, "offset": offset})
-
-    placed = scratch.keep(dealt.groupBy("unit").applyInPandas(assign, "part int, row long, sequence_id long, offset long"))
-    own = 2 * (F.col("part").cast("long") * F.lit(1 << 38) + F.col("row"))
-    full = pieces.filter(F.col("length") >= window).select("*", own.alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    shared = rest.join(placed, ["part", "row"]).select(full.columns)
-    return full.unionByName(shared).drop("part", "row")
-
-
-def _numbered(scratch: Scratch, rest: DataFrame) -> DataFrame:
-    """Running number over (part, row): a rank within each task's rows plus the rows before them."""
-    from pyspark.sql import Window
-
-    counts = scratch.keep(rest.groupBy("part").agg(F.count("*").alias("n")))
-    before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    starts = counts.select("part", F.coalesce(before, F.lit(0)).alias("before"))  # one row per task
-    rank = F.row_number().over(Window.partitionBy("part").orderBy("row"))
-    ranked = rest.withColumn("rank", rank)
-    return ranked.join(starts, "part").select("part", "row", "length", (F.col("before") + F.col("rank") - 1).alias("number"))
+        return pd.DataFrame({"position": positions, "sequence_id": window_of, "offset": offset})
+
+    placed = scratch.keep(dealt.groupBy("unit").applyInPandas(assign, "position long, sequence_id long, offset long"))
+    own = [f"`{c}`" for c in pieces.columns if c not in ("part", "run", "row", "rest_row", "file", "block")]
+    numbered = pieces.join(starts, ["part", "run"]).select(*own, placed_at)
+    full = numbered.filter(F.col("length") >= window).select(*own, F.col("position").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    shared = numbered.filter(F.col("length") < window).join(placed, "position").select(full.columns)
+    return full.unionByName(shared)
+
+
+def _starts(scratch: Scratch, pieces: DataFrame, window: int) -> DataFrame:
+    """``(part, run, before, rest_before)``: pieces, and pieces that fill no window, before each run; a row per file split."""
+    short = F.count_if(F.col("length") < window).alias("short")
+    runs = scratch.keep(pieces.groupBy("part", "run").agg(F.max("file").alias("file"), F.max("block").alias("block"), F.count("*").alias("n"), short))
+    earlier = Window.orderBy("file", "block", "part", "run").rowsBetween(Window.unboundedPreceding, -1)
+    before = [F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(name) for c, name in (("n", "before"), ("short", "rest_before"))]
+    return scratch.keep(runs.select("part", "run", *before))

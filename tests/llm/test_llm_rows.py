@@ -112,6 +112,32 @@ def test_packing_odd_rows(spark):
     assert packing.pack(docs.filter("doc_id = 1"), path, window=1, keep_ids=False).count() == 1
 
 
+def test_windows_follow_the_order_of_files(spark, tmp_path):
+    # Later files are larger, and readers take the largest file first.
+    texts = [(i, "word " * (1 + i % 7 + i // 100 * 40)) for i in range(800)]
+    docs_of(spark, texts).repartitionByRange(8, "doc_id").sortWithinPartitions("doc_id").write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    rows = packing.pack(docs, packing.tokenizer_path(), window=64, group_pieces=16, keep_ids=False).collect()
+    by_window = defaultdict(list)
+    for row in rows:
+        by_window[row["sequence_id"]].append((row["doc_id"], row["start"], row["length"]))
+    firsts = [min(by_window[i]) for i in sorted(by_window)]
+    assert firsts == sorted(firsts)
+    assert {len(w) > 1 for w in by_window.values()} == {True, False} and any(w[2] == 64 for w in firsts)
+
+
+def test_packed_prefixes_hold_the_shares(spark, tmp_path):
+    docs = docs_of(spark, [(i, "word " * (5 + i % 90)) for i in range(3000)], "a").union(docs_of(spark, [(i, "word " * 50) for i in range(3000, 6000)], "b"))
+    placed, n = mixing.mixed(docs, {"a": 0.75, "b": 0.25}, block_rows=2)
+    kept = placed.repartitionByRange(6, F.sqrt(n["slot"])).sortWithinPartitions(n["slot"], n["in_block"])
+    kept.select(docs.columns).write.parquet(f"{tmp_path}/mixed")
+    rows = packing.pack(spark.read.parquet(f"{tmp_path}/mixed"), packing.tokenizer_path(), window=64, group_pieces=32, keep_ids=False).collect()
+    begun = [r["doc_id"] for r in sorted(rows, key=lambda r: (r["sequence_id"], r["offset"])) if r["start"] == 0]
+    assert len(begun) == 6000
+    for prefix in range(200, 3600, 200):
+        assert abs(sum(i < 3000 for i in begun[:prefix]) - 0.75 * prefix) <= 32
+
+
 # Quality
 
 
