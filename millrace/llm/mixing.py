@@ -3,10 +3,10 @@
 Rows of a source are dealt in blocks, and each slot of the mixture takes one block. The j-th block of
 a source with weight w is released at slot floor(j / w) and due by slot ceil((j + 1) / w); in every
 slot the released block with the earliest deadline is taken. On one processor that schedule meets all
-deadlines, so after any t slots a source has had more than w * t - 1 and less than w * t + 1 blocks.
-Weights are whole quotas of a period, and the schedule repeats every period: one period per phase is
-worked out on the driver, from row counts of at most ``MAX_SOURCES`` sources, and the slot of every
-block follows from its number in its source. When a source runs dry the phase ends, and the next
+deadlines. Slots are dealt a period at a time in whole quotas. What rounding leaves over or short is
+carried into the quotas of the next period, so at each period's end a source is about one block from
+its exact weight at most and inside a period one block further, however long the phase is. The
+driver works out quotas only; executors turn them into slots. When a source runs dry the phase ends, and the next
 phase gives its share to the others in proportion, until every row has its slot.
 """
 
@@ -14,8 +14,11 @@ from __future__ import annotations
 
 import heapq
 from bisect import bisect_left
+from collections.abc import Iterator
+from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame, Window
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import Scratch, free_name
@@ -66,31 +69,65 @@ def schedule(quota: dict[str, int]) -> dict[str, list[int]]:
     return slots
 
 
+def carried(exact: dict[str, Fraction], period: int) -> dict[str, int]:
+    """Slots of a period per source from what each is short of; the quotas make up the period."""
+    out = {s: max(0, int(x // 1)) for s, x in exact.items()}
+    while rest := period - sum(out.values()):
+        step = 1 if rest > 0 else -1
+        usable = [s for s in out if step > 0 or out[s]]
+        for s in sorted(usable, key=lambda s: (step * (out[s] - exact[s]), s))[: abs(rest)]:
+            out[s] += step
+    return out
+
+
+def turns(blocks: dict[str, int], weights: dict[str, float], period: int = PERIOD) -> Iterator[tuple]:
+    """``(start slot, slots used, parts)`` per period; a part is ``(source, first block, quota)``."""
+    left, used = {s: n for s, n in blocks.items() if n}, dict.fromkeys(blocks, 0)
+    start = 0
+    while left:
+        total = sum(Fraction(weights[s]) for s in left)
+        share = {s: Fraction(weights[s]) / total for s in left}
+        short = dict.fromkeys(left, Fraction(0))
+        while all(left.values()):
+            exact = {s: short[s] + share[s] * period for s in left}
+            quota = carried(exact, period)
+            short = {s: exact[s] - quota[s] for s in left}
+            parts, end = [(s, used[s], quota[s]) for s in left if quota[s]], period
+            if any(quota[s] > n for s, n in left.items()):
+                # The phase ends at the first slot that would need a block of a source that has run dry.
+                slots = schedule(quota)
+                end = min(slots[s][n] for s, n in left.items() if quota[s] > n)
+                quota = {s: bisect_left(slots[s], end) for s in left}
+            yield start, end, parts
+            for s in left:
+                used[s] += quota[s]
+                left[s] -= quota[s]
+            start += end
+        left = {s: n for s, n in left.items() if n}
+
+
 def phases(blocks: dict[str, int], weights: dict[str, float], period: int = PERIOD) -> list[tuple]:
     """``(source, first block, end block, start slot, period, slots)``: where a source's blocks go.
 
-    Block b of the source, counted from ``first block``, lies at ``start slot`` plus whole periods
-    plus its entry of ``slots``.
+    Block b of the source, counted from ``first block``, lies at ``start slot`` plus its entry of ``slots``.
     """
-    left, used = {s: n for s, n in blocks.items() if n}, dict.fromkeys(blocks, 0)
-    start, plan = 0, []
-    while left:
-        quota = quotas({s: weights[s] for s in left}, period if len(left) > 1 else 1)
-        slots, length = schedule(quota), sum(quota.values())
-        # The phase ends at the first slot that would need a block of a source that has run dry.
-        end = min(n // quota[s] * length + slots[s][n % quota[s]] for s, n in left.items())
-        for s in list(left):
-            n = end // length * quota[s] + bisect_left(slots[s], end % length)
-            if n:
-                plan.append((s, used[s], used[s] + n, start, length, slots[s]))
-            used[s] += n
-            left[s] -= n
-            if not left[s]:
-                del left[s]
-        start += end
+    plan = []
+    for start, end, parts in turns(blocks, weights, period):
+        slots = schedule({s: q for s, _, q in parts})
+        for s, first, _ in parts:
+            if n := bisect_left(slots[s], end):
+                plan.append((s, first, first + n, start, period, slots[s]))
     return plan
 
 
+def _slots_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for start, end, parts in zip(batch["start"], batch["end"], batch["parts"]):
+            slots = schedule({p["s"]: int(p["quota"]) for p in parts})
+            rows = [(p["s"], p["first"] + k, start + at) for p in parts for k, at in enumerate(slots[p["s"]]) if at < end]
+            yield pd.DataFrame(rows, columns=["p_share", "p_block", "p_slot"])
+
+
 def mixed(
     docs: DataFrame,
     weights: dict[str, float] | None = None,
@@ -141,9 +178,10 @@ def mixed(
         rows["rest"] = rest
     given = temperature_weights(rows, temperature) if weights is None else _given(weights, rows)
     blocks = {s: -(-c // block_rows) for s, c in rows.items()}
-    plan = spark.createDataFrame(
-        phases(blocks, given, period), "p_share string, p_first long, p_end long, p_start long, p_period int, p_slots array<int>"
+    dealt = spark.createDataFrame(
+        list(turns(blocks, given, period)), "start long, end int, parts array<struct<s: string, first: long, quota: int>>"
     )
+    plan = scratch.keep(dealt.mapInPandas(_slots_of, "p_share string, p_block long, p_slot long"))
     keys = [own["mix_share"], own["mix_bucket"]]
     counts = scratch.keep(placed.groupBy(*keys).agg(F.count("*").alias("n")))
     before = F.sum("n").over(Window.partitionBy(keys[0]).orderBy(keys[1]).rowsBetween(Window.unboundedPreceding, -1))
@@ -152,9 +190,8 @@ def mixed(
     ranked = placed.withColumn(own["mix_rank"], rank).join(offsets, keys)
     number = F.col(own["mix_before"]) + F.col(own["mix_rank"]) - 1
     ranked = ranked.withColumn(n["block"], F.floor(number / block_rows)).withColumn(n["in_block"], (number % block_rows).cast("int"))
-    block = F.col(n["block"])
-    at = (F.col(own["mix_share"]) == F.col("p_share")) & (block >= F.col("p_first")) & (block < F.col("p_end"))
-    slotted = ranked.join(F.broadcast(plan), at).withColumn(n["slot"], _slot(block - F.col("p_first")))
+    at = (F.col(own["mix_share"]) == F.col("p_share")) & (F.col(n["block"]) == F.col("p_block"))
+    slotted = ranked.join(plan, at).withColumn(n["slot"], F.col("p_slot"))
     share = F.when(F.col(own["mix_share"]) != "rest", F.expr(f"substr({own['mix_share']}, 2)"))
     share = F.when(F.col(own["mix_share"]) == "null", F.lit(None)).otherwise(share)
     slotted = slotted.withColumn(n["share"], share)
@@ -162,12 +199,6 @@ def mixed(
     return slotted.select(*columns), n
 
 
-def _slot(block: Column) -> Column:
-    quota = F.size("p_slots")
-    whole = F.floor(block / quota) * F.col("p_period")
-    return (F.col("p_start") + whole + F.element_at("p_slots", (block % quota + 1).cast("int"))).cast("long")
-
-
 def _given(weights: dict[str | None, float], rows: dict[str, int]) -> dict[str, float]:
     named = {("null" if s is None else f"s{s}"): w for s, w in weights.items() if w > 0}
     mean = sum(named.values()) / len(named) if named else 1.0

@@ -347,6 +347,19 @@ def test_schedule_meets_deadlines_and_lag():
                 assert abs(sum(x < t for x in own) - quota[s] * t / period) < 1
 
 
+@pytest.mark.parametrize("weights", [{"a": 0.7, "b": 0.2, "c": 0.1}, {f"s{i:02}": 1.0 for i in range(20)}])
+def test_lag_behind_exact_weights_does_not_grow(weights):
+    total, n = sum(weights.values()), 20_000
+    blocks = {s: round(w / total * n) for s, w in weights.items()}
+    at = {s: [] for s in blocks}
+    for s, first, end, start, _, slots in mixing.phases(blocks, weights, 64):
+        at[s] += [start + (k // len(slots)) * 64 + slots[k % len(slots)] for k in range(end - first)]
+    for s, own in at.items():
+        # Just before and just after each block; the counts change nowhere else.
+        lag = [abs(k + d - weights[s] / total * (slot + d)) for k, slot in enumerate(own) for d in (0, 1) if slot < 0.98 * n]
+        assert max(lag) < 2
+
+
 def test_phases_place_every_block_once():
     rng = random.Random(2)
     for _ in range(30):
