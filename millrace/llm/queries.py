@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import flatgraph, lines, mixing, neighbours, packing, quality, secrets, sharding, simhash, warc
+from millrace.llm import (
+    conversations, divergence, flatgraph, lines, mixing, neighbours, oracles, packing, quality, secrets, sharding, simhash, spelling, warc,
+)
 from millrace.llm.common import table
 
 def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,6 +96,20 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.judged(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = spelling.word_counts(table(spark, sf_dir, "documents"), min_length=7, slips=31)
+    return spelling.variants(counts, min_count=2, ratio=10)
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, stays = conversations.damaged(table(spark, sf_dir, "conversations"))
+    return conversations.repaired(rows, keep=F.col(stays))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neighbours": op1_neighbours,
     "op2_packing": op2_packing,
@@ -105,24 +121,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_flatgraph": op9_flatgraph,
     "op10_sharding": op10_sharding,
+    "op11_divergence": op11_divergence,
+    "op12_spelling": op12_spelling,
+    "op13_conversations": op13_conversations,
     "pipeline": corpus_pipeline.run,
 }
-# The 32 letters of a base-32 digest, five hexadecimal digits (four letters) at a time.
-_BASE32 = " || ".join(
-    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
-    f"((('0x' || substr(sha, {5 * block + 1}, 5))::BIGINT >> {shift}) & 31)::INT + 1, 1)"
-    for block in range(8)
-    for shift in (15, 10, 5, 0)
-)
-OP5_SQL = f"""
-WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
-     d AS (SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, sha1(payload) AS sha FROM p),
-     f AS (SELECT *, min(page_id) OVER (PARTITION BY sha) AS first FROM d)
-SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
-       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN page_id <> first THEN first END AS refers_to
-FROM f
-"""
-ORACLE_SQL: dict[str, str] = {"op5_warc": OP5_SQL}
+ORACLE_SQL: dict[str, str] = {"op5_warc": oracles.OP5, "op11_divergence": oracles.OP11, "op12_spelling": oracles.OP12, "op13_conversations": oracles.OP13}
 if corpus_pipeline.ORACLE_SQL:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
