@@ -350,3 +350,67 @@ def source_lines(spark: SparkSession, sf_dir: str, sep: str) -> DataFrame:
         text_of("db", F.col("s_nationkey").cast("string")), text_of("dbo.T", key), F.lit("u"), F.lit("p"),
     ]
     return table(spark, sf_dir, "supplier").select(F.concat_ws(sep, *fields).alias("value"))
+
+
+# --- sources that grow -----------------------------------------------------------------------
+
+# Lines of a test log, so that logs are many where there are many lines.
+LOG_LINES = 50_000
+LOG_STAGES = 3
+
+
+def grow_logs(lines: DataFrame, folder: str, stage: int) -> None:
+    """Log files as they stand at a stage: ``(value, line)`` rows, a file per ``LOG_LINES``, in order of ``line``.
+
+    At stage ``s`` a file has its first ``(s + 1) / LOG_STAGES`` of bytes, which may end amid a line. It
+    is written anew as a whole, so a task that runs again leaves the same bytes.
+    """
+    import pyarrow as pa
+
+    from millrace.sources.appended import _filesystem
+
+    files = max(3, -(-lines.count() // LOG_LINES))
+
+    def write(group: pa.Table) -> pa.Table:
+        group = group.sort_by("line")
+        data = "".join(f"{v}\n" for v in group.column("value").to_pylist()).encode()
+        name = group.column("file")[0].as_py()
+        fs, path = _filesystem(folder)
+        fs.create_dir(path)
+        with fs.open_output_stream(f"{path}/access-{name}.log") as out:
+            out.write(data[: len(data) * (stage + 1) // LOG_STAGES])
+        return pa.table({"file": pa.array([name], pa.int64())})
+
+    placed = lines.select("value", "line", F.pmod("line", F.lit(files)).cast("bigint").alias("file"))
+    placed.groupBy("file").applyInArrow(write, "file bigint").write.format("noop").mode("overwrite").save()
+
+
+def order_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a source's table before any change: ``(id, status, price)``."""
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("price")
+    )
+
+
+def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A change log over those orders: ``(id, position, row, gone)``, positions 4 to 8,003.
+
+    Every third order is updated, every sixth again, every tenth deleted, and some new ones come.
+    """
+    base = order_base(spark, sf_dir)
+    key = F.col("id")
+
+    def change(kind: int, chosen: Column, step: int, new_id: Column, price: Column, gone: bool = False) -> DataFrame:
+        place = (1 + (key * step) % 2000) * 4 + kind
+        row = F.struct(new_id.alias("id"), F.col("status"), price.alias("price"))
+        return base.filter(chosen).select(new_id.alias("id"), place.alias("position"), (F.lit(None).cast(ROW) if gone else row).alias("row"), F.lit(gone).alias("gone"))
+
+    one = change(0, key % 3 == 0, 7, key, F.col("price") + 1)
+    two = change(1, key % 6 == 0, 11, key, F.col("price") + 2)
+    gone = change(2, key % 10 == 1, 13, key, F.col("price"), gone=True)
+    new = change(3, key % 15 == 2, 17, -key, F.col("price"))
+    return one.unionByName(two).unionByName(gone).unionByName(new)
+
+
+ROW = "struct<id: bigint, status: string, price: double>"
+LOG_END = 8_004

@@ -544,7 +544,11 @@ def _landing(df: DataFrame, day) -> DataFrame:
 
 def _landed_events(spark: SparkSession, path: str) -> DataFrame:
     """Every landed event with its table and day, and all of its body."""
-    rows = spark.read.schema("value string, `table` string, dt string").text(path)
+    return opened_events(spark.read.schema("value string, `table` string, dt string").text(path))
+
+
+def opened_events(rows: DataFrame) -> DataFrame:
+    """Columns of landed event lines."""
     known = "event_id bigint, value double, ModifyTime string, `table` string"
     return rows.select(
         "table",

@@ -64,21 +64,61 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
-def expire_scratch(spark: SparkSession, seconds: float) -> int:
-    """Delete scratch tables that were written more than ``seconds`` ago; how many there were.
-
-    For a job's end, or a daily clean-up: nothing that still runs may read tables of that age.
-    """
-    fs, target = _folder(spark, f"{shared_dir(spark)}/millrace")
+def newest_text(spark: SparkSession, folder: str) -> str | None:
+    """Content of the file of the largest name in a folder of few small files; None if there is none."""
+    fs, target = _folder(spark, folder)
+    if not fs.exists(target):
+        return None
+    names = sorted(s.getPath().getName() for s in fs.listStatus(target))
+    names = [n for n in names if not n.startswith(".")]
+    if not names:
+        return None
+    path = spark._jvm.org.apache.hadoop.fs.Path(target, names[-1])
+    stream = fs.open(path)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def put_text(spark: SparkSession, folder: str, name: str, text: str, keep: int = 4) -> None:
+    """Write a small file that appears as a whole, and delete all but the last ``keep`` of its folder."""
+    fs, target = _folder(spark, folder)
+    new_path = lambda n: spark._jvm.org.apache.hadoop.fs.Path(target, n)
+    hidden = new_path(f".{name}")
+    stream = fs.create(hidden, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if not fs.rename(hidden, new_path(name)):
+        raise OSError(f"{name} exists in {folder}")
+    names = sorted(s.getPath().getName() for s in fs.listStatus(target))
+    for old in [n for n in names if not n.startswith(".")][:-keep]:
+        fs.delete(new_path(old), False)
+
+
+def expire_folders(spark: SparkSession, folder: str, keep: set[str], seconds: float) -> int:
+    """Delete sub-folders not named in ``keep`` that were written more than ``seconds`` ago; how many."""
+    fs, target = _folder(spark, folder)
     if not fs.exists(target):
         return 0
     oldest = (time.time() - seconds) * 1000
-    gone = [s.getPath() for s in fs.listStatus(target) if s.getModificationTime() < oldest]
+    listed = [s for s in fs.listStatus(target) if s.getPath().getName() not in keep]
+    gone = [s.getPath() for s in listed if s.getModificationTime() < oldest]
     for path in gone:
         fs.delete(path, True)
     return len(gone)
 
 
+def expire_scratch(spark: SparkSession, seconds: float) -> int:
+    """Delete scratch tables that were written more than ``seconds`` ago; how many there were.
+
+    For a job's end, or a daily clean-up: nothing that still runs may read tables of that age.
+    """
+    return expire_folders(spark, f"{shared_dir(spark)}/millrace", set(), seconds)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """New folder name, unique per call, below the shared folder."""
     return f"{shared_dir(spark)}/millrace/{label}-{uuid.uuid4().hex}"

@@ -13,6 +13,9 @@ MESSAGE_TYPE = (
     "topic string, key string, value string, partition int, offset bigint, timestamp timestamp"
 )
 
+# Name of the message header that carries an id.
+ID_HEADER = "id"
+
 START = {"initial": "earliest", "latest": "latest"}
 
 
@@ -24,11 +27,15 @@ def topic_options(
     group: str | None = None,
     max_per_batch: int | None = None,
     extra: Mapping[str, str] | None = None,
+    min_per_batch: int | None = None,
+    max_wait: str | None = None,
 ) -> dict[str, str]:
     """Options of a Kafka read: a topic list, or a pattern over per-table topics.
 
     ``start`` is ``initial`` (snapshot topics from the beginning) or ``latest`` (changes only).
-    Progress lives in the query's checkpoint; ``group`` only names the consumer.
+    Progress lives in the query's checkpoint; ``group`` only names the consumer. A batch begins as soon
+    as ``min_per_batch`` messages wait **or** ``max_wait`` (such as ``"2000ms"``) has passed since the
+    last one, whichever comes first, and takes at most ``max_per_batch``; give both or neither.
     """
     if bool(topics) == bool(pattern):
         raise ValueError("give either topics or a pattern")
@@ -41,6 +48,10 @@ def topic_options(
         options["kafka.group.id"] = group
     if max_per_batch:
         options["maxOffsetsPerTrigger"] = str(max_per_batch)
+    if bool(min_per_batch) != bool(max_wait):
+        raise ValueError("give both min_per_batch and max_wait, or neither")
+    if min_per_batch:
+        options |= {"minOffsetsPerTrigger": str(min_per_batch), "maxTriggerDelay": max_wait}
     return {**options, **(extra or {})}
 
 
@@ -65,6 +76,23 @@ def position() -> Column:
     return F.struct("timestamp", "partition", "offset")
 
 
+def header_id(headers: Column) -> Column:
+    """The id in a broker's message headers, null without one; read with the option ``includeHeaders``."""
+    found = F.filter(headers, lambda h: h["key"] == ID_HEADER)
+    return F.get(found, F.lit(0))["value"].cast("string")
+
+
+def read_once(messages: DataFrame, delay: str, id_col: str = "id", time_col: str = "timestamp") -> DataFrame:
+    """A stream of messages without those whose id came before, for a topic that is written at least once.
+
+    ``delay`` is how far apart the times of two copies may lie: longer than a failed writer takes to come
+    back. Ids are kept in the query's state for that long and then forgotten, so state is bounded by the
+    messages of that time. Messages without an id all stay.
+    """
+    marked = messages.withColumn("_id", F.coalesce(F.col(id_col), F.uuid()))
+    return marked.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(["_id"]).drop("_id")
+
+
 def read_message_files(
     spark: SparkSession, path: str, streaming: bool = True, max_files: int | None = None
 ) -> DataFrame:

@@ -174,13 +174,27 @@ def test_a_batch_again_during_a_read_changes_nothing(spark, tmp_path):
     jobs.run(again, jobs.StreamSettings(str(tmp_path / "again-ck")))
     assert [tuple(r) for r in open_before.collect()] == [("a", "A", None)]  # its files are still there
     assert dims_now(spark, tmp_path) == {"a": ("A", None)}
-    kinds = [e.kind for e in dims._log(spark, str(tmp_path / "dims"))]
-    assert kinds == ["delta", "delta", "full"]
-    dims._expire(spark, str(tmp_path / "dims"), keep=-1.0)
-    assert len(list((tmp_path / "dims").glob("delta-*"))) == 0
+    state = dims.read_state(spark, str(tmp_path / "dims"))
+    assert [t["name"].split("-")[0] for t in state.tables] == ["full"] and state.number == 3
+    assert dims._expire(spark, str(tmp_path / "dims"), state, keep=-1.0) == 2
+    assert [f.name for f in (tmp_path / "dims" / "tables").iterdir()] == [state.tables[0]["name"]]
     assert dims_now(spark, tmp_path) == {"a": ("A", None)}
 
 
+def test_work_of_a_batch_does_not_grow_with_the_batches_before(spark, tmp_path):
+    """Of 60 batches each leaves at most five tables to read and four state files."""
+    path = str(tmp_path / "dims")
+    for number in range(60):
+        rows = spark.createDataFrame([(f"k{number % 7}", "guid", f"v{number}", number)], "database string, kind string, value string, seq long")
+        state = dims._publish(spark, path, dims.read_state(spark, path), rows, full=False)
+        if len(state.tables) > 4:
+            dims._publish(spark, path, state, dims._merged(spark, path, state), full=True)
+        state = dims.read_state(spark, path)
+        assert len(state.tables) <= 5 and len(list((tmp_path / "dims" / "state").glob("[!.]*"))) <= 4
+    assert dims_now(spark, tmp_path) == {f"k{n % 7}": (f"v{n}", None) for n in range(53, 60)}
+    assert sum(t["rows"] for t in state.tables) <= 11
+
+
 def test_unusable_records_are_set_aside_in_both_flows(spark, tmp_path):
     junk = {"topic": "srv.dbo.A", "key": "9", "value": "junk"}
     put(tmp_path / "in", "1.json", [change("A", {"id": 1}), junk, change("A", None, op="t")])
