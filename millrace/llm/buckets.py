@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,76 @@ def firsts(keyed: DataFrame, near: Near) -> DataFrame:
     return met.select("key", "item", "first", "n")
 
 
+class Runs:
+    """Rows sorted by key as they pass by: which is the first of its key, and whether a key has two rows or more.
+
+    Rows are numpy columns, the key first. Of a key of one row nothing comes out, of a key of two its
+    second row, of a larger one all. At most two rows of a key that may go on are held back.
+    """
+
+    def __init__(self) -> None:
+        self.held: list[np.ndarray] | None = None
+        self.first: list | None = None  # of a key known to have three rows or more
+
+    def add(self, columns: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
+        """Columns, those of each row's first, and the count (3 for three or more) of rows now settled."""
+        if self.first is not None:
+            other = np.flatnonzero(columns[0] != self.first[0])
+            n = int(other[0]) if len(other) else len(columns[0])
+            if n:
+                yield self._shown([c[:n] for c in columns], [np.full(n, f, c.dtype) for f, c in zip(self.first, columns)], np.full(n, 3))
+            if n == len(columns[0]):
+                return
+            columns, self.first = [c[n:] for c in columns], None
+        elif self.held is not None:
+            columns = [np.concatenate([h, c]) for h, c in zip(self.held, columns)]
+        key = columns[0]
+        starts = np.append(0, 1 + np.flatnonzero(key[1:] != key[:-1]))
+        counts = np.diff(np.append(starts, len(key)))
+        if counts[-1] <= 2:
+            self.held = [c[starts[-1] :] for c in columns]
+            columns, counts, starts = [c[: starts[-1]] for c in columns], counts[:-1], starts[:-1]
+        else:
+            self.held, self.first = None, [c[starts[-1]] for c in columns]
+        yield from self._settled(columns, starts, counts)
+
+    def end(self) -> Iterator[list[np.ndarray]]:
+        if self.held is not None:
+            yield from self._settled(self.held, np.zeros(1, np.int64), np.array([len(self.held[0])]))
+
+    def _settled(self, columns: list[np.ndarray], starts: np.ndarray, counts: np.ndarray) -> Iterator[list[np.ndarray]]:
+        lead, many = np.repeat(starts, counts), np.minimum(np.repeat(counts, counts), 3)
+        at = np.flatnonzero((many == 3) | ((many == 2) & (np.arange(len(lead)) > lead)))
+        if len(at):
+            yield self._shown([c[at] for c in columns], [c[lead[at]] for c in columns], many[at])
+
+    def _shown(self, rows: list, firsts: list, counts: np.ndarray) -> list[np.ndarray]:
+        return [*rows, *firsts[1:], counts.astype(np.int32)]
+
+
+def sorted_firsts(keyed: DataFrame, near: Near) -> DataFrame:
+    """The same as ``firsts`` from flat longs ``(key, sim, id)``, whose items are ``struct(sim, id)``.
+
+    Rows are shuffled once, sorted by key and item, and read as a stream, so that a bucket of any size
+    takes no memory.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        runs, names = Runs(), ["key", "sim", "id", "first_sim", "first_id", "n"]
+        for batch in batches:
+            if batch.num_rows:
+                for found in runs.add([batch.column(c).to_numpy() for c in ("key", "sim", "id")]):
+                    yield pa.record_batch([pa.array(c) for c in found], names=names)
+        for found in runs.end():
+            yield pa.record_batch([pa.array(c) for c in found], names=names)
+
+    ordered = keyed.repartition("key").sortWithinPartitions("key", "sim", "id")
+    found = ordered.mapInArrow(run, "key long, sim long, id long, first_sim long, first_id long, n int")
+    item = F.struct("sim", "id").alias("item")
+    first = F.struct(F.col("first_sim").alias("sim"), F.col("first_id").alias("id")).alias("first")
+    return found.select("key", item, first, "n").filter((F.col("n") > 2) | near(F.col("first"), F.col("item")))
+
+
 def labels(star: DataFrame) -> DataFrame:
     """``(item, label)`` from links ``(a, b)``, a < b: a smaller item two links away, or one.
 
@@ -41,6 +113,7 @@ def bucket_links(
     keyed: DataFrame,
     near: Near,
     verify: Callable[[DataFrame], DataFrame] = lambda pairs: pairs,
+    firsts: Callable[[DataFrame, Near], DataFrame] = firsts,
 ) -> DataFrame:
     """``(a, b)``, a < b: verified links whose connected components are those of all verified pairs.
 
@@ -48,7 +121,7 @@ def bucket_links(
     ``verify`` (a frame of pairs to the frame of those that hold). In each bucket the items near its
     smallest one are hung on that. Then only pairs are looked at of which one was not hung there and
     whose labels differ, so a bucket of copies costs a link per member, while no two items that some
-    pair joins stay apart.
+    pair joins stay apart. ``firsts`` finds the first items of buckets and may expect other columns.
     """
     scratch = Scratch(keyed.sparkSession, "buckets")
     rows = scratch.keep(firsts(keyed, near))
@@ -65,6 +138,7 @@ def bucket_links(
         F.coalesce("hung", F.col("item") == F.col("first")).alias("hung"),
     )
     open_rows = scratch.keep(open_rows)
+    scratch.drop(rows)
     left, right = open_rows.toDF("key", "x", "x_label", "x_hung"), open_rows.toDF("key", "y", "y_label", "y_hung")
     apart = (
         (left["key"] == right["key"])
@@ -73,5 +147,7 @@ def bucket_links(
         & near(F.col("x"), F.col("y"))
     )
     across = left.join(right, apart).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    rest = verify(across.join(tried, ["a", "b"], "left_anti")).select("a", "b")
-    return star.union(scratch.keep(rest))
+    rest = scratch.keep(verify(across.join(tried, ["a", "b"], "left_anti")).select("a", "b"))
+    scratch.drop(tried)
+    scratch.drop(open_rows)
+    return star.union(rest)

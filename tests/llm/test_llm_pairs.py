@@ -263,6 +263,77 @@ def test_lines_all_exact_repeats_go_and_nothing_unlike(spark):
     assert gone and all(t in kept or any(lines.similar(t, k, 0.8) for k in kept) or any(lines.similar(t, g, 0.8) for g in gone if g != t) for t in gone)
 
 
+def test_near_lines_of_a_table_meet(spark):
+    """Brute force over all distinct lines of sf0.001: nine in ten near pairs at least are joined."""
+    from millrace.llm.components import components
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    table = lines.line_table(docs, "doc_id", "text")
+    distinct = table.groupBy("id").agg(F.min("sim").alias("sim"), F.min("runs").alias("runs"), F.min("words").alias("words")).cache()
+    links = buckets.bucket_links(
+        lines._keys(distinct),
+        lambda a, b: F.bit_count(a["sim"].bitwiseXOR(b["sim"])) <= lines.MAX_BITS,
+        lines._verified(table, 0.8),
+        buckets.sorted_firsts,
+    ).select(F.col("a.id").alias("x"), F.col("b.id").alias("y"))
+    group = {r["node"]: r["component"] for r in components(links, "x", "y").collect()}
+    rows = sorted(((r["words"], r["id"]) for r in distinct.collect()), key=lambda r: len(r[0]))
+    pairs, bags = [], [Counter(words) for words, _ in rows]
+    for i, (words, one) in enumerate(rows):
+        for j in range(i + 1, len(rows)):
+            longer, other = rows[j]
+            allowed = int(0.2 * len(longer) + 1e-9)
+            if len(longer) - len(words) > allowed:
+                break
+            if (bags[j] - bags[i]).total() <= allowed and lines.similar(words, longer, 0.8):
+                pairs.append((one, other))
+    joined = sum(x in group and group[x] == group.get(y) for x, y in pairs)
+    assert len(pairs) >= 20 and joined >= 0.9 * len(pairs), (joined, len(pairs))
+
+
+@pytest.mark.parametrize("step", [1, 2, 3, 7, 1000])
+def test_runs_of_keys_as_rows_pass_by(step):
+    rng = random.Random(step)
+    rows = sorted((rng.randrange(40) ** 2 // 30, rng.randrange(9), i) for i in range(300))
+    runs, got = buckets.Runs(), []
+    for start in range(0, len(rows), step):
+        columns = [np.array(c) for c in zip(*rows[start : start + step])]
+        for found in runs.add(columns):
+            got += zip(*(c.tolist() for c in found))
+    for found in runs.end():
+        got += zip(*(c.tolist() for c in found))
+    of_key = defaultdict(list)
+    for row in rows:
+        of_key[row[0]].append(row)
+    want = []
+    for of in of_key.values():
+        shown = [] if len(of) == 1 else of[1:] if len(of) == 2 else of
+        want += [(*row, *of[0][1:], min(len(of), 3)) for row in shown]
+    assert sorted(got) == sorted(want)
+
+
+def test_smallest_runs_match_brute_force():
+    rng = random.Random(4)
+    counts = np.array([rng.randrange(1, 12) for _ in range(60)])
+    hashes = np.array([rng.randrange(6) for _ in range(counts.sum())], dtype=np.uint64)
+    runs, borders = lines.smallest_runs(hashes, counts)
+    start = 0
+    for i, n in enumerate(counts):
+        words, start = hashes[start : start + n], start + n
+        alone = {int(lines.smallest_runs(words[k : k + 3], np.array([3]))[0][0]) for k in range(n - 2)}
+        assert runs[borders[i] : borders[i + 1]].tolist() == sorted(alone)[: lines.RUNS_KEPT]
+    assert [len(a) for a in lines.smallest_runs(hashes[:0], counts[:0])] == [0, 1]
+
+
+def test_distance_that_stops_early_says_the_same():
+    rng = random.Random(9)
+    for _ in range(400):
+        a = "".join(rng.choices("ab ", k=rng.randrange(40)))
+        b = "".join(rng.choices("ab ", k=rng.randrange(40)))
+        most = rng.randrange(12)
+        assert (lines.edit_distance(a, b, most) <= most) == (lines.edit_distance(a, b) <= most)
+
+
 def vectors(spark, rows):
     return spark.createDataFrame([(*r, 1, "x") for r in rows], "vec_id long, embedding array<float>, ID long, v string")
 

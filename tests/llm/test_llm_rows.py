@@ -9,6 +9,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from functools import cache
 
 import numpy as np
 import pytest
@@ -31,11 +32,15 @@ def real_docs(spark):
     return [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
 
 
-def ids_of(text):
+@cache
+def whole_tokenizer():
     from tokenizers import Tokenizer
 
-    tokenizer = ids_of.__dict__.setdefault("t", Tokenizer.from_file(packing.tokenizer_path()))
-    return np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 0], dtype="<u4")
+    return Tokenizer.from_file(packing.tokenizer_path())
+
+
+def ids_of(text):
+    return np.array([*whole_tokenizer().encode(text or "", add_special_tokens=False).ids, 0], dtype="<u4")
 
 
 # Packing
