@@ -109,3 +109,31 @@ def lookup_join(
     keyed = keyed.withColumn("_slot", F.when(F.col("_slots") > 1, number).otherwise(0))
     copies = table.withColumn("_slot", F.explode(F.sequence(F.lit(0), slots - 1)))
     return keyed.drop("_slots").join(copies.drop("_slots"), [key, "_slot"], "left").drop("_slot")
+
+
+def save_bucketed(table: DataFrame, name: str, key: str, buckets: int, path: str | None = None) -> None:
+    """A lookup table in the catalog, its rows in ``buckets`` by key: joins on the key need not move it.
+
+    Take at least as many buckets as shuffles have partitions, or Spark moves both sides to have more.
+    """
+    writer = table.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
+
+
+def bucketed_join(facts: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Left join to a bucketed table with at most one row per ``key``, which stays where it is.
+
+    Facts are shuffled to the table's buckets. Rows of hot keys (fewer than 1,000 keys) would all go to
+    their key's bucket; they meet a broadcast copy of those keys' rows instead, as do rows without a key.
+    """
+    if facts.isStreaming:
+        raise ValueError("join a stream to a large table batch by batch, in foreachBatch")
+    hot = F.broadcast(hot_keys(facts, key).select(key))
+    marked = facts.join(hot.withColumn("_hot", F.lit(True)), key, "left")
+    warm = F.col("_hot").isNotNull() | F.col(key).isNull()
+    few = table.join(hot, key, "left_semi")
+    one = marked.filter(warm).drop("_hot").join(F.broadcast(few), key, "left")
+    rest = marked.filter(~warm).drop("_hot").join(table.hint("merge"), key, "left")
+    return rest.unionByName(one)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import objects
-from millrace.lookup import lookup_join
+from millrace.lookup import bucketed_join, lookup_join
 
 DIM_TYPE = "database string, guid string, tenantid string"
 
@@ -69,11 +69,16 @@ def latest_dims(
     )
 
 
-def attach(facts: DataFrame, dims: DataFrame, key: str, small: bool | None = None) -> DataFrame:
-    """Add the dimension's columns, prefixed ``dim_``, to plain columns; unmatched rows stay."""
+def attach(
+    facts: DataFrame, dims: DataFrame, key: str, small: bool | None = None, bucketed: bool = False
+) -> DataFrame:
+    """Add the dimension's columns, prefixed ``dim_``, to plain columns; unmatched rows stay.
+
+    ``bucketed``: the dimension is a catalog table bucketed by ``database`` (``lookup.save_bucketed``).
+    """
     names = [c for c in dims.columns if c != "database"]
     table = dims.select(F.col("database").alias(key), *[F.col(c).alias(f"dim_{c}") for c in names])
-    return lookup_join(facts, table, key, small=small)
+    return bucketed_join(facts, table, key) if bucketed else lookup_join(facts, table, key, small=small)
 
 
 def enrich(
@@ -82,6 +87,7 @@ def enrich(
     envelope: str = "envelope",
     tenant: bool = True,
     small: bool | None = None,
+    bucketed: bool = False,
 ) -> DataFrame:
     """Replace ``database`` by the mapped guid and, when ``tenant``, add ``tenantid``.
 
@@ -89,7 +95,7 @@ def enrich(
     """
     columns = ["database", "guid"] + (["tenantid"] if tenant else [])
     keyed = facts.withColumn("_db", objects.get_string(F.col(envelope), "database"))
-    joined = attach(keyed, dims.select(*columns), "_db", small=small)
+    joined = attach(keyed, dims.select(*columns), "_db", small=small, bucketed=bucketed)
     added = {"database": F.col("dim_guid")}
     if tenant:
         added["tenantid"] = F.col("dim_tenantid")

@@ -496,15 +496,13 @@ def token_lists(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def colon_count_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Counts of every micro-batch on its own: the lines arrive in five parts, one a batch."""
-    folder = scratch_path(spark, "lines")
+    """Counts of every micro-batch on its own: the lines arrive in five parts, each read by one batch."""
+    folder, out = scratch_path(spark, "lines"), scratch_path(spark, "out")
+    settings = jobs.StreamSettings(scratch_path(spark, "ckpt"))
     lines = inputs.event_lines(spark, sf, "event_id")
     for part in range(5):
-        some = lines.filter(F.col("event_id") % 5 == part).select("value")
-        some.coalesce(1).write.mode("append").text(folder)
-    out = scratch_path(spark, "out")
-    writer = jobs.batch_word_counts(tail_lines(spark, folder, max_files=1), out)
-    jobs.run(writer, jobs.StreamSettings(scratch_path(spark, "ckpt")))
+        lines.filter(F.col("event_id") % 5 == part).select("value").write.mode("append").text(folder)
+        jobs.run(jobs.batch_word_counts(tail_lines(spark, folder), out), settings)
     counts = spark.read.schema("word string, n bigint, batch_id int").parquet(out)
     return counts.select(F.col("batch_id").cast("int").alias("batch"), "word", "n")
 

@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
+import time
 from itertools import count
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.lookup import save_bucketed
+from millrace.operators import envelope as env
+from millrace.operators.enrich import enrich
 from millrace.operators.geo import parse_ranges
 from millrace.operators.sql import register_ip_location, register_ip_number, register_parent_path
 from millrace.plans import inputs, oracles
 from millrace.plans import registered as base
-from millrace.session import scratch_path
-from millrace.sinks import compaction, files, messages
+from millrace.session import cut_lineage, scratch_path
+from millrace.sinks import compaction, files, messages, tables
 from millrace.sources import snapshots
 from millrace.sources.appended import tail_appended
+from millrace.sources.changes import snapshot_records
 from millrace.sources.messages import read_once
 from millrace.streaming import jobs
+from millrace.streaming.health import Recorder
 
 # --- lookups from SQL text -------------------------------------------------------------------
 
@@ -136,11 +142,79 @@ def land_compacted(spark: SparkSession, sf: str) -> DataFrame:
     return base.opened_events(compaction.read_landed(spark, path))
 
 
+def stream_progress(spark: SparkSession, sf: str) -> DataFrame:
+    """What a stream of three batches reports of itself, one run of it stopped by a failure."""
+    folder = base._in_files(inputs.event_lines(spark, sf, "event_id"), scratch_path(spark, "in"))
+    stream = spark.readStream.schema("value string, event_id bigint").option("maxFilesPerTrigger", 2).json(folder)
+    write, failed = jobs.overwrite_batch(scratch_path(spark, "out")), []
+
+    def act(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        if batch_id == 1 and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("lost after writing")
+
+    recorder = Recorder()
+    spark.streams.addListener(recorder)
+    try:
+        settings = jobs.StreamSettings(scratch_path(spark, "ckpt"), batch_timeout=600)
+        name = "progress-" + settings.checkpoint.rsplit("-", 1)[1]
+        jobs.run(jobs.per_batch(stream, jobs.paced(act, 0.1)).queryName(name), settings)
+        # Reports come a moment after their batches.
+        for _ in range(200):
+            held = [r for r in list(recorder.reports) if r[0] == name and r[2]]
+            if len(held) >= 3 and recorder.failures:
+                break
+            time.sleep(0.05)
+    finally:
+        spark.streams.removeListener(recorder)
+    reports = recorder.table(spark).filter((F.col("query") == name) & (F.col("rows") > 0))
+    return reports.agg(F.countDistinct("batch").alias("batches"), F.sum("rows").alias("n"), F.lit(len(recorder.failures)).cast("bigint").alias("failures"))
+
+
+# --- tables that change their shape, and large dimensions ------------------------------------
+
+
+def append_evolving(spark: SparkSession, sf: str) -> DataFrame:
+    """Three sources appended to a table that knows two columns: new keys come, and whole numbers outgrow theirs."""
+    path = scratch_path(spark, "table")
+    name = "millrace_" + path.rsplit("-", 1)[1]
+    spark.sql(f"CREATE TABLE {name} (id INT, name STRING) USING parquet LOCATION '{path}'")
+    for source, row in (
+        ("customer", ["c_custkey Id", "c_name name"]),
+        ("supplier", ["s_suppkey + 10000000000 ID", "s_acctbal Balance", "s_nationkey nation"]),
+        ("part", ["p_partkey id", "p_name NAME", "p_size size"]),
+    ):
+        rows = inputs.table(spark, sf, source).selectExpr(*row)
+        changes = snapshot_records(rows, "srv", "shop", f"dbo.{source}")
+        flat = env.flat_envelope(env.read_records(changes)).select(objects_without(F.col("envelope"), "database", "type"))
+        tables.append_evolving(flat, name)
+    schema = spark.table(name).schema
+    spark.sql(f"DROP TABLE {name}")  # the rows stay in the folder
+    return spark.read.schema(schema).parquet(path)
+
+
+def objects_without(envelope: Column, *names: str) -> Column:
+    return F.map_filter(envelope, lambda k, _: ~k.isin(*names)).alias("envelope")
+
+
+def enrich_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """The two-key enrichment with a dimension bucketed by its key, which no batch moves."""
+    path = scratch_path(spark, "dims")
+    name = "millrace_" + path.rsplit("-", 1)[1]
+    buckets = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    save_bucketed(base._customer_dims(spark, sf), name, "database", buckets, path)
+    facts = env.parse_envelope(inputs.order_envelopes(spark, sf)).select("envelope")
+    out = cut_lineage(enrich(facts, spark.table(name), bucketed=True).select("envelope"), "enriched")
+    spark.sql(f"DROP TABLE {name}")
+    return base._opened(out, base._ORDER_OUT).withColumnRenamed("Id", "order_id")
+
+
 ALL = {
     f.__name__: f
     for f in (
         sql_ip_number, sql_ip_location, sql_ip_ranges, sql_parent_path, tail_appended_lines, snapshot_handover,
-        topic_exactly_once, land_compacted,
+        topic_exactly_once, land_compacted, stream_progress, append_evolving, enrich_bucketed,
     )
 }
 
@@ -167,4 +241,11 @@ SQL = {
         QUALIFY row_number() OVER (PARTITION BY id ORDER BY position DESC) = 1 AND NOT gone""",
     "topic_exactly_once": f"SELECT value, event_id FROM ({oracles._NUMBERED_LINES}) t",
     "land_compacted": oracles.ALL["land_by_table"],
+    "stream_progress": "SELECT 3::BIGINT AS batches, count(*) AS n, 1::BIGINT AS failures FROM events",
+    "append_evolving": """
+        SELECT c_custkey::BIGINT AS id, c_name AS name, 'customer' AS "table", NULL::DOUBLE AS balance,
+            NULL::BIGINT AS nation, NULL::BIGINT AS size FROM customer
+        UNION ALL SELECT s_suppkey + 10000000000, NULL, 'supplier', s_acctbal, s_nationkey, NULL FROM supplier
+        UNION ALL SELECT p_partkey, p_name, 'part', NULL, NULL, p_size FROM part""",
+    "enrich_bucketed": oracles.ALL["enrich_large"],
 }

@@ -27,13 +27,15 @@ class StreamSettings:
 
     The folder is fixed per query, so a restart resumes where the last run stopped. ``every`` is a
     processing-time interval such as ``"10 seconds"``; without it the query reads what is there and
-    ends. ``run`` restarts a failed query ``retries`` times, ``delay`` seconds after each failure.
+    ends. ``run`` restarts a failed query ``retries`` times, ``delay`` seconds after each failure. A batch
+    that takes longer than ``batch_timeout`` seconds counts as a failure: it is stopped and runs again.
     """
 
     checkpoint: str
     every: str | None = None
     retries: int = 3
     delay: float = 0
+    batch_timeout: float | None = None
 
     def apply(self, writer: DataStreamWriter) -> DataStreamWriter:
         writer = writer.option("checkpointLocation", self.checkpoint)
@@ -51,7 +53,7 @@ def run(writer: DataStreamWriter, settings: StreamSettings) -> StreamingQuery:
     for attempt in range(settings.retries + 1):
         query = start(writer, settings)
         try:
-            query.awaitTermination()
+            await_in_time(query, settings.batch_timeout)
             return query
         except Exception:
             if attempt == settings.retries:
@@ -60,6 +62,47 @@ def run(writer: DataStreamWriter, settings: StreamSettings) -> StreamingQuery:
     raise ValueError("retries must not be negative")
 
 
+def await_in_time(query: StreamingQuery, batch_timeout: float | None, poll: float = 0.2) -> None:
+    """Wait for a query's end; one whose batch takes longer than ``batch_timeout`` seconds is stopped, an error."""
+    if batch_timeout is None:
+        query.awaitTermination()
+        return
+    batch, since = None, time.monotonic()
+    while not query.awaitTermination(poll):
+        done = query.lastProgress["batchId"] if query.lastProgress else -1
+        if done != batch or not query.status["isTriggerActive"]:
+            batch, since = done, time.monotonic()
+        elif time.monotonic() - since > batch_timeout:
+            query.stop()
+            raise TimeoutError(f"the batch after {done} took longer than {batch_timeout} seconds")
+
+
+def stop_after_batch(query: StreamingQuery, patience: float = 600.0, poll: float = 0.05) -> bool:
+    """Stop a query between two batches; whether it came to that within ``patience`` seconds.
+
+    A batch that begins in the moment of the stop is cut short and runs again after a restart.
+    """
+    until = time.monotonic() + patience
+    while query.isActive and query.status["isTriggerActive"] and time.monotonic() < until:
+        time.sleep(poll)
+    idle = not (query.isActive and query.status["isTriggerActive"])
+    query.stop()
+    return idle
+
+
+def paced(act: Callable[[DataFrame, int], None], pause: float) -> Callable[[DataFrame, int], None]:
+    """The same action, begun at least ``pause`` seconds after its last batch ended."""
+    ended: list[float] = []
+
+    def later(batch: DataFrame, batch_id: int) -> None:
+        if ended:
+            time.sleep(max(0.0, ended[-1] + pause - time.monotonic()))
+        act(batch, batch_id)
+        ended[:] = [time.monotonic()]
+
+    return later
+
+
 def per_batch(
     stream: DataFrame, act: Callable[[DataFrame, int], None]
 ) -> DataStreamWriter:

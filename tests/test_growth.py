@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 import random
+import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions.net import ip_to_long
+from millrace.lookup import bucketed_join, save_bucketed
+from millrace.operators import envelope as env
 from millrace.operators.geo import with_ip_location
 from millrace.operators.hierarchy import with_parent_path
 from millrace.operators.sql import register_ip_location, register_ip_number, register_parent_path
-from millrace.sinks import compaction, files, messages
+from millrace.sinks import compaction, files, messages, tables
 from millrace.sources import snapshots
 from millrace.sources.appended import AppendedReader, tail_appended
 from millrace.sources.messages import header_id, read_once, topic_options
-from millrace.streaming import jobs
+from millrace.streaming import health, jobs
 
 # Growing logs
 
@@ -279,3 +283,140 @@ def test_sql_paths_agree_with_the_operator(spark, plan):
     found = spark.sql("SELECT id, way(id) AS path FROM some_nodes")
     assert sorted(map(str, found.collect())) == sorted(map(str, with_parent_path(nodes, "id", edges, "g").collect()))
     assert "NestedLoop" not in plan(found)
+
+
+# Tables that change their shape
+
+
+def objects_of(spark, texts):
+    return env.parse_envelope(spark.createDataFrame([(t,) for t in texts], "value string")).select("envelope")
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    name = "evolving_" + re.sub(r"\W", "_", tmp_path.name)
+    spark.sql(f"CREATE TABLE {name} (id INT, f FLOAT, name STRING, flag BOOLEAN) USING parquet LOCATION '{tmp_path / 'table'}'")
+    yield name
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_columns_come_and_widen(spark, table):
+    first = objects_of(spark, ['{"id":1,"f":0.5,"name":"a","flag":true}', '{"ID":2}'])
+    assert tables.append_evolving(first, table) == ({}, {"f": "double"})  # a number with a point is a double
+    more = ['{"id":3000000000,"f":1e300,"Name":7,"new":1,"none":null}', '{"new":5,"list":[1,{"a":2}],"mixed":1}', '{"mixed":"x"}']
+    added, widened = tables.append_evolving(objects_of(spark, more), table)
+    assert added == {"new": "bigint", "list": "string", "mixed": "string"}
+    assert widened == {"id": "bigint"}
+    rows = {tuple(r) for r in spark.table(table).collect()}
+    assert rows == {
+        (1, 0.5, "a", True, None, None, None),
+        (2, None, None, None, None, None, None),
+        (3000000000, 1e300, "7", None, None, None, 1),
+        (None, None, None, None, '[1,{"a":2}]', "1", 5),
+        (None, None, None, None, None, "x", None),
+    }
+    assert tables.append_evolving(objects_of(spark, more), table) == ({}, {})
+
+
+def test_a_conflict_changes_nothing(spark, table):
+    with pytest.raises(ValueError, match="flag is boolean, got int"):
+        tables.append_evolving(objects_of(spark, ['{"flag":3,"new":1}']), table)
+    assert spark.table(table).columns == ["id", "f", "name", "flag"] and spark.table(table).count() == 0
+    assert tables.append_evolving(objects_of(spark, ["{}"]).limit(0), table) == ({}, {})
+
+
+def test_a_table_that_spark_owns_is_not_declared_anew(spark):
+    spark.sql("CREATE TABLE owned_one (id INT) USING parquet")
+    try:
+        with pytest.raises(ValueError, match="no external table"):
+            tables.append_evolving(objects_of(spark, ['{"id":3000000000}']), "owned_one")
+        assert spark.table("owned_one").schema["id"].dataType.simpleString() == "int"
+    finally:
+        spark.sql("DROP TABLE owned_one")
+
+
+# Dimensions that stay where they are
+
+
+def test_a_bucketed_table_is_not_moved(spark, tmp_path, plan, no_broadcast):
+    dims = spark.range(200).selectExpr("'k' || id as k", "'v' || id as v")
+    save_bucketed(dims, "bucketed_dims", "k", 8, str(tmp_path / "dims"))
+    try:
+        keys = [f"k{i % 300}" for i in range(3000)] + ["k7"] * 4000 + [None] * 500
+        facts = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k string, n long")
+        joined = bucketed_join(facts, spark.table("bucketed_dims"), "k")
+        want = {(k, i): f"v{k[1:]}" if k and int(k[1:]) < 200 else None for i, k in enumerate(keys)}
+        assert {(r["k"], r["n"]): r["v"] for r in joined.collect()} == want and joined.count() == len(keys)
+        shown = plan(joined)
+        merge = shown[shown.index("SortMergeJoin") :]
+        scan = merge[: merge.index("Bucketed: true")]
+        right = scan[scan.rindex("+- ", 0, scan.rindex("Filter")) :]
+        assert "Bucketed: true" in merge and "Exchange" not in right
+        with pytest.raises(ValueError):
+            bucketed_join(spark.readStream.format("rate").load().selectExpr("'k' k"), spark.table("bucketed_dims"), "k")
+    finally:
+        spark.sql("DROP TABLE bucketed_dims")
+
+
+# Settings of jobs
+
+
+def lines_stream(spark, tmp_path):
+    spark.range(30).repartition(3).selectExpr("cast(id as string) value").write.json(str(tmp_path / "in"))
+    return spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
+
+
+def test_a_batch_that_takes_too_long_runs_again(spark, tmp_path):
+    out, slow = str(tmp_path / "out"), []
+    write = jobs.overwrite_batch(out)
+
+    def act(batch, batch_id):
+        if batch_id == 1 and not slow:
+            slow.append(1)
+            time.sleep(8)
+        write(batch, batch_id)
+
+    writer = jobs.per_batch(lines_stream(spark, tmp_path), act)
+    jobs.run(writer, jobs.StreamSettings(str(tmp_path / "ck"), batch_timeout=3, retries=2))
+    assert slow and spark.read.parquet(out).count() == 30
+    with pytest.raises(TimeoutError):
+        stuck = jobs.per_batch(lines_stream(spark, tmp_path / "b"), lambda batch, i: time.sleep(6))
+        jobs.run(stuck, jobs.StreamSettings(str(tmp_path / "ck2"), batch_timeout=1, retries=0))
+
+
+def test_batches_keep_their_pause(spark, tmp_path):
+    times = []
+    act = jobs.paced(lambda batch, i: times.append((time.monotonic(), time.sleep(0.1), time.monotonic())), 0.7)
+    jobs.run(jobs.per_batch(lines_stream(spark, tmp_path), act), jobs.StreamSettings(str(tmp_path / "ck")))
+    assert len(times) == 3 and all(b[0] - a[2] >= 0.65 for a, b in zip(times, times[1:]))
+
+
+def test_a_query_stops_after_its_batch(spark, tmp_path):
+    done = []
+    writer = jobs.per_batch(lines_stream(spark, tmp_path), lambda batch, i: (time.sleep(1.5), done.append(i)))
+    query = jobs.start(writer, jobs.StreamSettings(str(tmp_path / "ck"), every="1 hour"))
+    while not query.status["isTriggerActive"]:
+        time.sleep(0.05)
+    assert jobs.stop_after_batch(query) and not query.isActive and len(done) >= 1
+
+
+def test_reports_and_failures_are_kept(spark, tmp_path):
+    recorder = health.Recorder(keep=50)
+    spark.streams.addListener(recorder)
+    try:
+        good = jobs.per_batch(lines_stream(spark, tmp_path), lambda batch, i: batch.count()).queryName("good")
+        jobs.run(good, jobs.StreamSettings(str(tmp_path / "ck")))
+        bad = jobs.per_batch(lines_stream(spark, tmp_path / "b"), lambda batch, i: 1 / 0).queryName("bad")
+        with pytest.raises(Exception):
+            jobs.run(bad, jobs.StreamSettings(str(tmp_path / "ck2"), retries=0))
+        for _ in range(100):
+            if recorder.failures and len([r for r in recorder.reports if r[0] == "good" and r[2]]) >= 3:
+                break
+            time.sleep(0.05)
+    finally:
+        spark.streams.removeListener(recorder)
+    rows = recorder.table(spark).filter("query = 'good' and `rows` > 0").collect()
+    assert sum(r["rows"] for r in rows) == 30 and sorted(r["batch"] for r in rows) == [0, 1, 2]
+    assert "division by zero" in recorder.failures[0][1] and not recorder.active
+    late = spark.createDataFrame([("q", 1, 5, 9.0, 1.0, 0.0, "b"), ("q", 0, 5, 1.0, 1.0, 0.0, "a"), ("r", 0, 5, 1.0, 1.0, 0.0, "a")], health.PROGRESS_TYPE)
+    assert [r["query"] for r in health.behind(late, 5.0).collect()] == ["q"]
