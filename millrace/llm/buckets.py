@@ -10,9 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import Scratch
-
+from millrace.llm.components import components
 
 Near = Callable[[Column, Column], Column]
+# The same with the key that two items share.
+NearBy = Callable[[Column, Column, Column], Column]
 
 
 def firsts(keyed: DataFrame, near: Near) -> DataFrame:
@@ -76,27 +78,31 @@ class Runs:
         return [*rows, *firsts[1:], counts.astype(np.int32)]
 
 
-def sorted_firsts(keyed: DataFrame, near: Near) -> DataFrame:
-    """The same as ``firsts`` from flat longs ``(key, sim, id)``, whose items are ``struct(sim, id)``.
+def sorted_firsts(keyed: DataFrame, near: NearBy) -> DataFrame:
+    """The same as ``firsts`` from flat longs ``(key, ...)``, whose items are structs of the rest; ``near`` sees the key.
 
     Rows are shuffled once, sorted by key and item, and read as a stream, so that a bucket of any size
     takes no memory.
     """
+    fields = keyed.columns[1:]
+    names = ["key", *fields, *(f"first_{c}" for c in fields), "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs, names = Runs(), ["key", "sim", "id", "first_sim", "first_id", "n"]
+        runs = Runs()
         for batch in batches:
             if batch.num_rows:
-                for found in runs.add([batch.column(c).to_numpy() for c in ("key", "sim", "id")]):
+                for found in runs.add([batch.column(c).to_numpy() for c in ("key", *fields)]):
                     yield pa.record_batch([pa.array(c) for c in found], names=names)
         for found in runs.end():
             yield pa.record_batch([pa.array(c) for c in found], names=names)
 
-    ordered = keyed.repartition("key").sortWithinPartitions("key", "sim", "id")
-    found = ordered.mapInArrow(run, "key long, sim long, id long, first_sim long, first_id long, n int")
-    item = F.struct("sim", "id").alias("item")
-    first = F.struct(F.col("first_sim").alias("sim"), F.col("first_id").alias("id")).alias("first")
-    return found.select("key", item, first, "n").filter((F.col("n") > 2) | near(F.col("first"), F.col("item")))
+    ordered = keyed.repartition("key").sortWithinPartitions("key", *fields)
+    found = ordered.mapInArrow(run, ", ".join(f"{c} long" for c in names[:-1]) + ", n int")
+    item = F.struct(*fields).alias("item")
+    first = F.struct(*(F.col(f"first_{c}").alias(c) for c in fields)).alias("first")
+    return found.select("key", item, first, "n").filter(
+        (F.col("n") > 2) | near(F.col("first"), F.col("item"), F.col("key"))
+    )
 
 
 def labels(star: DataFrame) -> DataFrame:
@@ -111,9 +117,9 @@ def labels(star: DataFrame) -> DataFrame:
 
 def bucket_links(
     keyed: DataFrame,
-    near: Near,
+    near: Near | None,
     verify: Callable[[DataFrame], DataFrame] = lambda pairs: pairs,
-    firsts: Callable[[DataFrame, Near], DataFrame] = firsts,
+    near_by: NearBy | None = None,
 ) -> DataFrame:
     """``(a, b)``, a < b: verified links whose connected components are those of all verified pairs.
 
@@ -121,20 +127,31 @@ def bucket_links(
     ``verify`` (a frame of pairs to the frame of those that hold). In each bucket the items near its
     smallest one are hung on that. Then only pairs are looked at of which one was not hung there and
     whose labels differ, so a bucket of copies costs a link per member, while no two items that some
-    pair joins stay apart. ``firsts`` finds the first items of buckets and may expect other columns.
+    pair joins stay apart.
+
+    With ``near_by`` nearness may depend on the key as well, ``keyed`` is flat with an ``id`` of its own for each
+    item (see ``sorted_firsts``), and a label is the component of what was hung, not only two links of it.
     """
     scratch = Scratch(keyed.sparkSession, "buckets")
-    rows = scratch.keep(firsts(keyed, near))
-    hung = rows.filter((F.col("item") != F.col("first")) & near(F.col("first"), F.col("item")))
+    close = near_by or (lambda a, b, _: near(a, b))
+    rows = scratch.keep(sorted_firsts(keyed, near_by) if near_by else firsts(keyed, near))
+    hung = rows.filter((F.col("item") != F.col("first")) & close(F.col("first"), F.col("item"), F.col("key")))
     tried = scratch.keep(hung.select(F.col("first").alias("a"), F.col("item").alias("b")).distinct())
     star = scratch.keep(verify(tried).select("a", "b"))
     # A bucket of two has been tried.
-    open_rows = rows.filter("n > 2").join(labels(star), "item", "left")
+    open_rows = rows.filter("n > 2")
+    if near_by:
+        joined = components(star.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")), "a", "b")
+        joined = joined.select(F.col("node").alias("label_of"), F.col("component").alias("label"))
+        open_rows = open_rows.join(joined, F.col("item.id") == F.col("label_of"), "left").drop("label_of")
+        alone = F.col("item.id")
+    else:
+        open_rows, alone = open_rows.join(labels(star), "item", "left"), F.col("item")
     held = star.select(F.col("a").alias("first"), F.col("b").alias("item"), F.lit(True).alias("hung"))
     open_rows = open_rows.join(held, ["first", "item"], "left").select(
         "key",
         "item",
-        F.coalesce("label", "item").alias("label"),
+        F.coalesce("label", alone).alias("label"),
         F.coalesce("hung", F.col("item") == F.col("first")).alias("hung"),
     )
     open_rows = scratch.keep(open_rows)
@@ -144,7 +161,7 @@ def bucket_links(
         (left["key"] == right["key"])
         & (F.col("x_label") < F.col("y_label"))
         & ~(F.col("x_hung") & F.col("y_hung"))
-        & near(F.col("x"), F.col("y"))
+        & close(F.col("x"), F.col("y"), left["key"])
     )
     across = left.join(right, apart).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     rest = scratch.keep(verify(across.join(tried, ["a", "b"], "left_anti")).select("a", "b"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
@@ -11,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from millrace.llm import flatgraph, lines, neighbours, simhash
+from millrace.llm import buckets, flatgraph, lines, neighbours, simhash
 from millrace.llm.buckets import bucket_links
 from millrace.llm.components import components
 from millrace.llm.queries import QUERIES, op1_neighbours, op7_simhash, op9_flatgraph
@@ -265,17 +266,11 @@ def test_lines_all_exact_repeats_go_and_nothing_unlike(spark):
 
 def test_near_lines_of_a_table_meet(spark):
     """Brute force over all distinct lines of sf0.001: nine in ten near pairs at least are joined."""
-    from millrace.llm.components import components
-
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     table = lines.line_table(docs, "doc_id", "text")
-    distinct = table.groupBy("id").agg(F.min("sim").alias("sim"), F.min("runs").alias("runs"), F.min("words").alias("words")).cache()
-    links = buckets.bucket_links(
-        lines._keys(distinct),
-        lambda a, b: F.bit_count(a["sim"].bitwiseXOR(b["sim"])) <= lines.MAX_BITS,
-        lines._verified(table, 0.8),
-        buckets.sorted_firsts,
-    ).select(F.col("a.id").alias("x"), F.col("b.id").alias("y"))
+    distinct = table.groupBy("id").agg(F.min("sim").alias("sim"), F.min("runs").alias("runs"), F.min("words").alias("words"), F.min("size").alias("size")).cache()
+    assert distinct.filter("size != char_length(words)").count() == 0
+    links = bucket_links(lines._keys(distinct), None, lines._verified(table, 0.8), lines._near()).select(F.col("a.id").alias("x"), F.col("b.id").alias("y"))
     group = {r["node"]: r["component"] for r in components(links, "x", "y").collect()}
     rows = sorted(((r["words"], r["id"]) for r in distinct.collect()), key=lambda r: len(r[0]))
     pairs, bags = [], [Counter(words) for words, _ in rows]
