@@ -28,6 +28,17 @@ SEED = 7
 # Names that secrets are given, and parts of paths where they are made up.
 SECRET_NAMES = r"(?i)(token|secret|passw|passwd|pwd|api.?key|access.?key|auth|credential|private)"
 SAMPLE_PATHS = r"(?i)(test|mock|example|sample|fixture|doc|vendor)"
+# Shapes that keys of well-known makers and signed tokens have.
+KEY_SHAPES = (
+    r"^(AKIA|ASIA)[0-9A-Z]{16}$",
+    r"^gh[pousr]_[A-Za-z0-9]{36,}$",
+    r"^(sk|pk|rk)_(live|test)_[A-Za-z0-9]{16,}$",
+    r"^xox[abprs]-[A-Za-z0-9-]{10,}$",
+    r"^AIza[A-Za-z0-9_-]{35}$",
+    r"^eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*$",
+)
+# A text of letters or dotted parts counts as made of words from this share of dictionary words on.
+WORDY = 0.5
 CORE = r"[A-Za-z0-9+/_=.\-]{%d,}"
 UNSEEN = -9.0
 
@@ -69,7 +80,7 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``(word, n)``: words of letters in lower case, counted over all texts."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     words = docs.select(F.explode(F.split(F.lower(text), r"[^\p{L}]+")).alias("word"))
-    return words.filter(F.length("word").between(1, 40)).groupBy("word").agg(F.count("*").alias("n"))
+    return words.filter(F.col("word") != "").groupBy("word").agg(F.count("*").alias("n"))
 
 
 def dictionary(counts: DataFrame, size: int = DICTIONARY_WORDS) -> DataFrame:
@@ -91,25 +102,34 @@ def transitions(counts: DataFrame) -> DataFrame:
 
 
 def _pairs(df: DataFrame, keep: str, letters: str) -> DataFrame:
-    at = F.sequence(F.lit(1), F.length(letters) - 1)
-    some = df.filter(F.length(letters) > 1)
-    return some.select(keep, F.explode(F.transform(at, lambda i: F.substring(F.col(letters), i, F.lit(2)))).alias("pair"))
+    """A row per letter and the one after it. Letters are looked up in an array, so the work is linear."""
+    some = df.filter(F.length(letters) > 1).select(keep, F.split(letters, "").alias("chars"))
+    at = F.sequence(F.lit(1), F.size("chars") - 1)
+    both = F.transform(at, lambda i: F.concat(F.get("chars", i - 1), F.get("chars", i)))
+    return some.select(keep, F.explode(both).alias("pair")).filter(F.length("pair") == 2)
 
 
 def _of_values(values: DataFrame, words: DataFrame, likely: DataFrame) -> DataFrame:
-    """``(value, transitions, coverage)`` per distinct candidate; both tables are small by their bounds."""
-    shown = values.select("value", F.regexp_replace(F.lower("value"), "[^a-z0-9]", "~").alias("letters"))
-    pairs = _pairs(shown, "value", "letters").join(F.broadcast(likely), "pair", "left")
-    mean = pairs.groupBy("value").agg(F.avg(F.coalesce("likely", F.lit(UNSEEN))).alias("transitions"))
+    """``(value, transitions, coverage)`` per distinct candidate; both tables are small by their bounds.
+
+    Rows per letter carry a value's 64-bit hash and not the value, and at most the longest word's letters,
+    so the work is linear in a candidate's length.
+    """
+    known = values.withColumn("vid", F.xxhash64("value"))
+    shown = known.select("vid", F.regexp_replace(F.lower("value"), "[^a-z0-9]", "~").alias("letters"))
+    pairs = _pairs(shown, "vid", "letters").join(F.broadcast(likely), "pair", "left")
+    mean = pairs.groupBy("vid").agg(F.avg(F.coalesce("likely", F.lit(UNSEEN))).alias("transitions"))
     low, high = WORD_LENGTHS
-    starts = shown.select("value", "letters", F.explode(F.sequence(F.lit(1), F.length("letters"))).alias("start"))
-    parts = starts.select("value", "start", F.explode(F.sequence(F.lit(low), F.lit(high))).alias("size"), "letters")
-    parts = parts.filter(F.col("start") + F.col("size") - 1 <= F.length("letters"))
-    parts = parts.withColumn("word", F.expr("substr(letters, start, size)")).filter(F.col("word").rlike("^[a-z]+$"))
+    chars = shown.select("vid", F.split("letters", "").alias("chars"))
+    ahead = F.transform(F.sequence(F.lit(1), F.size("chars")), lambda i: F.array_join(F.slice("chars", i, high), ""))
+    starts = chars.select("vid", F.posexplode(ahead).alias("start", "ahead"))
+    starts = starts.select("vid", "start", F.regexp_extract("ahead", "^[a-z]+", 0).alias("ahead")).filter(F.length("ahead") >= low)
+    parts = starts.select("vid", "start", "ahead", F.explode(F.sequence(F.lit(low), F.length("ahead"))).alias("size"))
+    parts = parts.select("vid", "start", "size", F.expr("substr(ahead, 1, size)").alias("word"))
     hit = parts.join(F.broadcast(words.select("word")), "word")
-    covered = hit.select("value", F.explode(F.sequence("start", F.col("start") + F.col("size") - 1)).alias("at")).distinct()
-    covered = covered.groupBy("value").agg(F.count("*").alias("covered"))
-    both = values.join(mean, "value", "left").join(covered, "value", "left")
+    covered = hit.select("vid", F.explode(F.sequence("start", F.col("start") + F.col("size") - 1)).alias("at")).distinct()
+    covered = covered.groupBy("vid").agg(F.count("*").alias("covered"))
+    both = known.join(mean, "vid", "left").join(covered, "vid", "left")
     share = F.coalesce("covered", F.lit(0)) / F.length("value")
     return both.select("value", F.coalesce("transitions", F.lit(UNSEEN)).alias("transitions"), share.alias("coverage"))
 
@@ -149,15 +169,24 @@ def with_features(found: DataFrame, words: DataFrame, likely: DataFrame) -> Data
 def seed_labels(featured: DataFrame) -> DataFrame:
     """Adds ``label``: 1 and 0 for findings that their form alone settles, null for the others.
 
-    1: at least 32 hexadecimal digits, digits and letters mixed, quoted and assigned to a secret's
-    name. 0: letters only, digits only, or dotted words (hosts and files). These stand in for
-    findings labelled by hand, which ``train`` takes just the same.
+    1: a known key shape; or quoted, assigned to a secret's name and either 32 hexadecimal digits or more
+    with digits and letters mixed, or 24 characters or more with digits, capitals and small letters mixed
+    and few dictionary words. 0: digits only; at most three different characters; letters only or dotted parts (hosts and files), as far as
+    dictionary words cover half of them. Letters that no words cover, dotted parts of that kind and all
+    else have no label. These stand in for findings labelled by hand, which ``train`` takes just the same.
     """
     value = F.col("value")
-    hex_digits = value.rlike("^[0-9a-f]{32,}$") & value.rlike("[0-9]") & value.rlike("[a-f]")
-    sure = hex_digits & (F.col("quoted") == 1) & (F.col("assigned") == 1) & (F.col("named") == 1)
-    clear = value.rlike("^[A-Za-z]+$") | value.rlike("^[0-9]+$") | value.rlike(r"^[A-Za-z0-9_\-]+(\.[A-Za-z0-9_\-]+)+\.?$")
-    return featured.withColumn("label", F.when(sure, 1).when(clear, 0))
+    shaped = F.lit(False)
+    for pattern in KEY_SHAPES:
+        shaped = shaped | value.rlike(pattern)
+    has = lambda pattern: value.rlike(pattern)
+    hex_digits = has("^[0-9A-Fa-f]{32,}$") & has("[0-9]") & has("[A-Fa-f]")
+    mixed = has(r"^[A-Za-z0-9+/_=\-]{24,}$") & has("[0-9]") & has("[A-Z]") & has("[a-z]") & (F.col("coverage") < WORDY)
+    said = (F.col("quoted") == 1) & (F.col("assigned") == 1) & (F.col("named") == 1)
+    dotted = has("^[A-Za-z]+$") | has(r"^[A-Za-z0-9_\-]+(\.[A-Za-z0-9_\-]+)+\.?$")
+    rule = F.col("variety") * F.col("length") < 3.5  # a ruler or filler of up to three characters
+    clear = has("^[0-9]+$") | rule | (dotted & (F.col("coverage") >= WORDY))
+    return featured.withColumn("label", F.when(shaped | (said & (hex_digits | mixed)), 1).when(clear, 0))
 
 
 def train(labelled: DataFrame, max_labelled: int = MAX_LABELLED):
