@@ -19,8 +19,11 @@ from pyspark.sql import functions as F
 from millrace.llm.common import Scratch
 
 POINTS = 64
-# An arc's rows are numbered in so many cells, so an arc with a hot text is spread over tasks.
+# Rows are numbered in so many sections of the ring at once, and those of a hot text in so many cells.
+SECTION_BITS = 16
 CELLS = 256
+# A text with more than this share of all rows is hot, so fewer than 1,000 are.
+HOT_SHARE = 1 / 1000
 PREFIX_BITS = 12
 
 
@@ -98,7 +101,8 @@ def shard_rows(
     ``slot`` the row's place in its shard, gapless from 0. Without ``slack`` row counts of shards are
     at most one apart; with it a shard holds at most ``ceil((1 + slack) * rows / shards)`` rows and
     fewer rows move when a shard is added. Null text counts as empty. Rows that repeat are placed as
-    often as they occur, equal texts side by side while their shard has room, ties by id. A null id
+    often as they occur, equal texts side by side, so that only a shard that fills up or a way round the ring
+    parts them; ties by id (a hot text's rows are ordered by a hash of the id first). A null id
     is kept; other columns are ignored; an empty table gives no rows.
     """
     scratch = Scratch(docs.sparkSession, "shards")
@@ -110,17 +114,26 @@ def shard_rows(
         F.xxhash64(text).alias("position"),
     )
     spots = ring(shards, points)
-    cell = F.pmod(F.xxhash64("id", "crc"), F.lit(CELLS)).cast("int")
-    marked = scratch.keep(_arc(hashed, F.col("position"), spots).withColumn("cell", cell))
-    cells = scratch.keep(marked.groupBy("arc", "cell").agg(F.count("*").alias("n")))
+    marked = scratch.keep(_arc(hashed, F.col("position"), spots))
+    total = marked.count()
+    texts = marked.groupBy("position").agg(F.count("*").alias("n")).filter(F.col("n") > total * HOT_SHARE)
+    hot = docs.sparkSession.createDataFrame([(r["position"],) for r in texts.collect()], "hot long")
+    marked = marked.join(F.broadcast(hot), F.col("position") == F.col("hot"), "left")
+    cell = F.when(F.col("hot").isNotNull(), F.pmod(F.xxhash64("id", "crc"), F.lit(CELLS)).cast("int")).otherwise(-1)
+    # The first arc also takes what lies behind the last point; that comes first on the way round.
+    turned = (F.col("position") <= spots[0][0]).cast("int")
+    section = F.shiftright("position", 64 - SECTION_BITS)
+    keys = ["arc", "turned", "section", "spot", "cell"]
+    marked = marked.select("*", turned.alias("turned"), section.alias("section"), F.coalesce("hot", F.lit(-(1 << 63))).alias("spot"), cell.alias("cell"))
+    cells = scratch.keep(marked.groupBy(*keys).agg(F.count("*").alias("n")))
     counts = {r["arc"]: r["n"] for r in cells.groupBy("arc").agg(F.sum("n").alias("n")).collect()}
     runs = walk(spots, counts, capacities(sum(counts.values()), shards, slack))
     plan = docs.sparkSession.createDataFrame(runs, "arc int, first long, end long, shard int, slot_from long")
-    earlier = F.sum("n").over(Window.partitionBy("arc").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = cells.select("arc", "cell", F.coalesce(earlier, F.lit(0)).alias("before"))
-    rank = F.row_number().over(Window.partitionBy("arc", "cell").orderBy("position", "id", "crc", "size"))
+    earlier = F.sum("n").over(Window.partitionBy("arc").orderBy(*keys[1:]).rowsBetween(Window.unboundedPreceding, -1))
+    offsets = cells.select(*keys, F.coalesce(earlier, F.lit(0)).alias("before"))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("position", "crc", "size", "id"))
     ranked = (
-        marked.withColumn("rank", rank).join(offsets, ["arc", "cell"])
+        marked.withColumn("rank", rank).join(offsets, keys)
         .withColumn("rank", F.col("before") + F.col("rank") - 1)
     )
     run = (ranked["arc"] == plan["arc"]) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("end"))
