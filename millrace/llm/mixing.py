@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from millrace.llm.common import Scratch, free_name
 
 PERIOD = 2048
-# Sources beyond the largest ones share one weight, so that the plan has a bound.
-MAX_SOURCES = 128
+# Sources beyond the largest ones share one weight, so that the driver's plan has a bound.
+MAX_SOURCES = 1024
 BLOCK_ROWS = 16
 BUCKET_ROWS = 1_000_000
 TEMPERATURE = 0.5
@@ -120,12 +120,17 @@ def phases(blocks: dict[str, int], weights: dict[str, float], period: int = PERI
     return plan
 
 
-def _slots_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for start, end, parts in zip(batch["start"], batch["end"], batch["parts"]):
-            slots = schedule({p["s"]: int(p["quota"]) for p in parts})
-            rows = [(p["s"], p["first"] + k, start + at) for p in parts for k, at in enumerate(slots[p["s"]]) if at < end]
-            yield pd.DataFrame(rows, columns=["p_share", "p_block", "p_slot"])
+def _slots_of(names: list[str]):
+    """Periods to rows of ``names``: share, block, slot."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for start, end, parts in zip(batch["start"], batch["end"], batch["parts"]):
+                slots = schedule({p["s"]: int(p["quota"]) for p in parts})
+                rows = [(p["s"], p["first"] + k, start + at) for p in parts for k, at in enumerate(slots[p["s"]]) if at < end]
+                yield pd.DataFrame(rows, columns=names)
+
+    return run
 
 
 def mixed(
@@ -154,7 +159,9 @@ def mixed(
     """
     scratch = Scratch(docs.sparkSession, "mixing")
     spark, n = docs.sparkSession, {c: free_name(docs, c) for c in ("block", "slot", "in_block", "share")}
-    own = {c: free_name(docs, c) for c in ("mix_hash", "mix_bucket", "mix_rank", "mix_before", "mix_source", "mix_share")}
+    inner = ("hash", "bucket", "rank", "before", "source", "share", "plan_share", "plan_block", "plan_slot")
+    own = {f"mix_{c}": free_name(docs, f"mix_{c}") for c in inner}
+    planned = [own[f"mix_plan_{c}"] for c in ("share", "block", "slot")]
     source = F.concat(F.lit("s"), F.col(source_col).cast("string"))
     source = F.coalesce(source, F.lit("null"))
     largest = docs.groupBy(source.alias("s")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "s").limit(MAX_SOURCES)
@@ -181,7 +188,8 @@ def mixed(
     dealt = spark.createDataFrame(
         list(turns(blocks, given, period)), "start long, end int, parts array<struct<s: string, first: long, quota: int>>"
     )
-    plan = scratch.keep(dealt.mapInPandas(_slots_of, "p_share string, p_block long, p_slot long"))
+    kinds = ", ".join(f"{c} {t}" for c, t in zip(planned, ("string", "long", "long")))
+    plan = scratch.keep(dealt.mapInPandas(_slots_of(planned), kinds))
     keys = [own["mix_share"], own["mix_bucket"]]
     counts = scratch.keep(placed.groupBy(*keys).agg(F.count("*").alias("n")))
     before = F.sum("n").over(Window.partitionBy(keys[0]).orderBy(keys[1]).rowsBetween(Window.unboundedPreceding, -1))
@@ -190,8 +198,8 @@ def mixed(
     ranked = placed.withColumn(own["mix_rank"], rank).join(offsets, keys)
     number = F.col(own["mix_before"]) + F.col(own["mix_rank"]) - 1
     ranked = ranked.withColumn(n["block"], F.floor(number / block_rows)).withColumn(n["in_block"], (number % block_rows).cast("int"))
-    at = (F.col(own["mix_share"]) == F.col("p_share")) & (F.col(n["block"]) == F.col("p_block"))
-    slotted = ranked.join(plan, at).withColumn(n["slot"], F.col("p_slot"))
+    at = (F.col(own["mix_share"]) == F.col(planned[0])) & (F.col(n["block"]) == F.col(planned[1]))
+    slotted = ranked.join(plan, at).withColumn(n["slot"], F.col(planned[2]))
     share = F.when(F.col(own["mix_share"]) != "rest", F.expr(f"substr({own['mix_share']}, 2)"))
     share = F.when(F.col(own["mix_share"]) == "null", F.lit(None)).otherwise(share)
     slotted = slotted.withColumn(n["share"], share)

@@ -1,6 +1,6 @@
 """Quality by nearest-neighbour voting among labelled latent-semantic vectors.
 
-A text is a bag of terms: its words, the shape of each word (``Word,`` has the shape ``Aa,``), and a
+A text is a bag of terms: its words (a run of over ``PIECE`` characters is cut), the shape of each word (``Word,`` has the shape ``Aa,``), and a
 term for each word that repeats the one before. Terms are hashed to ``TERMS`` columns, weighted by
 the root of their share and by how rare they are, and projected on the leading singular vectors of
 the labelled texts. A document's score is the vote of its nearest labelled vectors, each weighted by
@@ -32,12 +32,23 @@ MAX_LABELLED = 3000
 SHARPNESS = 8
 CACHE_WORDS = 200_000
 
+# Longer runs without a space (scripts that write none, encoded data) count as successive pieces of this length.
+PIECE = 64
+
 _RUNS = re.compile(r"(.)\1+", re.S)
 
 
+def words_of(text: str | None) -> list[str]:
+    """Words of a whole text, long ones in pieces."""
+    words = (text or "").split()
+    if any(len(w) > PIECE for w in words):
+        return [w[i : i + PIECE] for w in words for i in range(0, len(w), PIECE)]
+    return words
+
+
 def shape(word: str) -> str:
     """Case and punctuation of a word: letters as ``A`` or ``a``, digits as ``0``, runs as one."""
-    kinds = ("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:64])
+    kinds = ("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
     return _RUNS.sub(r"\1", "".join(kinds))
 
 
@@ -45,20 +56,20 @@ class WordTerms(dict):
     """The two columns of a word, remembered for the commonest words."""
 
     def __missing__(self, word: str) -> tuple[int, int]:
-        bare = "".join(c for c in word.lower() if c.isalpha())[:64]
+        bare = "".join(c for c in word.lower() if c.isalpha())
         half = TERMS // 2
         pair = (
             zlib.crc32(f"w {bare}".encode("utf-8", "replace")) % half,
             half + zlib.crc32(f"s {shape(word)}".encode("utf-8", "replace")) % (half - 1),
         )
-        if len(self) < CACHE_WORDS and len(word) < 64:
+        if len(self) < CACHE_WORDS:
             self[word] = pair
         return pair
 
 
 def term_vector(text: str | None, columns: WordTerms) -> np.ndarray:
     """Root of each term's share in a whole text; the last column is for repeated words."""
-    words = (text or "").split()
+    words = words_of(text)
     out = np.zeros(TERMS, dtype=np.float32)
     if not words:
         return out
