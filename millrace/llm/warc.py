@@ -177,7 +177,12 @@ class WarcReader(DataSourceReader):
                 continue
             payload, size = None, None
             if headers.get("content-type", "").startswith("application/http"):
-                payload, size = self.http_payload(lines.take(length), columns, "response" in headers["warc-type"])
+                head = lines.take_to(b"\r\n\r\n", length)
+                wanted = self.payload and "response" in headers["warc-type"]
+                body = lines.take(length - len(head)) if wanted else None
+                if body is None:
+                    lines.skip(length - len(head))
+                payload, size = self.http_payload(head, body, columns)
             elif self.payload:
                 payload = lines.take(length)
                 size = len(payload)
@@ -186,16 +191,21 @@ class WarcReader(DataSourceReader):
             lines.skip(4)
             yield (*columns.values(), size, length, list(headers.items()), payload)
 
-    def http_payload(self, block: bytes, columns: dict, whole: bool) -> tuple[bytes | None, int | None]:
-        head, _, body = block.partition(b"\r\n\r\n")
+    def http_payload(self, head: bytes, body: bytes | None, columns: dict) -> tuple[bytes | None, int | None]:
+        """The decoded body, which is the payload, and its length; of a body not taken only what the head says.
+
+        A payload digest covers the body as it is stored, encoded or not; records of this writer, known by
+        ``X-Payload-Length``, have the digest of the decoded body, which is the same for every encoding.
+        """
         fields = _fields(head.split(b"\r\n")[1:])
-        size = int(fields["x-payload-length"]) if "x-payload-length" in fields else None
-        if not whole or not self.payload:
-            return None, size
+        own = "x-payload-length" in fields
+        if body is None:
+            return None, int(fields["x-payload-length"]) if own else None
+        stored = body
         if fields.get("content-encoding") == "gzip":
             body = zlib.decompress(body, wbits=31)
         digest = columns["payload_digest"]
-        if self.verify and digest and base64.b32encode(hashlib.sha1(body).digest()).decode() != digest:
+        if self.verify and digest and base64.b32encode(hashlib.sha1(body if own else stored).digest()).decode() != digest:
             raise ValueError(f"record {columns['record_id']} does not have its payload's digest")
         return body, len(body)
 
@@ -243,6 +253,15 @@ class _Lines:
             raise ValueError("the archive ends inside a record")
         return out
 
+    def take_to(self, end: bytes, most: int) -> bytes:
+        """Bytes up to and with the first ``end``, or ``most`` of them where it does not come."""
+        while (found := self.buffer.find(end, self.at, self.at + most)) < 0 and len(self.buffer) - self.at < most:
+            more = self.file.read(1 << 16)
+            if not more:
+                raise ValueError("the archive ends inside a record")
+            self.buffer, self.at = self.buffer[self.at :] + more, 0
+        return self.take(most if found < 0 else found + len(end) - self.at)
+
     def skip(self, n: int) -> None:
         have = min(n, len(self.buffer) - self.at)
         self.at += have
