@@ -34,6 +34,8 @@ PART_ROWS = 2048
 NEAREST, RANDOM, REACHED = 48, 24, 6
 AUDIT_ROWS = 256
 TARGET_RECALL = 0.99
+# After the last attempt less than this is an error.
+LEAST_RECALL = 0.9
 ATTEMPTS = 3
 SEED = 20240502
 
@@ -335,8 +337,12 @@ def near_duplicates(
         linked = scratch.keep(_linked(scratch, vertices, dimension, total, threshold, overlap << attempt, beam << attempt))
         counts = scratch.keep(linked.groupBy("id").agg(F.sum("links").alias("links")))
         hooks = linked.select("id", "root")
-        if _audited(vertices, counts, dimension, threshold) >= TARGET_RECALL:
+        recall = _audited(vertices, counts, dimension, threshold)
+        if recall >= TARGET_RECALL:
             break
+    else:
+        if total and recall < LEAST_RECALL:
+            raise RuntimeError(f"the audit found {recall:.3f} of the links after {ATTEMPTS} attempts: raise overlap or beam")
     ids = df.select(F.col(id_col).cast("long").alias("id"))
     if not total:
         return ids.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
