@@ -7,6 +7,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from functools import cache
@@ -172,6 +173,14 @@ def test_votes_match_brute_force():
         assert got[row] == pytest.approx((weight * labels[near]).sum() / weight.sum(), abs=1e-6)
 
 
+def test_unspaced_texts_count_as_a_whole():
+    a, b = "x" * 64 + "abc" * 50, "x" * 64 + "QR7" * 50
+    columns = quality.WordTerms()
+    assert (quality.term_vector(a, columns) != quality.term_vector(b, columns)).any()
+    assert "".join(quality.words_of(a)) == a and max(map(len, quality.words_of(a))) == quality.PIECE
+    assert quality.words_of("one two") == ["one", "two"] and quality.words_of(None) == []
+
+
 def test_quality_odd_rows(spark):
     good = [(i, f"The house of the river was old, and number {i} stood near it.") for i in range(10, 40)]
     bad = [(i, "spam!! spam!! spam!! " * (i % 5 + 1)) for i in range(50, 70)]
@@ -264,6 +273,48 @@ def test_unwanted_blocks_are_not_decoded(tmp_path):
         read()
 
 
+def foreign_record(name, body, digest_of, head=b"Content-Encoding: gzip\r\n"):
+    block = b"HTTP/1.1 200 OK\r\n" + head + b"\r\n" + body
+    digest = base64.b32encode(hashlib.sha1(digest_of).digest()).decode()
+    lines = f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <{name}>\r\nWARC-Payload-Digest: sha1:{digest}\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: {len(block)}\r\n\r\n"
+    return lines.encode() + block + b"\r\n\r\n"
+
+
+def test_archives_of_other_writers(tmp_path):
+    """Their digests cover the body as stored."""
+    html = b"<p>" + b"page " * 50_000
+    packed = zlib.compress(html, 6, wbits=31)
+    data = foreign_record("a", packed, packed) + foreign_record("b", html, html, b"") + foreign_record("c", b"", b"", b"")
+    (tmp_path / "x.warc").write_bytes(data)
+    read = lambda **o: [r for p in warc.WarcReader({"path": f"file://{tmp_path}", **o}).partitions() for b in warc.WarcReader({"path": f"file://{tmp_path}", **o}).read(p) for r in b.to_pylist()]
+    assert [(r["record_id"], r["payload"], r["payload_bytes"]) for r in read()] == [("a", html, len(html)), ("b", html, len(html)), ("c", b"", 0)]
+    assert [(r["record_id"], r["payload"], r["payload_bytes"]) for r in read(payload="false")] == [(n, None, None) for n in "abc"]
+    (tmp_path / "x.warc").write_bytes(foreign_record("a", packed, html))
+    with pytest.raises(ValueError, match="digest"):
+        read()
+
+
+def test_heads_are_read_without_their_bodies(tmp_path):
+    big = b"z" * 3_000_000
+    (tmp_path / "x.warc").write_bytes(foreign_record("a", big, big, b"") + foreign_record("b", big, big, b""))
+    taken = []
+
+    class Counting:
+        def __init__(self, file):
+            self.file = file
+
+        def read(self, n):
+            taken.append(n)
+            return self.file.read(n)
+
+        def seek(self, *where):
+            return self.file.seek(*where)
+
+    with (tmp_path / "x.warc").open("rb") as file:
+        rows = list(warc.WarcReader({"path": f"file://{tmp_path}", "payload": "false"}).records(Counting(file)))
+    assert [r[0] for r in rows] == ["a", "b"] and sum(taken) < 500_000
+
+
 def test_damaged_payload_is_an_error(tmp_path):
     row = dict(record_id="urn:page:1", record_type="response", target_uri="u", refers_to=None, payload=b"abc", payload_sha1=hashlib.sha1(b"abd").hexdigest())
     (tmp_path / "x.warc").write_bytes(warc.record_bytes(row))
@@ -327,6 +378,67 @@ def test_forest_tells_secrets_held_out(spark):
     assert np.mean([rest[k] == want[k] for k in want]) >= 0.98
 
 
+def key_of(kind, rng):
+    def of(letters, n):
+        return "".join(rng.choices(letters, k=n))
+
+    small, large, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    every = small + large + digits
+    return {
+        "hex": of(digits + "abcdef", 40),
+        "cloud": "AKIA" + of(large + digits, 16),
+        "forge": "ghp_" + of(every, 36),
+        "signed": f"eyJ{of(every, 20)}.eyJ{of(every, 40)}.{of(every, 43)}",
+        "base64": of(every + "+/", 41) + "Q7b=",
+    }[kind]
+
+
+def test_secrets_of_five_shapes_are_told_from_decoys(spark):
+    """Trained on two thirds of the documents, tested on the others."""
+    rng = random.Random(12)
+    prose = "the house of the river was old and the people who lived near it were many and quiet about their work".split()
+    kinds, docs, planted, decoys = ["hex", "cloud", "forge", "signed", "base64"], [], {}, {}
+    for doc in range(450):
+        words = rng.choices(prose, k=40)
+        long = "".join(rng.choices(prose, k=5))
+        host = ".".join(rng.choices(prose, k=5)) + ".html"
+        words[7], words[21], words[30] = long, host, "".join(rng.choices("0123456789", k=18))
+        decoys[doc] = [long, host, words[30]]
+        if doc % 2:
+            planted[doc] = (kind := kinds[doc // 2 % 5]), key_of(kind, rng)
+            name = rng.choice(["token", "api_key", "password", "secret"])
+            words[33] = f'{name} = "{planted[doc][1]}"' if doc % 4 == 1 else f'{name}="{planted[doc][1]}"'
+        docs.append((doc, " ".join(words)))
+    fold = lambda df: secrets.seed_labels(df).withColumn("label", F.when(F.col("doc") % 3 != 1, F.col("label")))
+    rows = secrets.scan(docs_of(spark, docs, "src/app.py"), fold).filter("doc % 3 = 1").collect()
+    kept = defaultdict(set)
+    for r in rows:
+        if r["kept"]:
+            kept[r["doc"]].add(r["value"])
+    for kind in kinds:
+        own = [d for d, (k, _) in planted.items() if k == kind and d % 3 == 1]
+        found = [any(planted[d][1].rstrip("=") in v for v in kept[d]) for d in own]
+        assert len(own) >= 10 and np.mean(found) >= 0.9, (kind, np.mean(found))
+    wrong = [v for d, values in kept.items() for v in values if v in decoys[d]]
+    assert len(wrong) <= 0.02 * sum(len(v) for d, v in decoys.items() if d % 3 == 1)
+
+
+def test_a_very_long_candidate_takes_no_longer_than_its_length(spark):
+    docs = docs_of(spark, [(1, "data " + "QmFzZTY0dGhlaG91c2U" * 50_000), (2, "the house of the house")])
+    start = time.monotonic()
+    rows = secrets.scan(docs).collect()
+    assert [len(r["value"]) for r in rows] == [950_000] and time.monotonic() - start < 120
+
+
+def test_unclear_forms_have_no_label(spark):
+    signed = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.c2lnbmF0dXJlc2lnbmF0dXJl"
+    texts = [(1, f'token = "{signed}"'), (2, "qwxzvbkjhqwxzvbkjh"), (3, "thehouseofthehouse"), (4, "qzx.wvk.qqzxkvb.xzq"), (5, "the.house.of.the.house")]
+    docs = docs_of(spark, [*texts, (9, "the house of the " * 9)])
+    counts = secrets.word_counts(docs.filter("doc_id = 9"))
+    featured = secrets.with_features(secrets.findings(docs), secrets.dictionary(counts), secrets.transitions(counts))
+    assert {r["doc"]: r["label"] for r in secrets.seed_labels(featured).collect()} == {1: 1, 2: None, 3: 0, 4: None, 5: 0}
+
+
 def test_secret_scan_odd_rows(spark):
     docs = docs_of(spark, [*ODD, (6, "x" * 5000), (6, "x" * 5000)], None)
     rows = secrets.scan(docs).collect()
@@ -409,6 +521,31 @@ def test_mixing_given_weights_and_odd_rows(spark):
     assert mixing.mixed(docs.filter("false"))[0].count() == 0
 
 
+def test_200_sources_keep_the_weights_given(spark):
+    """One source has 100 of 299 parts, 199 have one each: every prefix holds its share."""
+    weights = {f"s{i:03}": 100.0 if i == 0 else 1.0 for i in range(200)}
+    n = 6000
+    blocks = {s: round(w / 299 * n) for s, w in weights.items()}
+    taken = sorted((start + at, s) for s, first, end, start, _, slots in mixing.phases(blocks, weights) for at in slots[: end - first])
+    seen = Counter()
+    for slot, s in taken[: int(0.9 * n)]:
+        seen[s] += 1
+        assert abs(seen["s000"] - 100 / 299 * (slot + 1)) < 2
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % 200).alias("source"))
+    placed, names = mixing.mixed(docs, {f"s{i}": 100.0 if i == 0 else 1.0 for i in range(200)}, block_rows=1)
+    first = placed.filter("source = 's0'").agg(F.max(names["slot"])).first()[0]
+    assert placed.filter("share IS NULL").count() == 0 and first < 70
+
+
+def test_mixing_beside_columns_of_its_own_names(spark):
+    names = ["block", "slot", "in_block", "share", "p_slot", "p_share", "p_block", "mix_plan_slot", "MIX_PLAN_SHARE", "mix_hash", "n"]
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.lit("a").alias("source"), *[F.lit(i).alias(c) for i, c in enumerate(names)])
+    placed, added = mixing.mixed(docs, block_rows=4)
+    assert placed.columns[: len(docs.columns)] == docs.columns and placed.count() == 40
+    assert Counter(r[added["slot"]] for r in placed.collect()) == dict.fromkeys(range(10), 4)
+    assert mixing.in_mixed_order(docs, block_rows=4).columns == docs.columns
+
+
 def test_many_sources_share_a_weight(spark, monkeypatch):
     monkeypatch.setattr(mixing, "MAX_SOURCES", 4)
     docs = spark.range(200).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % 10).alias("source"))
@@ -481,6 +618,24 @@ def test_sharding_odd_rows_and_hot_text(spark):
     assert sharding.shard_rows(docs_of(spark, rows).filter("false"), 4).count() == 0
 
 
+def test_equal_texts_lie_together(spark):
+    """Texts are split only where a shard ends, also a hot one and one on the arc over the ring's end."""
+    rows = [(i, f"text {i % 90}") for i in range(900)] + [(10_000 + i, "hot") for i in range(700)]
+    placed = sharding.shard_rows(docs_of(spark, rows), 5).collect()
+    by_shard = defaultdict(list)
+    for r in placed:
+        by_shard[r["shard"]].append(r)
+    parts = Counter()
+    for of in by_shard.values():
+        of.sort(key=lambda r: r["slot"])
+        assert [r["slot"] for r in of] == list(range(len(of)))
+        for i, r in enumerate(of):
+            if i == 0 or of[i - 1]["crc"] != r["crc"]:
+                parts[r["crc"]] += 1
+    sizes = [len(of) for of in by_shard.values()]
+    assert max(sizes) - min(sizes) <= 1 and sum(n - 1 for n in parts.values()) <= 3 * 5, parts.most_common(4)
+
+
 def test_growing_with_slack_moves_few_rows(spark):
     docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
     before = {r["id"]: r["shard"] for r in sharding.shard_rows(docs, 8, slack=0.25).collect()}
