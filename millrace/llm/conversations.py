@@ -22,7 +22,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.common import Scratch
@@ -144,6 +144,10 @@ def _unpacked(held: list[bytes]) -> Paths:
     return [flat[4 * end : 4 * end + 4] for end in STATES]
 
 
+def _partitions(spark: SparkSession) -> int:
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _visible(text: Column) -> Column:
     return F.regexp_replace(text, r"[\x20\x09-\x0D]+$", "")
 
@@ -181,9 +185,8 @@ def numbered_rows(rows: DataFrame, conv: str, turn: str, role: str, text: str, k
         .otherwise(NONE)
     )
     judged = met.select("conv", "turn", "role", "text", "n", fault.alias("fault"))
-    ranges = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     order = ["conv", "turn", "role", "text"]
-    ordered = judged.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    ordered = judged.repartitionByRange(_partitions(rows.sparkSession), *order).sortWithinPartitions(*order)
     return scratch.keep(ordered.withColumn("place", F.monotonically_increasing_id()))
 
 
@@ -208,9 +211,10 @@ def _block_weights(numbered: DataFrame) -> DataFrame:
             }
         )
 
-    light = numbered.select(
-        "conv", "place", F.shiftright("place", BLOCK_BITS).alias("block"), F.left("role", F.lit(1)).alias("initial"), "fault", "n"
-    )
+    block = F.shiftright("place", BLOCK_BITS).alias("block")
+    light = numbered.select("conv", "place", block, F.left("role", F.lit(1)).alias("initial"), "fault", "n")
+    # Few bytes but much work: a given number of partitions is not merged into one.
+    light = light.repartition(_partitions(numbered.sparkSession), "block")
     return light.groupBy("block").applyInArrow(run, f"conv {kind}, block long, weights array<binary>, width long")
 
 
