@@ -130,7 +130,7 @@ def bucket_links(
     pair joins stay apart.
 
     With ``near_by`` nearness may depend on the key as well, ``keyed`` is flat with an ``id`` of its own for each
-    item (see ``sorted_firsts``), and a label is the component of what was hung, not only two links of it.
+    item (see ``sorted_firsts``), and pairs across are looked for as ``_joined_across`` does.
     """
     scratch = Scratch(keyed.sparkSession, "buckets")
     close = near_by or (lambda a, b, _: near(a, b))
@@ -138,20 +138,15 @@ def bucket_links(
     hung = rows.filter((F.col("item") != F.col("first")) & close(F.col("first"), F.col("item"), F.col("key")))
     tried = scratch.keep(hung.select(F.col("first").alias("a"), F.col("item").alias("b")).distinct())
     star = scratch.keep(verify(tried).select("a", "b"))
-    # A bucket of two has been tried.
-    open_rows = rows.filter("n > 2")
     if near_by:
-        joined = components(star.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")), "a", "b")
-        joined = joined.select(F.col("node").alias("label_of"), F.col("component").alias("label"))
-        open_rows = open_rows.join(joined, F.col("item.id") == F.col("label_of"), "left").drop("label_of")
-        alone = F.col("item.id")
-    else:
-        open_rows, alone = open_rows.join(labels(star), "item", "left"), F.col("item")
+        return _joined_across(scratch, rows, star, tried, close, verify)
+    # A bucket of two has been tried.
+    open_rows = rows.filter("n > 2").join(labels(star), "item", "left")
     held = star.select(F.col("a").alias("first"), F.col("b").alias("item"), F.lit(True).alias("hung"))
     open_rows = open_rows.join(held, ["first", "item"], "left").select(
         "key",
         "item",
-        F.coalesce("label", alone).alias("label"),
+        F.coalesce("label", "item").alias("label"),
         F.coalesce("hung", F.col("item") == F.col("first")).alias("hung"),
     )
     open_rows = scratch.keep(open_rows)
@@ -161,10 +156,65 @@ def bucket_links(
         (left["key"] == right["key"])
         & (F.col("x_label") < F.col("y_label"))
         & ~(F.col("x_hung") & F.col("y_hung"))
-        & close(F.col("x"), F.col("y"), left["key"])
+        & near(F.col("x"), F.col("y"))
     )
     across = left.join(right, apart).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     rest = scratch.keep(verify(across.join(tried, ["a", "b"], "left_anti")).select("a", "b"))
     scratch.drop(tried)
     scratch.drop(open_rows)
     return star.union(rest)
+
+
+# Rounds in which components of a bucket are hung on one of its items, before all pairs left are looked at.
+ROUNDS = 5
+
+
+def _labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """``(key, item, label)``: rows of buckets that hold items of more than one component, and which it is."""
+    joined = components(links.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")), "a", "b")
+    joined = joined.select(F.col("node").alias("label_of"), "component")
+    named = rows.join(joined, F.col("item.id") == F.col("label_of"), "left")
+    named = named.select("key", "item", F.coalesce("component", F.col("item.id")).alias("label"))
+    several = named.groupBy(F.bitwise_not("key").alias("k")).agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    several = several.filter("low < high").select(F.bitwise_not("k").alias("bucket"))
+    return named.join(several, F.col("key") == F.col("bucket"), "left_semi")
+
+
+def _hung_anew(named: DataFrame, close: NearBy, number: int) -> DataFrame:
+    """``(a, b)``: in each bucket one item of every component with one of another, by a hash that changes with ``number``."""
+    drawn = F.struct(F.xxhash64("item.id", F.lit(number)).alias("draw"), "item")
+    one = named.groupBy("key", "label").agg(F.min(drawn).alias("one"))
+    hub = one.groupBy(F.bitwise_not("key").alias("k")).agg(F.min(F.struct("one", "label")).alias("hub"))
+    hub = hub.select(F.bitwise_not("k").alias("bucket"), F.col("hub.one.item").alias("x"), F.col("hub.label").alias("x_label"))
+    met = one.join(hub, (F.col("key") == F.col("bucket")) & (F.col("label") != F.col("x_label")))
+    met = met.select("key", "x", F.col("one.item").alias("y"))
+    met = met.filter(close(F.col("x"), F.col("y"), F.col("key")))
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def _joined_across(scratch: Scratch, rows: DataFrame, star: DataFrame, tried: DataFrame, close: NearBy, verify) -> DataFrame:
+    """``star`` and links that join its components, as far as any pair does.
+
+    In a few rounds an item of each component of a bucket is tried with an item of another one; what holds
+    makes components larger, so a group of near copies melts at a link per component and round. Then all
+    pairs of different components that are near and were not tried yet are looked at, so none is lost.
+    """
+    # A bucket of two has been tried.
+    many = scratch.keep(rows.filter("n > 2").select("key", "item"))
+    scratch.drop(rows)
+    links, known = star, tried
+    for number in range(ROUNDS):
+        named = scratch.keep(_labelled(many, links))
+        scratch.drop(many)
+        many = scratch.keep(named.select("key", "item"))  # only buckets that still hold several components
+        pairs = scratch.keep(_hung_anew(named, close, number).join(known, ["a", "b"], "left_anti"))
+        scratch.drop(named)
+        found = scratch.keep(verify(pairs).select("a", "b"))
+        links, known = links.union(found), known.union(pairs)
+        if found.isEmpty():
+            break
+    named = scratch.keep(_labelled(many, links))
+    left, right = named.toDF("key", "x", "x_label"), named.toDF("key", "y", "y_label")
+    apart = (left["key"] == right["key"]) & (F.col("x_label") < F.col("y_label")) & close(F.col("x"), F.col("y"), left["key"])
+    across = left.join(right, apart).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    return links.union(scratch.keep(verify(across.join(known, ["a", "b"], "left_anti")).select("a", "b")))

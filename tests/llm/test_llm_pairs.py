@@ -329,6 +329,23 @@ def test_distance_that_stops_early_says_the_same():
         assert (lines.edit_distance(a, b, most) <= most) == (lines.edit_distance(a, b) <= most)
 
 
+def test_lines_written_anew_are_no_farther_than_that():
+    rng = random.Random(10)
+    words = ["a", "bb", "the", "house", "river"]
+    taken = 0
+    for _ in range(1500):
+        x = rng.choices(words, k=rng.randrange(1, 14))
+        y = list(x)
+        for _ in range(rng.randrange(4)):
+            at = rng.randrange(len(y) + 1)
+            y[at : at + rng.randrange(3)] = rng.choices(words, k=rng.randrange(3))
+        allowed = rng.randrange(12)
+        if y and lines.rewritten(x, y, allowed):
+            taken += 1
+            assert slow_distance(" ".join(x), " ".join(y)) <= allowed, (x, y)
+    assert taken > 300
+
+
 def vectors(spark, rows):
     return spark.createDataFrame([(*r, 1, "x") for r in rows], "vec_id long, embedding array<float>, ID long, v string")
 
