@@ -166,7 +166,7 @@ def bucket_links(
 
 
 # Rounds in which components of a bucket are hung on one of its items, before all pairs left are looked at.
-ROUNDS = 5
+ROUNDS = 2
 
 
 def _labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
