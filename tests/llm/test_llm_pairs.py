@@ -6,6 +6,7 @@ import random
 import re
 from collections import Counter, defaultdict
 from itertools import combinations
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -78,6 +79,67 @@ def test_one_hot_bucket_gives_a_link_per_member(spark):
     assert bucket_links(keyed, lambda a, b: F.lit(True)).count() == 399
 
 
+def flat_links(spark, rows: list[tuple], holds: set) -> tuple[list, int]:
+    """Ids linked among ``(key, id)`` whose pairs hold as given, and how many pairs were verified."""
+    right = spark.createDataFrame(sorted(holds), "p long, q long")
+    seen = []
+
+    def verify(pairs):
+        seen.append(pairs.count())
+        return pairs.join(right, (F.col("a.id") == F.col("p")) & (F.col("b.id") == F.col("q")), "left_semi")
+
+    keyed = spark.createDataFrame(rows, "key long, id long")
+    order = lambda a, b: F.abs(a["id"] - b["id"])
+    links = bucket_links(keyed, None, verify, lambda a, b, key: F.lit(True), order)
+    return [(r["a"]["id"], r["b"]["id"]) for r in links.collect()], sum(seen)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_verified_bucket_links_keep_the_components(spark, seed):
+    rng = random.Random(seed)
+    rows = list({(rng.randrange(6), rng.randrange(60)) for _ in range(120)})
+    met = {(min(x, y), max(x, y)) for (k, x), (m, y) in combinations(rows, 2) if k == m and x != y}
+    holds = {p for p in sorted(met) if rng.random() < 0.06}
+    got, _ = flat_links(spark, rows, holds)
+    assert set(got) <= holds
+    assert groups_of(range(60), got) == groups_of(range(60), holds)
+
+
+def test_a_group_of_near_copies_is_met_once_per_label(spark):
+    """Ten items that the first of the bucket misses hold with each of its forty: 400 pairs, of which ten tell all."""
+    members, others = range(1, 41), range(41, 51)
+    holds = {(0, m) for m in members} | {(m, o) for m in members for o in others}
+    got, verified = flat_links(spark, [(7, i) for i in range(51)], holds)
+    assert set(groups_of(range(51), got).values()) == {0}
+    assert verified <= 50 + 10 + 45
+
+
+def test_line_dedup_keeps_no_table_of_lines(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(lines.Scratch, "keep", lambda self, df, keep=lines.Scratch.keep: made.append((self.label, kept := keep(self, df))) or kept)
+    docs = spark.createDataFrame([(i, f"one line of some words\nanother line {chr(97 + i)}") for i in range(4)], "doc_id long, text string")
+    out, dropped = lines.drop_repeated_lines(docs)
+    assert [r[dropped] for r in out.orderBy("doc_id").collect()][1:] == [[0]] * 3
+    columns = [set(kept.columns) for label, kept in made if label == "lines" and Path(kept.inputFiles()[0].removeprefix("file://")).exists()]
+    assert columns == [{"doc", "body", "lines"}]
+
+
+def test_golay_keys_are_shuffled_once(spark, no_broadcast, monkeypatch):
+    plans = []
+
+    def kept(self, df, keep=simhash.Scratch.keep):
+        df.collect()
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(self, df)
+
+    monkeypatch.setattr(simhash.Scratch, "keep", kept)
+    apart = 1 | 1 << 25 | 1 << 45  # a bit in each segment
+    rows = [(p,) for p in (random.Random(i).getrandbits(62) for i in range(60)) for p in (p, p ^ apart)]
+    assert simhash.close_links(spark.createDataFrame(rows, "fp long")).count() == 60
+    joined = [p.split("Initial Plan")[0] for p in plans if "a_lead" in p]
+    assert len(joined) == 1 and "ReusedExchange" in joined[0] and "MapInArrow" not in joined[0]
+
+
 def test_golay_decoding_is_perfect():
     upper, errors = simhash.golay_tables()
     assert len(np.unique(errors)) == 2048
