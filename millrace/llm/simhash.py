@@ -157,20 +157,24 @@ def close_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     hung = labels(same.select(F.col("first").alias("a"), F.col("item").alias("b")))
     labelled = prints.join(hung, F.col("fp") == F.col("item"), "left")
     labelled = scratch.keep(labelled.select("fp", F.coalesce("label", "fp").alias("label")))
-    keys = golay_keys(labelled)
-    left, right = keys.toDF("key", "a", "a_label", "lead"), keys.select("key", "item", "label").toDF("key", "b", "b_label")
+    keys = scratch.keep(golay_keys(labelled))
+    # Read from one table with the same columns on both sides, so that the keys are made and shuffled once. Where a segment is equal so are its
+    # keys, and a key is the first of both or of neither.
+    left, right = keys.toDF("key", "a", "a_label", "a_lead"), keys.toDF("key", "b", "b_label", "b_lead")
+    lead = F.col("a_lead").bitwiseAND(F.col("b_lead"))
     differ = F.col("a").bitwiseXOR(F.col("b"))
     bits = [F.bit_count(_segment(differ, s)) for s in range(3)]
     fits = [(bits[i] <= 2) & (bits[j] <= 2) for i, j in combinations(range(3), 2)]
     leads = [
-        ((bits[i] > 0) | (F.col("lead").bitwiseAND(F.lit(1).cast("byte")) > 0))
-        & ((bits[j] > 0) | (F.col("lead").bitwiseAND(F.lit(2).cast("byte")) > 0))
+        ((bits[i] > 0) | (lead.bitwiseAND(F.lit(1).cast("byte")) > 0))
+        & ((bits[j] > 0) | (lead.bitwiseAND(F.lit(2).cast("byte")) > 0))
         for i, j in combinations(range(3), 2)
     ]
     which = F.shiftright(left["key"], 24)
     first = F.when(fits[0], (which == 0) & leads[0]).when(fits[1], (which == 1) & leads[1]).otherwise((which == 2) & leads[2])
     apart = (left["key"] == right["key"]) & (F.col("a") < F.col("b")) & (F.col("a_label") != F.col("b_label"))
-    across = left.join(right, apart & near(F.col("a"), F.col("b")) & first).select("a", "b").distinct()
+    across = scratch.keep(left.join(right, apart & near(F.col("a"), F.col("b")) & first).select("a", "b").distinct())
+    scratch.drop(keys)
     return labelled.filter("label < fp").select(F.col("label").alias("a"), F.col("fp").alias("b")).union(across)
 
 
