@@ -680,4 +680,4 @@ def test_stages_on_no_documents(spark):
 
 
 def test_every_operator_is_registered():
-    assert [n.split("_")[0] for n in QUERIES] == [*(f"op{i}" for i in range(1, 11)), "pipeline"]
+    assert [n.split("_")[0] for n in QUERIES] == [*(f"op{i}" for i in range(1, 14)), "pipeline"]
