@@ -513,3 +513,66 @@ def test_similar_agrees_with_the_distance():
         b = "".join(c if rng.random() < 0.85 else rng.choice("ab ") for c in a)
         want = slow_distance(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9
         assert lines.similar(a, b, 0.8) == want, (a, b)
+
+
+def edited(rng: random.Random, text: str, edits: int, letters: str) -> str:
+    out = list(text)
+    for _ in range(edits):
+        i = rng.randrange(len(out) + 1)
+        out[i : i + rng.randrange(2)] = rng.choice(["", rng.choice(letters)])
+    return "".join(out)
+
+
+@pytest.mark.parametrize("least", [0.5, 0.8, 0.95])
+def test_lines_compared_in_blocks_are_those_compared_one_by_one(monkeypatch, least):
+    rng = random.Random(4)
+    pairs = [("", ""), ("", "a"), ("a", ""), ("same", "same"), ("a" * 9000, "a" * 9000 + "b")]
+    for n in (1, 5, 63, 64, 65, 127, 128, 129, 200, 400) * 20:
+        letters = rng.choice(["ab", "abcdefgh ", "abcé世𝄞 ", "".join(map(chr, range(0x4E00, 0x4F00)))])
+        a = "".join(rng.choices(letters, k=n))
+        other = edited(rng, a, rng.randrange(1 + n // 2), letters) if rng.random() < 0.7 else "".join(rng.choices("xyz", k=n))
+        pairs.append(rng.sample([a, other], 2))
+    left, right = zip(*pairs)
+    want = [lines.similar(a, b, least) for a, b in pairs]
+    assert 20 < sum(want) < len(want) - 20
+    monkeypatch.setattr(lines, "BLOCK_PAIRS", 50)
+    for places in (lines.PLACES, 1 << 10):
+        monkeypatch.setattr(lines, "PLACES", places)
+        assert lines.all_similar(left, right, least).tolist() == want
+    assert lines.all_similar([], [], least).tolist() == []
+
+
+def test_wide_buckets_meet_at_pivots_first(spark, monkeypatch):
+    """Near copies whose first item holds with none: some pivots join nearly all, and no pair across final groups is left out."""
+    rng = random.Random(6)
+    holds = {p for p in combinations(range(1, 120), 2) if rng.random() < 0.4} | {(200, 201)}
+    rows = [(7, i) for i in range(120)] + [(8, i) for i in (0, 200, 201)]
+    right = spark.createDataFrame(sorted(holds), "p long, q long")
+    seen = []
+
+    def verify(pairs):
+        seen.append(pairs.count())
+        return pairs.join(right, (F.col("a.id") == F.col("p")) & (F.col("b.id") == F.col("q")), "left_semi")
+
+    monkeypatch.setattr(buckets, "WIDE", 64)
+    links = bucket_links(spark.createDataFrame(rows, "key long, id long"), None, verify, lambda a, b, key: F.lit(True))
+    got = [(r["a"]["id"], r["b"]["id"]) for r in links.collect()]
+    assert set(got) <= holds
+    assert groups_of([i for i in range(120)] + [200, 201], got) == groups_of([i for i in range(120)] + [200, 201], holds)
+    assert sum(seen) < 120 * 119 / 2 / 2
+
+
+def test_pairs_of_lines_are_met_at_one_key_of_blocks(spark):
+    rng = random.Random(8)
+    base = [rng.getrandbits(64) for _ in range(12)]
+    sims = [b ^ sum(1 << k for k in rng.sample(range(64), rng.randrange(5))) for b in base for _ in range(5)]
+    rows = [(i, int(np.uint64(s).astype(np.int64)), [7], 40) for i, s in enumerate(sims)]
+    keyed = lines._keys(spark.createDataFrame(rows, "id long, sim long, runs array<long>, size int"))
+    item = F.struct("sim", "id", "size")
+    left, right = keyed.select("key", item.alias("x")), keyed.select("key", item.alias("y"))
+    near, once = lines._near(), lines._met_once()
+    met = left.join(right, "key").filter("x.id < y.id").filter(near(F.col("x"), F.col("y"), F.col("key")))
+    kept = met.filter(once(F.col("x"), F.col("y"), F.col("key"))).select("x.id", F.col("y.id").alias("other"))
+    every = {tuple(r) for r in met.select("x.id", "y.id").collect()}
+    found = [tuple(r) for r in kept.collect()]
+    assert len(found) == len(set(found)) and set(found) == every and met.count() > len(found)
