@@ -27,6 +27,8 @@ from millrace.llm.components import components
 
 MAX_BITS = 4
 SEED = 42
+# Up to so many kept ids are broadcast to the documents; beyond that texts are shuffled.
+BROADCAST_IDS = 1_000_000
 # The generator polynomial of the (23, 12) Golay code, and the segments as (shift, bits).
 GENERATOR = 0b110001110101
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
@@ -215,11 +217,11 @@ def keep_one(
     groups = simhash_groups(docs, id_col=id_col, text_col=text_col, words=words, max_bits=max_bits)
     kept = groups.filter("id = component").groupBy("id").agg(F.count("*").alias("n"))
     kept = Scratch(docs.sparkSession, "kept").keep(kept)
-    own = F.col(f"`{id_col}`")
+    own, few = F.col(f"`{id_col}`"), kept.count() <= BROADCAST_IDS
 
     def named(ids: DataFrame) -> DataFrame:
         key = ids.select(F.col("id").alias(free_name(docs, "kept_id")))
-        return docs.join(key, own.cast("long") == F.col(key.columns[0]), "left_semi")
+        return docs.join(F.broadcast(key) if few else key, own.cast("long") == F.col(key.columns[0]), "left_semi")
 
     out = named(kept)
     if not kept.filter("n > 1").isEmpty():

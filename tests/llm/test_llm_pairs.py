@@ -562,6 +562,18 @@ def test_wide_buckets_meet_at_pivots_first(spark, monkeypatch):
     assert sum(seen) < 120 * 119 / 2 / 2
 
 
+def test_few_kept_ids_shuffle_no_documents(spark):
+    docs = spark.createDataFrame([(i, f"text number {i} of its own {i * 7919}") for i in range(50)], "doc_id long, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = simhash.keep_one(docs)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert out.count() == len({r["component"] for r in simhash.simhash_groups(docs).collect()})
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_pairs_of_lines_are_met_at_one_key_of_blocks(spark):
     rng = random.Random(8)
     base = [rng.getrandbits(64) for _ in range(12)]
