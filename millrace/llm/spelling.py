@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Scratch, small_batches
+from millrace.llm.common import Scratch, shuffled, small_batches
 
 PARTS = 8
 DISTANCE = 2
@@ -153,7 +153,7 @@ def near_vectors(classes: DataFrame) -> DataFrame:
     right = keyed.toDF("key", "b", "b_size", "b_mask")
     apart = F.bit_count(F.col("a_mask").bitwiseXOR(F.col("b_mask"))) <= DISTANCE
     close = (left["key"] == right["key"]) & (F.col("a") < F.col("b")) & (F.abs(F.col("a_size") - F.col("b_size")) <= 1)
-    met = left.join(right, close & apart).select("a", "b").distinct()
+    met = left.join(shuffled(right), close & apart).select("a", "b").distinct()
     words = classes.select("letters", "words")
     sized = met.join(words.toDF("a", "a_words"), "a").join(words.toDF("b", "b_words"), "b")
     first = F.struct("a_words", "a") <= F.struct("b_words", "b")

@@ -238,6 +238,13 @@ def test_chains_of_forms_end_at_their_root(spark):
     assert {g[1] for g in got.values()} == {words[-1]} and got[words[0]][0] == words[1]
 
 
+def test_signatures_are_not_broadcast(spark, plan):
+    classes = spark.createDataFrame([("abcdefg", 7, 1), ("abcdef", 6, 2)], "letters string, size int, words long")
+    near = spelling.near_vectors(spelling.Scratch(spark, "classes").keep(classes))
+    assert "SortMergeJoin [key#" in plan(near)
+    assert [tuple(r) for r in near.collect()] == [("abcdefg", "abcdef")]
+
+
 def test_ties_go_to_the_smallest_word_and_long_words_count(spark):
     long = "xy" * 30_000
     counts = {"aaaaaab": 20, "aaaaaac": 20, "aaaaaa": 2, "ébcdefg": 5, long: 100, long + "z": 2}
