@@ -8,7 +8,8 @@ but two. Two vectors at distance two or less differ in at most two parts, so the
 signature that leaves those out. Vectors that share a signature are joined on it, checked by their
 distance, and their words by the edit itself; no pair is lost and none is added.
 
-Words of equal letters are never one edit apart, so signatures are taken once per multiset.
+Words of equal letters are never one edit apart, so signatures are taken once per multiset. Every table
+here grows with the vocabulary, so all joins shuffle both sides and none goes through the driver.
 """
 
 from __future__ import annotations
@@ -155,7 +156,7 @@ def near_vectors(classes: DataFrame) -> DataFrame:
     close = (left["key"] == right["key"]) & (F.col("a") < F.col("b")) & (F.abs(F.col("a_size") - F.col("b_size")) <= 1)
     met = left.join(shuffled(right), close & apart).select("a", "b").distinct()
     words = classes.select("letters", "words")
-    sized = met.join(words.toDF("a", "a_words"), "a").join(words.toDF("b", "b_words"), "b")
+    sized = met.join(shuffled(words.toDF("a", "a_words")), "a").join(shuffled(words.toDF("b", "b_words")), "b")
     first = F.struct("a_words", "a") <= F.struct("b_words", "b")
     return sized.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("few"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("many"))
 
@@ -172,10 +173,10 @@ def near_words(words: DataFrame) -> DataFrame:
     classes = known.groupBy("letters").agg(F.count("*").alias("words"))
     classes = scratch.keep(classes.withColumn("size", F.char_length("letters")))
     pairs = scratch.keep(near_vectors(classes))
-    small = pairs.join(known.toDF("word", "n", "few"), "few").select("many", "word", "n")
+    small = pairs.join(shuffled(known.toDF("word", "n", "few")), "few").select("many", "word", "n")
     large = known.toDF("other", "other_n", "many")
     one_edit = (F.levenshtein("word", "other", 1) == 1) & (small["many"] == large["many"])
-    met = scratch.keep(small.join(large, one_edit).select("word", "n", "other", "other_n"))
+    met = scratch.keep(small.join(shuffled(large), one_edit).select("word", "n", "other", "other_n"))
     return met.union(met.select("other", "other_n", "word", "n"))
 
 
@@ -188,7 +189,7 @@ def roots(forms: DataFrame) -> DataFrame:
     scratch = Scratch(forms.sparkSession, "roots")
     current = scratch.keep(forms.select("word", F.col("form").alias("root")))
     for _ in range(MAX_ROUNDS):
-        further = current.toDF("middle", "further")
+        further = shuffled(current.toDF("middle", "further"))
         after = current.join(further, F.col("root") == F.col("middle"), "left")
         after = scratch.keep(after.select("word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")))
         scratch.drop(current)
@@ -211,7 +212,7 @@ def variants(counts: DataFrame, *, min_count: int = 2, ratio: int = 10) -> DataF
     # The largest count and then the smallest word: the least of the negated count and the word.
     best = F.min(F.struct((-F.col("other_n")).alias("n"), F.col("other").alias("word")))
     near = near_words(words).groupBy("word").agg(F.count("*").alias("n_near"), best.alias("best"))
-    joined = words.join(near, "word", "left")
+    joined = words.join(shuffled(near), "word", "left")
     often = -F.col("best.n") >= ratio * F.col("n")
     formed = scratch.keep(
         joined.select(
@@ -223,5 +224,5 @@ def variants(counts: DataFrame, *, min_count: int = 2, ratio: int = 10) -> DataF
         )
     )
     ends = roots(formed.filter("form IS NOT NULL"))
-    rooted = formed.join(ends, "word", "left")
+    rooted = formed.join(shuffled(ends), "word", "left")
     return rooted.select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

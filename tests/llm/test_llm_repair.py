@@ -245,6 +245,21 @@ def test_signatures_are_not_broadcast(spark, plan):
     assert [tuple(r) for r in near.collect()] == [("abcdefg", "abcdef")]
 
 
+def test_no_table_of_words_goes_through_the_driver(spark, monkeypatch):
+    plans = []
+
+    def kept(self, df, keep=spelling.Scratch.keep):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(self, df)
+
+    monkeypatch.setattr(spelling.Scratch, "keep", kept)
+    rows = spark.createDataFrame([("abcdefg", 50), ("abcdef", 2), ("bcdefg", 2)], "word string, n long")
+    found = spelling.variants(rows)
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert found.filter("form = 'abcdefg'").count() == 2
+    assert sum("SortMergeJoin" in p for p in plans) >= 5 and not any("Broadcast" in p for p in plans)
+
+
 def test_ties_go_to_the_smallest_word_and_long_words_count(spark):
     long = "xy" * 30_000
     counts = {"aaaaaab": 20, "aaaaaac": 20, "aaaaaa": 2, "ébcdefg": 5, long: 100, long + "z": 2}
