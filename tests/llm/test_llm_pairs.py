@@ -542,6 +542,36 @@ def test_lines_compared_in_blocks_are_those_compared_one_by_one(monkeypatch, lea
     assert lines.all_similar([], [], least).tolist() == []
 
 
+@pytest.mark.parametrize("least", [0.6, 0.8, 0.9])
+def test_blocks_of_any_lengths_agree_with_the_distance(monkeypatch, least):
+    rng, pairs = random.Random(9), []
+    for n in (3, 64, 66, 130, 300, 700, 1500) * 40:
+        letters = rng.choice(["ab ", "abcdefghij ", "abé世𝄞 "])
+        a = "".join(rng.choices(letters, k=n))
+        other = edited(rng, a, max(0, round(n * (1 - least) * rng.uniform(0.5, 4))), letters)
+        cut = rng.randrange(1 + n // 10)
+        pairs.append(rng.sample([a, rng.choice([other, other[cut:], a[cut:] + other[:cut]])], 2))
+    left, right = zip(*pairs)
+    want = [lines.edit_distance(a, b) <= int((1 - least) * max(len(a), len(b)) + 1e-9) for a, b in pairs]
+    assert 20 < sum(want) < len(want) - 20
+    monkeypatch.setattr(lines, "PAIRS_A_WORD", 0)
+    for alike in (lines.ALIKE, 0):
+        monkeypatch.setattr(lines, "ALIKE", alike)
+        assert lines.all_similar(left, right, least).tolist() == want
+
+
+def test_long_lines_are_compared_in_blocks(monkeypatch):
+    def alone(*_):
+        raise AssertionError("pairs one by one")
+
+    monkeypatch.setattr(lines, "similar", alone)
+    monkeypatch.setattr(lines, "edit_distance", alone)
+    rng = random.Random(7)
+    left = ["".join(rng.choices("abcdefgh ", k=1300)) for _ in range(300)]
+    near = [edited(rng, x, 200, "abcdefgh ") for x in left[:50]]
+    assert lines.all_similar(left, near + left[:250], 0.8).tolist() == [True] * 50 + [False] * 250
+
+
 def test_wide_buckets_meet_at_pivots_first(spark, monkeypatch):
     """Near copies whose first item holds with none: some pivots join nearly all, and no pair across final groups is left out."""
     rng = random.Random(6)
